@@ -17,13 +17,12 @@ import os
 import sys
 import tempfile
 import unicodedata
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from casewright.llm.common import slices, utf8
+from casewright.llm.common import Hashes, slices, utf8
 
 #: The code points of Unicode's property White_Space.
 SPACES = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -31,9 +30,9 @@ NONE = np.iinfo(np.int32).max
 #: Words of more bytes than this are merged on a heap instead of side by side.
 LONG = 96
 #: Bytes of text taken at a time, unless one text alone has more.
-CHUNK = 1 << 20
+CHUNK = 1 << 21
 #: Unseen words that a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 
 _classes: np.ndarray | None = None
 
@@ -212,13 +211,13 @@ class Lexicon:
         number = lambda s: swap.get(s, s)
         room = sum(map(len, edges)) + 512
         check, target, weight = (np.full(room * 2, -1, np.int32) for _ in range(3))
-        base, taken, free = np.zeros(len(edges), np.int32), bytearray(room * 2 + 512), 256
+        base, taken, free, wide = np.zeros(len(edges), np.int32), bytearray(room * 2 + 512), 256, 256
         for s in sorted(range(len(edges)), key=lambda s: -len(edges[s])):
             own = edges[s]
             if not own:
                 continue
             low = own[0][0]
-            at = free
+            at = begun = free if len(own) == 1 else max(free, wide)
             while taken[at] or any(taken[at + b - low] for b, _ in own[1:]):
                 at += 1
                 if at + 256 >= len(check):
@@ -230,6 +229,8 @@ class Lexicon:
                 taken[p], check[p], target[p], weight[p] = 1, number(s), number(t), before
                 before += accepts[t]
             base[number(s)] = at - low
+            if len(own) > 1 and at - begun > 32:  # the dense part is left to states with one transition
+                wide = begun + (at - begun) // 2
             while taken[free]:
                 free += 1
         final = np.zeros(len(edges), bool)
@@ -342,53 +343,82 @@ def split(raw: np.ndarray, at: np.ndarray, special: dict[bytes, int]) -> tuple[n
     return begin, np.append(begin[1:], n_bytes), ids
 
 
+_hashes = Hashes(71), Hashes(72)
+
+
+def distinct_words(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For the words raw[begin : end]: a place of each different word, every word's number among them, and counts.
+
+    Words are told apart by two independent 64-bit hashes.
+    """
+    one, two = (h.of(h.sums(raw), begin, end) for h in _hashes)
+    order = np.argsort(one, kind="stable")
+    a, b = one[order], two[order]
+    new = np.ones(len(order), bool)
+    new[1:] = a[1:] != a[:-1]
+    if (b[1:] != b[:-1])[~new[1:]].any():  # two words share the first hash
+        order = np.lexsort((two, one))
+        a, b = one[order], two[order]
+        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order[new], number, np.bincount(number, minlength=int(new.sum()))
+
+
 class Encoder:
     """What a worker keeps: merges, the mapped lexicon, and by word number the ids as text and the decoded bytes."""
 
     def __init__(self, merges: Merges, lexicon: Lexicon):
         self.merges, self.lexicon = merges, lexicon
-        ends, ids = lexicon.first_id, lexicon.ids.tolist()
-        self.known = len(ends) - 1
+        self.decimal = [str(i).encode() for i in range(len(merges.pieces))]
+        ends, ids = lexicon.first_id.tolist(), lexicon.ids.tolist()
         self.text, self.bytes, self.count = [], [], []
-        for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-            self._add(ids[a:b])
-        self.special = {}
-        for i in merges.special.values():
-            self.special[i] = len(self.text)
-            self._add([i])
+        self._add([ids[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)])
+        self.special = {i: len(self.text) + k for k, i in enumerate(merges.special.values())}
+        self._add([[i] for i in merges.special.values()])
         self.fixed = len(self.text)
         self.seen: dict[bytes, int] = {}
 
-    def _add(self, ids: list[int]) -> None:
-        self.text.append(",".join(map(str, ids)).encode())
-        self.bytes.append(b"".join(map(self.merges.pieces.__getitem__, ids)))
-        self.count.append(len(ids))
+    def _add(self, words: list[list[int]]) -> None:
+        decimal, pieces = self.decimal, self.merges.pieces
+        self.text += [b",".join([decimal[i] for i in ids]) for ids in words]
+        self.bytes += [b"".join([pieces[i] for i in ids]) for ids in words]
+        self.count += map(len, words)
 
-    def numbers(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The word numbers of all texts in a row, and where each text's begin and end."""
+    def numbers(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The different words' numbers, for all texts in a row which of them comes, and where each text's words begin and end."""
         begin, end, given = split(raw, at, self.merges.special)
-        number = self.lexicon.find(raw, begin, end - begin)
+        own, which, _ = distinct_words(raw, begin, end)
+        number = self.lexicon.find(raw, begin[own], end[own] - begin[own])
         for i, k in self.special.items():
-            number[given == i] = k
+            number[given[own] == i] = k
         missing = np.flatnonzero(number < 0)
         if len(missing):
             if len(self.seen) > REMEMBERED:
                 self.seen.clear()
                 del self.text[self.fixed :], self.bytes[self.fixed :], self.count[self.fixed :]
-            blob, seen, new = raw.tobytes(), self.seen, []
-            got = np.empty(len(missing), np.int64)
-            top = len(self.text)
-            for k, (a, b) in enumerate(zip(begin[missing].tolist(), end[missing].tolist(), strict=True)):
+            blob, seen, new, top, got = raw.tobytes(), self.seen, [], len(self.text), []
+            for a, b in zip(begin[own[missing]].tolist(), end[own[missing]].tolist(), strict=True):
                 word = blob[a:b]
                 i = seen.get(word)
                 if i is None:
                     i = seen[word] = top + len(new)
                     new.append(word)
-                got[k] = i
-            for ids in self.merges.encode(new):
-                self._add(ids)
+                got.append(i)
+            self._add(self.merges.encode(new))
             number[missing] = got
-        return number, np.searchsorted(begin, at)
+        return number, which, np.searchsorted(begin, at)
+
+    def encoded(self, raw: np.ndarray, at: np.ndarray):
+        """Of each text: how many ids, the ids in decimal with commas, and the bytes that they decode to."""
+        number, which, ends = self.numbers(raw, at)
+        number = number.tolist()
+        text, piece = ([x[k] for k in number] for x in (self.text, self.bytes))
+        count = np.concatenate([[0], np.cumsum(np.array([self.count[k] for k in number], np.int64)[which])])[ends]
+        which, ends = which.tolist(), ends.tolist()
+        for n, x, y in zip(np.diff(count).tolist(), ends[:-1], ends[1:], strict=True):
+            own = which[x:y]
+            yield n, b",".join(map(text.__getitem__, own)), b"".join(map(piece.__getitem__, own))
 
 
 def _worker(key: str, lexicon: bytes, merges: tuple) -> Encoder:
@@ -408,24 +438,28 @@ def _worker(key: str, lexicon: bytes, merges: tuple) -> Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
-def frequent_words(docs: DataFrame, text_col: str, special: dict[bytes, int], size: int, least: int = 4) -> list[bytes]:
-    """The ``size`` words that occur most often in all texts, counted in every task over its whole share.
+def frequent_words(docs: DataFrame, text_col: str, special: dict[bytes, int], size: int, least: int = 2) -> list[bytes]:
+    """The ``size`` words that occur most often in all texts, each task counting its whole share.
 
-    Words seen fewer than ``least`` times in a task's batch are left out of that batch's counts: they are too rare
-    for the lexicon, which decides only how fast a word is found.
+    A word that a stretch of CHUNK bytes holds fewer than ``least`` times doesn't count there: it is too rare for
+    the lexicon, which decides only how fast a word is found.
     """
 
     def each(batches):
-        count: Counter = Counter()
-        flush = lambda: pa.RecordBatch.from_arrays([pa.array([w for w, c in count.items() if c >= least], pa.binary()), pa.array([c for c in count.values() if c >= least], pa.int64())], names=["w", "c"])
+        count: dict[bytes, int] = {}
+        flush = lambda: pa.RecordBatch.from_arrays([pa.array(list(count), pa.binary()), pa.array(list(count.values()), pa.int64())], names=["w", "c"])
         for batch in batches:
             raw, at = utf8(batch.column(0))
             for i, j in slices(at, CHUNK):
                 part = raw[at[i] : at[j]]
-                begin, end, _ = split(part, at[i : j + 1] - at[i], special)
-                blob = part.tobytes()
-                count.update([blob[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True) if b - a <= LONG])
-            if len(count) > 500_000:
+                begin, end, given = split(part, at[i : j + 1] - at[i], special)
+                own, _, n = distinct_words(part, begin, end)
+                keep = (n >= least) & (given[own] < 0) & (end[own] - begin[own] <= LONG)
+                own, blob = own[keep], part.tobytes()
+                for a, b, c in zip(begin[own].tolist(), end[own].tolist(), n[keep].tolist(), strict=True):
+                    word = blob[a:b]
+                    count[word] = count.get(word, 0) + c
+            if len(count) > 400_000:
                 yield flush()
                 count.clear()
         yield flush()
@@ -434,7 +468,7 @@ def frequent_words(docs: DataFrame, text_col: str, special: dict[bytes, int], si
     return [bytes(r["w"]) for r in rows.orderBy(F.desc("c"), "w").limit(size).collect()]
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", lexicon_size: int = 65_536, ids: bool = False) -> DataFrame:
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", lexicon_size: int = 200_000, ids: bool = False) -> DataFrame:
     """(id_col, n_tokens, ids_sha256, decoded_sha256[, ids]) for every row of ``docs``; whole texts, null as empty.
 
     ``path``: a byte-level BPE tokenizer file, read on the driver. An empty text has no tokens and the hash of the
@@ -456,14 +490,10 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             raw, at = utf8(batch.column(1))
             n, a, b, full = [], [], [], []
             for i, j in slices(at, CHUNK):
-                number, ends = coder.numbers(raw[at[i] : at[j]], at[i : j + 1] - at[i])
-                number, text, piece, count = number.tolist(), coder.text, coder.bytes, coder.count
-                for x, y in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-                    own = number[x:y]
-                    n.append(sum([count[k] for k in own]))
-                    line = b",".join([text[k] for k in own])
+                for size, line, back in coder.encoded(raw[at[i] : at[j]], at[i : j + 1] - at[i]):
+                    n.append(size)
                     a.append(sha(line))
-                    b.append(sha(b"".join([piece[k] for k in own]).decode("utf-8", "replace").encode()))
+                    b.append(sha(back.decode("utf-8", "replace").encode()))
                     if ids:
                         full.append([int(k) for k in line.split(b",")] if line else [])
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, (_, t) in zip([batch.column(0), n, a, b, full], fields, strict=False)], names=[f for f, _ in fields])

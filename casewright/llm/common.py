@@ -76,3 +76,40 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+
+
+class Hashes:
+    """Hashes of any stretch of a byte array in constant time, from running sums of powers of an odd base modulo 2**64.
+
+    Every byte first becomes a random number, so equal hashes of different stretches are no likelier than chance.
+    """
+
+    def __init__(self, seed: int):
+        rng = np.random.default_rng(seed)
+        self.table = rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.base = int(rng.integers(2**32, 2**62)) * 8 + 5
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def _grow(self, n: int) -> None:
+        if len(self.up) < n:
+            n = max(n, 1 << 16)
+            step = lambda b: np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, b % 2**64, np.uint64)]), dtype=np.uint64)
+            self.up, self.down = step(self.base), step(pow(self.base, -1, 2**64))
+
+    def sums(self, raw: np.ndarray) -> np.ndarray:
+        """len(raw) + 1 running sums."""
+        self._grow(len(raw) + 1)
+        out = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(self.table[raw] * self.up[: len(raw)], out=out[1:])
+        return out
+
+    def of(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The mixed hashes of the stretches [start, end)."""
+        return mix((sums[end] - sums[start]) * self.down[start])
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """Spreads 64-bit values over all bits, in a one-to-one way."""
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
