@@ -311,18 +311,20 @@ def _expanded(rows: DataFrame, length: int) -> DataFrame:
     return rows.mapInArrow(each, "doc long, begin long, end long")
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100) -> DataFrame:
-    """(id_col, n_bytes, n_removed, n_spans, kept_sha256, kept) for every row of ``docs``.
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id_col, n_bytes, n_removed, n_spans, kept_sha256, kept, *carry) for every row of ``docs``.
 
     Each byte that lies in a string of ``length`` bytes which begins earlier too (in a document of smaller id, or
     earlier in the same) goes; ``kept`` is what stays, as binary, since a cut may fall inside a character. Null and
     empty texts keep nothing and lose nothing. Rows whose id is null stay whole and repeat nothing. Rows with one
     id and one text are one document and get the same result; rows with one id and different texts share their
-    removals, each within its own length. Other columns are not read.
+    removals, each within its own length. Of the other columns only those of ``carry`` are read; they come back as
+    they are.
     """
     if not GRAM < length < PACK:
         raise ValueError(f"length must lie between {GRAM} and {PACK}")
-    own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
+    whole = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"), *[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(carry)])
+    own = whole.select("id", "t")
     told = durable(_told(_anchored(own, length).repartition("anchor").sortWithinPartitions("anchor", "run", "doc", "place")))
     fetched = _fetched(own, told.where("kind = 1"), length).repartition("anchor").sortWithinPartitions("anchor")
     begin = F.expr(f"place div {PACK}")
@@ -352,7 +354,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 for o, v in zip(out, (len(x), removed, runs_, hashlib.sha256(kept).hexdigest(), kept), strict=True):
                     o.append(v)
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(o, t) for o, t in zip(out, kinds, strict=True))], names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(o, t) for o, t in zip(out, kinds, strict=True)), *batch.columns[3:]], names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", *batch.schema.names[3:]])
 
-    joined = own.join(lists, F.col("id") == F.col("doc"), "left").select("id", "t", "spans")
-    return joined.mapInArrow(each, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary").withColumnRenamed("id", id_col)
+    joined = whole.join(lists, F.col("id") == F.col("doc"), "left").select("id", "t", "spans", *[f"c{k}" for k in range(len(carry))])
+    schema = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary" + "".join(f", c{k} {docs.schema[c].dataType.simpleString()}" for k, c in enumerate(carry))
+    got = joined.mapInArrow(each, schema)
+    return got.select(F.col("id").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", *[F.col(f"c{k}").alias(c) for k, c in enumerate(carry)])
