@@ -245,12 +245,13 @@ class Lexicon:
         return json.dumps(head).encode() + b"\n" + b"".join(np.ascontiguousarray(self.arrays[n]).tobytes() for n in self.NAMES)
 
     @classmethod
-    def mapped(cls, path: str) -> Lexicon:
-        with open(path, "rb") as f:
-            head = json.loads(line := f.readline())
+    def mapped(cls, file) -> Lexicon:
+        """From an open file of what ``dump`` gave; the arrays are views of the mapped file."""
+        file.seek(0)
+        head = json.loads(line := file.readline())
         arrays, at = {}, len(line)
         for name, kind, n in head["arrays"]:
-            arrays[name] = np.memmap(path, kind, "r", at, (n,)) if n else np.zeros(0, kind)
+            arrays[name] = np.memmap(file, kind, "r", at, (n,)) if n else np.zeros(0, kind)
             at += n * np.dtype(kind).itemsize
         return cls(arrays, head["longest"])
 
@@ -422,16 +423,15 @@ class Encoder:
 
 
 def _worker(key: str, lexicon: bytes, merges: tuple) -> Encoder:
-    """This worker's encoder; the lexicon's file is written once on each machine and mapped."""
+    """This worker's encoder. The lexicon is mapped from a file without a name, which goes when the worker ends."""
     got = _encoders.get(key)
     if got is None:
-        path = os.path.join(tempfile.gettempdir(), f"casewright-{key}.lexicon")
-        if not os.path.exists(path):
-            with open(own := f"{path}.{os.getpid()}", "wb") as f:
-                f.write(lexicon)
-            os.replace(own, path)
+        with tempfile.TemporaryFile() as f:
+            f.write(lexicon)
+            f.flush()
+            mapped = Lexicon.mapped(f)
         _encoders.clear()
-        got = _encoders[key] = Encoder(Merges(*merges), Lexicon.mapped(path))
+        got = _encoders[key] = Encoder(Merges(*merges), mapped)
     return got
 
 
