@@ -1,6 +1,378 @@
-"""Every query over the reference-style tables, with DuckDB's SQL for the same rows."""
+"""The queries over case records, documents, pages and events, with DuckDB's SQL for the same rows."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from casewright.functions import codes, dates, text
+from casewright.operators import aggregates, gates, identity, resolve, views
+from casewright.sources.adapters import CASES_SQL, RUN_DATE, cases as _cases, load
+from casewright.streaming import events as streams
+
 QUERIES: dict = {}
 ORACLES: dict = {}
+CTE = f"""with cases as (select *, case when section_1 = section_2 then [section_1] else [section_1, section_2] end as sections,
+  case when length(incident_reported_date) = 10 then cast(incident_reported_date as date) when length(incident_reported_date) = 7 then cast(incident_reported_date || '-01' as date) end as rday from ({CASES_SQL}))
+"""
+_ACTIVE = "('FIR_FILED', 'CHARGESHEETED', 'UNDER_TRIAL', 'APPEAL_PENDING')"
+_DAYS = f"greatest(date_diff('day', rday, date '{RUN_DATE}'), 0)"
+
+
+def query(oracle: str | None = None, name: str | None = None):
+    def register(f):
+        QUERIES[name or f.__name__] = f
+        if oracle:
+            ORACLES[name or f.__name__] = oracle
+        return f
+
+    return register
+
+
+def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cases(spark, sf_dir).withColumn("sections", F.array_distinct(F.array("section_1", "section_2")))
+
+
+@query(CTE + f"""select state, district, count(*) as total, count(*) filter (where status = 'UNDER_TRIAL') as under_trial, count(*) filter (where status = 'CONVICTED') as convictions,
+  count(*) filter (where status in ('ACQUITTED', 'QUASHED')) as acquittals, count(*) filter (where status = 'FIR_FILED') as pre_chargesheet,
+  cast(round_even(100.0::double * count(*) filter (where status = 'UNDER_TRIAL') / count(*), 0) as int) as under_trial_pct,
+  cast(trunc(median({_DAYS}) filter (where not minor_involved and status in {_ACTIVE})) as int) as median_pending,
+  cast(max({_DAYS}) filter (where not minor_involved and status in {_ACTIVE} and rday is not null) as int) as longest_days,
+  max(ord) filter (where not minor_involved and status in {_ACTIVE} and rday is not null and {_DAYS} = top) as longest_ord
+  from (select *, max(case when not minor_involved and status in {_ACTIVE} then {_DAYS} end) over (partition by state, district) as top from cases)
+  group by state, district order by total desc, state, district limit 120""")
+def jurisdiction_scorecard(spark, sf_dir):
+    return aggregates.jurisdiction_scorecard(cases(spark, sf_dir), RUN_DATE)
+
+
+@query(CTE + "select coalesce(status, 'UNKNOWN') as status, count(*) as n from cases group by 1")
+def status_counts(spark, sf_dir):
+    return aggregates.counts(cases(spark, sf_dir), "status")
+
+
+@query(CTE + "select coalesce(state, 'UNKNOWN') as state, count(*) as n from cases group by 1")
+def state_counts(spark, sf_dir):
+    return aggregates.counts(cases(spark, sf_dir), "state")
+
+
+@query(CTE + f"""select strftime(m, '%Y-%m') as month, (select count(*) from cases where length(incident_reported_date) >= 7 and incident_reported_date[1:7] = strftime(m, '%Y-%m')) as n
+  from (select unnest(generate_series(date_trunc('month', date '{RUN_DATE}') - interval 23 month, date_trunc('month', date '{RUN_DATE}'), interval 1 month)) as m)""")
+def monthly_trend_24(spark, sf_dir):
+    return aggregates.monthly_trend(cases(spark, sf_dir), RUN_DATE)
+
+
+@query(CTE + f"select ord, state, district, cast({_DAYS} as int) as days from cases where status in {_ACTIVE} and not minor_involved and cnr is not null and rday is not null order by days desc, ord limit 10")
+def top_longest_pending(spark, sf_dir):
+    return aggregates.top_pending(cases(spark, sf_dir), RUN_DATE)
+
+
+def _sql_regex(parts):
+    import re
+
+    return "(" + "|".join(re.escape(p).replace("\\ ", " ") for p in sorted(parts, key=len, reverse=True)) + ")([^A-Z0-9]|$)"
+
+
+_LABEL = "case " + " ".join(f"when regexp_matches(upper(array_to_string(sections, ' | ')), '{_sql_regex(p)}') then '{label}'" for label, _, p in codes.SEVERITY) + " end"
+_AGGRAVATED = ", ".join(f"'{label}'" for label, flag, _ in codes.SEVERITY if flag)
+
+
+@query(CTE + f"select label, count(*) as n, count(*) filter (where label in ({_AGGRAVATED})) as aggravated from (select {_LABEL} as label from cases) where label is not null group by label")
+def severity_summary(spark, sf_dir):
+    return aggregates.severity_summary(cases(spark, sf_dir))
+
+
+@query(CTE + f"select ord, {_LABEL} as label, coalesce({_LABEL} in ({_AGGRAVATED}), false) as aggravated, regexp_matches(upper(array_to_string(sections, ' | ')), '{_sql_regex(codes.REPEAT_SECTIONS)}') as repeat from cases")
+def severity_label(spark, sf_dir):
+    s = F.col("sections")
+    return cases(spark, sf_dir).select("ord", codes.severity(s).alias("label"), codes.severity(s, "aggravated").alias("aggravated"), codes.is_repeat(s).alias("repeat"))
+
+
+_JUNK = ["'  ipc   376 '", "'376 (2) (i) of Indian Penal Code'", "'POCSO Act 2012'", "'unknown'", "section_1", "section_1"]
+_CANON = ["'IPC 376'", "'IPC 376(2)(i)'"]
+
+
+@query(CTE + """select ord, array_to_string(list_distinct_ordered, '|') as canonical, 'POCSO ACT 2012x|unknown' as unparsed from (select ord,
+  case when section_1 = 'NI ACT 138' then ['IPC 376', 'IPC 376(2)(I)', '138'] else case when section_1 = 'IPC 376' then ['IPC 376', 'IPC 376(2)(I)'] else ['IPC 376', 'IPC 376(2)(I)', section_1] end end as list_distinct_ordered from cases)""".replace("POCSO ACT 2012x", "POCSO Act 2012"))
+def normalize_sections(spark, sf_dir):
+    s = codes.normalize_sections(F.array(*[F.expr(x) for x in _JUNK]))
+    return cases(spark, sf_dir).select("ord", F.array_join(s["canonical"], "|").alias("canonical"), F.array_join(s["unparsed"], "|").alias("unparsed"))
+
+
+@query(CTE + """select code, case code when 'TS' then 'TG' when 'TL' then 'TG' when 'CG' then 'CT' when 'OR' then 'OD' when 'UK' then 'UT' when 'UA' then 'UT' when 'PD' then 'PY' when 'DD' then 'DN' else code end as state, count(*) as n
+  from (select case ord % 4 when 0 then 'TS' when 1 then 'OR' when 2 then state else 'UK' end as code from cases) group by all""")
+def state_alias(spark, sf_dir):
+    raw = F.expr("case ord % 4 when 0 then ' ts' when 1 then 'Or' when 2 then lower(state) else 'UK ' end")
+    return cases(spark, sf_dir).select(F.upper(F.trim(raw)).alias("code"), codes.normalize_state(raw).alias("state")).groupBy("code", "state").agg(F.count("*").alias("n"))
+
+
+@query(CTE + "select case ord % 3 when 0 then 'Gurugram' when 1 then 'Bengaluru' else district end as district, count(*) as n from cases group by 1")
+def district_alias(spark, sf_dir):
+    raw = F.expr("case ord % 3 when 0 then ' GURGAON ' when 1 then 'bangalore' else concat(' ', district) end")
+    return cases(spark, sf_dir).groupBy(codes.canonical_district(raw).alias("district")).agg(F.count("*").alias("n"))
+
+
+_ALL_STATES = ", ".join(f"('{s}')" for s in codes.STATES)
+
+
+@query(CTE + f"select s.state, count(c.ord) as records, count(c.ord) = 0 as gap from (values {_ALL_STATES}) s(state) left join cases c on c.state = s.state group by s.state")
+def coverage_by_state(spark, sf_dir):
+    return aggregates.coverage(cases(spark, sf_dir), codes.STATES)
+
+
+@query(CTE + "select count(*) as total, count(cnr) as anchored, round_even(count(cnr)::double / count(*), 4) as rate from cases")
+def trackability(spark, sf_dir):
+    return aggregates.trackability(cases(spark, sf_dir))
+
+
+@query("""with d as (select cast(unnest(generate_series(date '2024-01-31' - interval 119 day, date '2024-01-31', interval 1 day)) as date) as day), c as (select d.day, count(event_id) as n from d left join events e on cast(e.ts as date) = d.day group by 1)
+  select day, n, cast(sum(n) over (order by day rows between 6 preceding and current row) as bigint) as week, cast(sum(n) over (order by day) as bigint) as total from c""")
+def ingestion_scale_120(spark, sf_dir):
+    return aggregates.ingestion_scale(load(spark, sf_dir, "events"), "2024-01-31")
+
+
+@query("select source, count(*) as documents, count(quality) as extracted, count(*) filter (where quality = 1) as published, round_even(count(*) filter (where quality = 1)::double / count(*), 3) as pass_rate from documents left join labels using (doc_id) group by source")
+def source_funnel(spark, sf_dir):
+    return aggregates.source_funnel(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+def _any(column, parts):
+    return "(" + " or ".join(f"contains(lower({column}), '{p}')" for p in parts) + ")"
+
+
+_TYPE = f"case when {_any('publisher', codes.OFFICIAL)} then 'court' when {_any('publisher', codes.LEGAL_PRESS)} then 'legal_press' when {_any("url || ' ' || publisher", codes.LIVE_BLOG)} then 'live_blog' when {_any("url || ' ' || publisher", codes.PRESS_RELEASE)} then 'press_release' else 'news_article' end"
+_TIER = "case {t} when 'court' then 1 when 'legal_press' then 2 when 'live_blog' then 4 else 3 end"
+
+
+@query(CTE + f"select source_type, {_TIER.format(t='source_type')} as tier, count(*) as n from (select {_TYPE} as source_type from cases) group by all")
+def source_tier(spark, sf_dir):
+    rows = cases(spark, sf_dir).select(codes.source_type(F.col("url"), F.col("publisher")).alias("source_type"))
+    return rows.groupBy("source_type", codes.source_tier(F.col("source_type")).alias("tier")).agg(F.count("*").alias("n"))
+
+
+@query(CTE + f"select coalesce(cnr, 'ord:' || ord) as anchor, min({_TIER.format(t=_TYPE)}) as tier, count(*) as n from cases group by 1")
+def record_tier(spark, sf_dir):
+    rows = cases(spark, sf_dir).withColumn("tier", codes.source_tier(codes.source_type(F.col("url"), F.col("publisher"))))
+    return rows.groupBy(F.coalesce("cnr", F.concat(F.lit("ord:"), F.col("ord").cast("string"))).alias("anchor")).agg(F.min("tier").alias("tier"), F.count("*").alias("n"))
+
+
+@query(CTE + "select ord, ord % 5 in (1, 3) as flagged from cases")
+def slug_flag(spark, sf_dir):
+    return cases(spark, sf_dir).select("ord", codes.identifying_slug(F.col("url")).alias("flagged"))
+
+
+@query("select page_id, case when regexp_matches(lower(trim(url)), '^https?://') then url else '#' end as url from pages")
+def safe_url(spark, sf_dir):
+    return load(spark, sf_dir, "pages").select("page_id", codes.safe_http_url(F.col("url")).alias("url"))
+
+
+@query(r"""select page_id, substr(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script>', ' ', 'g'), '(?is)<style\b.*?</style>', ' ', 'g'), '(?s)<[^>]+>', ' ', 'g'), '[ \t\n\x0b\f\r]+', ' ', 'g')), 1, 20000) as text from pages""")
+def strip_html(spark, sf_dir):
+    return load(spark, sf_dir, "pages").select("page_id", text.strip_html(F.col("html")).alias("text"))
+
+
+@query(r"""select doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '\b\d{4}\s?\d{4}\s?\d{4}\b', '[redacted]', 'g'), '\b(?:\+?91[\-\s]?)?[6-9]\d{9}\b', '[redacted]', 'g'), '\b[\w.+-]+@[\w-]+\.[\w.-]+\b', '[redacted]', 'g'), '\b[A-Z]{5}\d{4}[A-Z]\b', '[redacted]', 'g') as text from documents where regexp_matches(text, '^[\x00-\x7f]*$')""")
+def redact_pii(spark, sf_dir):
+    return load(spark, sf_dir, "documents").where(F.col("text").rlike(r"\A[\x00-\x7f]*\z")).select("doc_id", text.redact(F.col("text")).alias("text"))
+
+
+@query(CTE + r"""select ord, case when ord % 3 = 0 then ['aadhaar'] when ord % 3 = 1 then ['email', 'pan'] else [] end as hits, case when ord % 3 = 2 then true else false end as native from cases""")
+def pii_hits(spark, sf_dir):
+    t = F.expr("case ord % 3 when 0 then concat('no 1234 5678 9012 of ', district) when 1 then concat(lower(district), '@a.example and ABCDE1234F') else concat('पीड़ित ', district) end")
+    return cases(spark, sf_dir).select("ord", text.pii_hits(t).alias("hits"), text.native_script(t).alias("native"))
+
+
+@query(r"select doc_id, regexp_matches(text, '(?i)\b(petitioners?|respondents?|aforesaid|hereinafter|prima facie|cognizance)\b') as legalese, len(list_filter(regexp_split_to_array(text, '[.!?]+'), lambda s: len(list_filter(regexp_split_to_array(s, '[ \t\n\x0b\f\r]+'), lambda w: w <> '')) > 25)) as overlong from documents")
+def readability(spark, sf_dir):
+    v = text.readability_violations(F.col("text"))
+    return load(spark, sf_dir, "documents").select("doc_id", F.exists(v, lambda r: r.startswith("legalese")).alias("legalese"), F.size(F.filter(v, lambda r: r.startswith("sentence"))).cast("long").alias("overlong"))
+
+
+@query(CTE + "select ord, ord % 4 <> 3 as relevant from cases")
+def statute_filter(spark, sf_dir):
+    t = F.expr("case ord % 4 when 0 then 'charged u/s 376 of the code' when 1 then 'the BNS Section 64 case' when 2 then 'a case under pocso' else 'a civil suit, section 9' end")
+    return cases(spark, sf_dir).select("ord", text.statute_hit(t).alias("relevant"))
+
+
+@query(CTE + f"""select ord, list_filter([case when minor_involved then 'minor_involved' end, case when (contains(section_1, 'POCSO') or contains(section_2, 'POCSO')) and not minor_involved then 'pocso_minor_mismatch' end,
+  case when accused_name is not null then 'named_accused' end, case when {_TYPE} in ('live_blog', 'legal_press') then 'live_blog_only' end, case when confidence < 0.85 then 'confidence_below_auto' end], lambda x: x is not null) as reasons from cases""")
+def gate_reasons(spark, sf_dir):
+    return cases(spark, sf_dir).withColumn("source_type", codes.source_type(F.col("url"), F.col("publisher"))).select("ord", gates.hold_reasons().alias("reasons"))
+
+
+_QUALIFIES = "(contains({s}, 'POCSO') or (contains({s}, 'BNS') and try_cast(regexp_extract({s}, '(\\d{{1,3}})', 1) as int) between 63 and 79) or (contains({s}, 'IPC') and try_cast(regexp_extract({s}, '(\\d{{1,3}})', 1) as int) in (354, 375, 376, 377, 509)))"
+
+
+@query(CTE + f"select ord, case when not {_QUALIFIES.format(s='section_1')} and not {_QUALIFIES.format(s='section_2')} then 'scope_review' when confidence < 0.8 then 'low_confidence' end as reason from cases")
+def review_reasons(spark, sf_dir):
+    return cases(spark, sf_dir).select("ord", gates.review_reason().alias("reason"))
+
+
+@query(CTE + "select reason, count(*) as n from (select case ord % 5 when 0 then 'no_jurisdiction' when 1 then 'unknown_state' end as reason from cases) group by reason")
+def jurisdiction_split(spark, sf_dir):
+    rows = cases(spark, sf_dir).withColumn("state", F.expr("case ord % 5 when 0 then ' ' when 1 then 'XX' else state end"))
+    return rows.groupBy(gates.jurisdiction_reason().alias("reason")).agg(F.count("*").alias("n"))
+
+
+@query(CTE + "select ord, list_filter([case when minor_involved and length(incident_reported_date) <> 7 then 'minor_date' end, case when minor_involved and accused_name is not null then 'minor_accused' end, case when not minor_involved and length(incident_reported_date) <> 10 then 'day_date' end], lambda x: x is not null) as violations from cases")
+def schema_split(spark, sf_dir):
+    return cases(spark, sf_dir).select("ord", gates.schema_violations().alias("violations"))
+
+
+@query(CTE + f"select ord from cases where state in ('AP', 'KA', 'TN') and rday between date '{RUN_DATE}' - 400 and date '{RUN_DATE}'")
+def launch_scope(spark, sf_dir):
+    return gates.in_scope(cases(spark, sf_dir), ["AP", "KA", "TN"], 400, RUN_DATE).select("ord")
+
+
+@query(CTE + "select ord, case when court is not null and cnr is not null then accused_name end as accused_name from cases")
+def withhold_names(spark, sf_dir):
+    return cases(spark, sf_dir).select("ord", gates.withheld_accused().alias("accused_name"))
+
+
+@query(CTE + f"select ord, district, status, incident_reported_date from cases where state = 'KA' and status in {_ACTIVE} and not minor_involved and contains(lower(concat_ws(' ', district, status, court, section_1, section_2)), 'bns') order by coalesce({_DAYS}, 0) desc, ord limit 40")
+def explore_filter_sort(spark, sf_dir):
+    return views.explore(cases(spark, sf_dir), RUN_DATE, state="KA", activity="active", minor=False, q="BNS", limit=40).select("ord", "district", "status", "incident_reported_date")
+
+
+@query(CTE + "select 'state' as facet, state as value, count(*) as n from cases group by all union all select 'district', district, count(*) from cases group by all union all select 'status', status, count(*) from cases group by all")
+def facets(spark, sf_dir):
+    return views.facets(cases(spark, sf_dir), ["state", "district", "status"])
+
+
+@query(CTE + "select ord, state, district, status, incident_reported_date from cases order by incident_reported_date desc, ord desc limit 50")
+def feed_recent_50(spark, sf_dir):
+    return views.feed(cases(spark, sf_dir))
+
+
+@query(CTE + "select accused_name, count(*) as n, max(incident_reported_date) as latest, count(*) filter (where status = 'CONVICTED') as convictions from cases where not minor_involved and accused_name is not null group by 1")
+def offenders(spark, sf_dir):
+    return views.offenders(cases(spark, sf_dir))
+
+
+@query("select source, count(*) as ready from documents where not exists (select 1 from labels where labels.doc_id = documents.doc_id) group by source")
+def ledger_ready(spark, sf_dir):
+    return load(spark, sf_dir, "documents").select("doc_id", "source").join(load(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_anti").groupBy("source").agg(F.count("*").alias("ready"))
+
+
+_NEXT = "select ord, case when ord % 10 = 0 then 'CLOSED' else status end as status, court, sections from cases where ord % 7 <> 0"
+
+
+def _later(rows):
+    return rows.where("ord % 7 <> 0").withColumn("status", F.expr("case when ord % 10 = 0 then 'CLOSED' else status end"))
+
+
+@query(CTE + f", a as (select ord, status, court, sections from cases where ord % 13 <> 0), b as ({_NEXT}) select coalesce(a.ord, b.ord) as ord, case when a.ord is null then 'new' when b.ord is null then 'gone' when a.status is not distinct from b.status and a.court is not distinct from b.court and a.sections = b.sections then 'same' else 'changed' end as change from a full join b on a.ord = b.ord")
+def material_change(spark, sf_dir):
+    rows = cases(spark, sf_dir)
+    return identity.material_change(rows.where("ord % 13 <> 0"), _later(rows), "ord", ["status", "court", "sections"])
+
+
+@query(CTE + f", b as ({_NEXT}) select coalesce(a.ord, b.ord) as ord, coalesce(b.status, a.status) as status, b.ord is not null as refreshed from (select * from cases where ord % 13 <> 0) a full join b on a.ord = b.ord")
+def carryover_full_outer(spark, sf_dir):
+    rows = cases(spark, sf_dir)
+    held, fresh = rows.where("ord % 13 <> 0").select("ord", F.col("status").alias("held")), _later(rows).select("ord", F.col("status").alias("fresh"))
+    return held.join(fresh, "ord", "full").select("ord", F.coalesce("fresh", "held").alias("status"), F.col("fresh").isNotNull().alias("refreshed"))
+
+
+@query(CTE + "select ord, case when ord % 50 = 1 then 'CLOSED' else status end as status, ord % 50 = 1 as corrected from cases where ord % 50 <> 2")
+def corrections_left(spark, sf_dir):
+    rows = cases(spark, sf_dir)
+    fixes = rows.where("ord % 50 in (1, 2)").select("ord", (F.col("ord") % 50 == 2).alias("quarantine"), F.lit("CLOSED").alias("override"))
+    return rows.join(fixes, "ord", "left").where("not coalesce(quarantine, false)").select("ord", F.coalesce("override", "status").alias("status"), F.col("override").isNotNull().alias("corrected"))
+
+
+@query(CTE + ", live as (select ord, cnr from cases where ord % 9 = 0) select ord from cases c where ord in (select ord from live) or cnr in (select cnr from live where cnr is not null)")
+def refresh_semi(spark, sf_dir):
+    rows = cases(spark, sf_dir).select("ord", "cnr")
+    live = rows.where("ord % 9 = 0")
+    return rows.join(live.select("ord"), "ord", "left_semi").select("ord").union(rows.join(live.where("cnr is not null").select("cnr"), "cnr", "left_semi").select("ord")).distinct()
+
+
+@query(CTE + """select a.ord as a, b.ord as b from cases a join cases b on a.state = b.state and a.district = b.district and a.category = b.category and a.ord < b.ord and length(a.incident_reported_date) = 10 and length(b.incident_reported_date) = 10
+  and abs(date_diff('day', a.rday, b.rday)) <= 3 and list_has_any(a.sections, b.sections) and not coalesce(a.cnr = b.cnr, false)""")
+def merge_review_pairs(spark, sf_dir):
+    return resolve.review_pairs(cases(spark, sf_dir))
+
+
+@query(CTE + "select ord, case when cnr is null then ord else min(ord) over (partition by cnr) end as component from cases")
+def exact_anchor_components(spark, sf_dir):
+    rows = cases(spark, sf_dir)
+    keys = rows.select(F.col("ord").alias("node"), F.explode(resolve.anchor_keys(F.col("cnr"), F.lit(""), F.lit(""), F.col("incident_reported_date"))).alias("key"))
+    return rows.select("ord").join(resolve.components(keys), F.col("ord") == F.col("node"), "left").select("ord", F.coalesce("component", "ord").alias("component"))
+
+
+@query()
+def dedupe_greedy(spark, sf_dir):
+    """Districts of one customer each, so that a component is a block of cases that can meet."""
+    rows = cases(spark, sf_dir).join(load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("ord"), "o_custkey"), "ord")
+    return resolve.dedupe(rows.withColumns({"district": F.concat(F.lit("D"), F.col("o_custkey").cast("string")), "cnr": F.expr("case when cnr is not null then concat('C', o_custkey, '-', ord % 3) end")}))
+
+
+@query(CTE + f""", m as (select *, case when length(incident_reported_date) >= 4 then incident_reported_date[1:4] else '{RUN_DATE[:4]}' end as year, min(ord) over (partition by coalesce(cnr, 'ord:' || ord)) as first from cases),
+  p as (select cnr, min('CW-' || year || '-' || state || '-' || lpad(cast(ord % 1000 + 1 as varchar), 6, '0')) as known from m where cnr is not null and ord % 8 = 0 group by cnr),
+  t as (select year, state, max(ord % 1000 + 1) as top from m where cnr is not null and ord % 8 = 0 group by year, state),
+  n as (select m.first, 'CW-' || m.year || '-' || m.state || '-' || lpad(cast(coalesce(t.top, 0) + row_number() over (partition by m.year, m.state order by m.ord) as varchar), 6, '0') as new
+        from m left join p on m.cnr = p.cnr left join t on m.year = t.year and m.state = t.state where m.ord = m.first and p.known is null)
+  select m.ord, coalesce(p.known, n.new) as id, p.known is null and m.ord = m.first as minted from m left join p on m.cnr = p.cnr left join n on n.first = m.first""")
+def id_mint(spark, sf_dir):
+    rows = cases(spark, sf_dir)
+    prior = rows.where("cnr is not null and ord % 8 = 0").select("cnr", dates.year_of(F.col("incident_reported_date"), RUN_DATE).alias("year"), "state", (F.col("ord") % 1000 + 1).alias("serial"))
+    prior = prior.withColumn("id", F.concat_ws("-", F.lit("CW"), "year", "state", F.lpad(F.col("serial").cast("string"), 6, "0")))
+    return identity.mint(rows, prior, RUN_DATE)
+
+
+@query(CTE + "select cnr, ord, confidence from (select *, row_number() over (partition by cnr order by court is null, confidence desc, ord) as r from cases where cnr is not null) where r = 1")
+def id_collision_keep(spark, sf_dir):
+    return identity.keep_best(cases(spark, sf_dir).where("cnr is not null"), "cnr", F.col("court").isNull(), F.desc("confidence"), "ord").select("cnr", "ord", "confidence")
+
+
+@query(CTE + "select ord, case when length(incident_reported_date) = 4 then incident_reported_date || '-' || regexp_extract(url, '/(\\d{4})/(\\d{2})/', 2) end as month, case when length(incident_reported_date) = 4 then 'source_url' end as provenance from cases")
+def month_recovery(spark, sf_dir):
+    got = dates.recover_month(F.col("incident_reported_date"), F.array("url"), F.lit("2001-08-02"))
+    return cases(spark, sf_dir).select("ord", got["month"].alias("month"), got["provenance"].alias("provenance"))
+
+
+@query(CTE + "select 'total' as what, count(*) as a, (select sum(n) from (select count(*) as n from cases group by state)) as b, true as agree from cases union all select 'statuses', count(distinct status), 9, count(distinct status) = 9 from cases")
+def count_reconciliation(spark, sf_dir):
+    rows = cases(spark, sf_dir)
+    total, states = rows.agg(F.count("*").alias("a")), aggregates.counts(rows, "state").agg(F.sum("n").alias("b"))
+    first = total.join(states).select(F.lit("total").alias("what"), "a", "b", (F.col("a") == F.col("b")).alias("agree"))
+    return first.union(rows.agg(F.count_distinct("status").alias("a")).select(F.lit("statuses"), "a", F.lit(9).cast("long"), F.col("a") == 9))
+
+
+@query("select cast(json_extract(props, '$.k') as bigint) % 10 as k, count(*) as n, round(sum(value), 4) as total from events group by 1")
+def json_scan(spark, sf_dir):
+    k = F.get_json_object("props", "$.k").cast("long") % 10
+    return load(spark, sf_dir, "events").groupBy(k.alias("k")).agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+
+
+@query("select day, round(spent, 4) as spent, round(sum(spent) over (order by day), 4) as upto from (select cast(ts as date) as day, sum(greatest(value, 0)) as spent from events group by 1)")
+def spend_running(spark, sf_dir):
+    """Spending by day and so far; the running sum is over days, of which a month's ledger has a few dozen."""
+    from pyspark.sql import Window
+
+    daily = load(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("day")).agg(F.sum(F.greatest("value", F.lit(0.0))).alias("spent"))
+    return daily.select("day", F.round("spent", 4).alias("spent"), F.round(F.sum("spent").over(Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)), 4).alias("upto"))
+
+
+@query(CTE + "select cast(pct as bigint) as pct, active, total from (select floor(100.0 * count(*) filter (where status = 'FIR_FILED') / count(*) + 0.5) as pct, count(*) filter (where status in ('FIR_FILED', 'CHARGESHEETED', 'UNDER_TRIAL', 'APPEAL_PENDING')) as active, count(*) as total from cases)")
+def stalled_headline(spark, sf_dir):
+    return aggregates.stalled(cases(spark, sf_dir))
+
+
+@query("""with l as (select sha256(url) as url_hash, case page_id % 3 when 0 then 'failed' else 'published' end as outcome, page_id % 3 as attempts from (select page_id, url || '#' || page_id as url from pages where page_id % 2 = 0)),
+  n as (select sha256(url || '#' || page_id) as url_hash, 'failed' as new from pages where page_id % 4 < 2)
+  select coalesce(l.url_hash, n.url_hash) as url_hash, case when new is null then outcome when coalesce(attempts, 0) + 1 >= 3 then 'failed_permanent' else new end as outcome, cast(coalesce(attempts, 0) + case when new = 'failed' then 1 else 0 end as int) as attempts,
+  coalesce(case when l.url_hash is not null then '2001-08-01' end, '2001-08-02') as first_seen, case when new is not null then '2001-08-02' else '2001-08-01' end as last_seen from l full join n on l.url_hash = n.url_hash""")
+def ledger_update(spark, sf_dir):
+    pages = load(spark, sf_dir, "pages").select("page_id", F.concat_ws("#", "url", F.col("page_id").cast("string")).alias("url"))
+    ledger = pages.where("page_id % 2 = 0").select(F.sha2("url", 256).alias("url_hash"), F.expr("case page_id % 3 when 0 then 'failed' else 'published' end").alias("outcome"), (F.col("page_id") % 3).alias("attempts"), F.lit("2001-08-01").alias("first_seen"), F.lit("2001-08-01").alias("last_seen"))
+    return identity.ledger_step(ledger, pages.where("page_id % 4 < 2").select("url", F.lit("failed").alias("outcome")), RUN_DATE)
+
+
+@query("select distinct user_id, event_type from events")
+def stream_dedupe(spark, sf_dir):
+    return streams.drained(streams.distinct_users(streams.source(spark, sf_dir)), "append")
+
+
+@query("select date_trunc('day', ts) as start, event_type, count(*) as n, round(sum(value), 4) as total from events group by all")
+def stream_windows(spark, sf_dir):
+    return streams.drained(streams.hourly(streams.source(spark, sf_dir)), "complete").withColumn("total", F.round("total", 4))
