@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from casewright.llm.common import durable
 from casewright.llm.vectors import dimension, matrix, usable
 
-TABLES, HASHES, WIDTH, PROBES = 4, 8, 2.0, 320
+TABLES, HASHES, WIDTH, PROBES = 4, 8, 2.0, 480
 #: Rows and queries that one task holds at a time.
 BLOCK, QUERIES = 8192, 4096
 _BIAS = 128

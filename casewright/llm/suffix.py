@@ -20,9 +20,9 @@ from casewright.llm.common import Hashes, durable, mix, slices, utf8
 
 GRAM = 32
 #: Bytes of text whose strings are anchored at a time; a longer text is taken in pieces that overlap.
-PIECE = 1 << 21
+PIECE = 1 << 20
 #: Bytes of runs in one transform, unless one anchor alone has more.
-BLOCK = 1 << 22
+BLOCK = 1 << 20
 #: Bits of the largest filter that is broadcast (4 MB). With more runs to fetch, texts are joined to them instead.
 FILTER_BITS = 1 << 25
 PACK = 1 << 10
@@ -72,16 +72,32 @@ def _piece(x: np.ndarray, edge: np.ndarray, first: int, shift: np.ndarray, lengt
 
 
 def _anchored(docs: DataFrame, length: int) -> DataFrame:
-    """(anchor, run, doc, place): place packs where the run begins and how many strings it has."""
+    """(anchor, run, doc, place, again): place packs where the run begins and how many strings it has.
+
+    again marks a run that the same batch has earlier: it is known to repeat, needs no other occurrence beside it
+    and gets an anchor of its own, so that copies and common passages don't all meet in one task.
+    """
 
     def each(batches):
         for batch in batches:
             raw, at = utf8(batch.column(1))
             ids = batch.column(0).to_numpy()
-            for anchor, run, text, start, count in runs(raw, at, length):
-                yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(run), pa.array(ids[text]), pa.array(start * PACK + count)], names=["anchor", "run", "doc", "place"])
+            got = list(runs(raw, at, length))
+            if not got:
+                continue
+            anchor, run, text, start, count = (np.concatenate(x) for x in zip(*got, strict=True))
+            doc, place = ids[text], start * PACK + count
+            order = np.lexsort((place, doc, run))
+            same = np.append(False, (run[order][1:] == run[order][:-1]) & (anchor[order][1:] == anchor[order][:-1]))
+            first = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
+            again = np.zeros(len(order), bool)
+            again[order] = same & ((doc[order] != doc[first]) | (place[order] != place[first]))
+            anchor = np.where(again, mix(doc.astype(np.uint64) ^ mix(place.astype(np.uint64))).view(np.int64), anchor)
+            for lo in range(0, len(anchor), 100_000):
+                part = slice(lo, lo + 100_000)
+                yield pa.RecordBatch.from_arrays([pa.array(x[part]) for x in (anchor, run, doc, place, again)], names=["anchor", "run", "doc", "place", "again"])
 
-    return docs.where("id is not null").mapInArrow(each, "anchor long, run long, doc long, place long")
+    return docs.where("id is not null").mapInArrow(each, "anchor long, run long, doc long, place long, again boolean")
 
 
 def _told(rows: DataFrame) -> DataFrame:
@@ -90,7 +106,11 @@ def _told(rows: DataFrame) -> DataFrame:
     def each(batches):
         held = (None, None, None, None, False)  # the last run's first occurrence, and whether it is already passed on
         for batch in batches:
-            anchor, run, doc, place = (batch.column(k).to_numpy() for k in range(4))
+            known = batch.column(4).to_numpy(zero_copy_only=False)
+            every = [batch.column(k).to_numpy() for k in range(4)]
+            if known.any():
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(int(known.sum()), np.int32)), *(pa.array(every[k][known]) for k in (0, 2, 3))], names=["kind", "anchor", "doc", "place"])
+            anchor, run, doc, place = (x[~known] for x in every)
             if not len(anchor):
                 continue
             same = np.zeros(len(anchor), bool)

@@ -23,16 +23,18 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 class Bloom:
-    """A filter over pairs of 64-bit hashes."""
+    """A filter over pairs of 64-bit hashes; levels of a cascade differ by their ``salt``, so that keys which meet in
+    one level part in another."""
 
-    def __init__(self, n: int, rate: float):
+    def __init__(self, n: int, rate: float, salt: int):
+        self.salt = np.uint64((salt + 1) * 0x9E3779B97F4A7C15 % 2**64)
         per_key = 1.44 * math.log2(1 / rate)
         self.bits = max(64, int(n * per_key))
         self.hashes = max(1, round(per_key * 0.69))
         self.words = np.zeros(self.bits // 64 + 1, np.uint64)
 
     def _slots(self, a: np.ndarray, b: np.ndarray):
-        a, b = a.view(np.uint64), b.view(np.uint64) | np.uint64(1)
+        a, b = mix(a.view(np.uint64) ^ self.salt), mix(b.view(np.uint64) + self.salt) | np.uint64(1)
         for k in range(self.hashes):
             yield mix(a + b * np.uint64(k)) % np.uint64(self.bits)
 
@@ -98,7 +100,7 @@ def cascade(universe: DataFrame, a: np.ndarray, b: np.ndarray, size: int) -> lis
     Level 0 is as fine as needed for no more false hits than there are listed keys or so.
     """
     mine = np.sort(np.rec.fromarrays([a, b], names="a,b"))
-    first = Bloom(len(a), min(0.5, max(1, len(a)) / max(1, size)))
+    first = Bloom(len(a), min(0.5, max(1, len(a)) / max(1, size)), 0)
     first.add(a, b)
     levels = [first]
     wrong = durable(_false_hits(universe, levels, mine, 0))
@@ -108,7 +110,7 @@ def cascade(universe: DataFrame, a: np.ndarray, b: np.ndarray, size: int) -> lis
         raise RuntimeError("level 0 took far more keys than its rate allows")
     outs = tuple(got.column(k).to_numpy() for k in range(2))
     while len(outs[0]):
-        level = Bloom(len(outs[0]), 0.25)
+        level = Bloom(len(outs[0]), 0.25, len(levels))
         level.add(*outs)
         levels.append(level)
         took = level.has(*ins)
