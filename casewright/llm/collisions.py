@@ -52,11 +52,13 @@ def colliding(x: np.ndarray, y: np.ndarray, half: float, least: int) -> tuple[np
     for i in range(0, a.shape[1], TILE):
         for j in range(0, b.shape[1], 4 * TILE):
             s, t = a[:, i : i + TILE], b[:, j : j + 4 * TILE]
-            count = np.zeros((s.shape[1], t.shape[1]), np.uint8)
+            count, apart, hit = np.zeros((s.shape[1], t.shape[1]), np.uint8), np.empty((s.shape[1], t.shape[1]), np.uint8), np.empty((s.shape[1], t.shape[1]), bool)
             for k in range(len(a)):
                 # the window [p - reach, p + reach] as one comparison of numbers that wrap around
                 low = (s[k].astype(np.int16) - reach).astype(np.uint8)[:, None]
-                count += (t[k].view(np.uint8)[None, :] - low) <= np.uint8(min(255, 2 * int(reach)))
+                np.subtract(t[k].view(np.uint8)[None, :], low, out=apart)
+                np.less_equal(apart, np.uint8(min(255, 2 * int(reach))), out=hit)
+                np.add(count, hit.view(np.uint8), out=count)
             p, q = np.nonzero(count >= least)
             left.append(p + i)
             right.append(q + j)
