@@ -144,15 +144,21 @@ def nearest(rows: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_
                 keep = score >= least
                 score, who = score[keep], who[keep]
             best = np.lexsort((who, -score))[: k + 1]
-            out[0] += [int(ids[q])] * len(best)
-            out[1] += who[best].tolist()
-            out[2] += score[best].tolist()
-        return pa.table([pa.array(o, t) for o, t in zip(out, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["q", "c", "score"])
-
-    found = data.union(probes).groupBy("t", "g", "i", "j").applyInArrow(ranked, "q long, c long, score double")
-    merged = found.groupBy("q", "c").agg(F.max("score").alias("score"))
-    by_score = Window.partitionBy("q").orderBy(F.desc("score"), "c")
-    classes_ = merged.withColumn("r", F.row_number().over(by_score)).where(F.col("r") <= k + 1).select("q", "c", "score")
+            out[0].append(int(ids[q]))
+            out[1].append(who[best].tolist())
+            out[2].append(score[best].tolist())
+        return pa.table([pa.array(o, t) for o, t in zip(out, (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64())), strict=True)], names=["q", "c", "score"])
+
+    def merged(table):
+        """The best of one query's short lists; a candidate that several tables found counts once."""
+        who, score = (table.column(n).combine_chunks().flatten().to_numpy() for n in ("c", "score"))
+        who, first = np.unique(who, return_index=True)
+        score = score[first]
+        best = np.lexsort((who, -score))[: k + 1]
+        return pa.table([pa.array(np.full(len(best), table.column("q")[0].as_py())), pa.array(who[best]), pa.array(score[best])], names=["q", "c", "score"])
+
+    found = data.union(probes).groupBy("t", "g", "i", "j").applyInArrow(ranked, "q long, c array<long>, score array<double>")
+    classes_ = found.groupBy("q").applyInArrow(merged, "q long, c long, score double")
     spread = classes_.join(members.select("c", "id"), "c").where("id != q")
     final = Window.partitionBy("q").orderBy(F.desc("score"), "id")
     return spread.withColumn("rank", F.row_number().over(final)).where(F.col("rank") <= k).select(F.col("q").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
