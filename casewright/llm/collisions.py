@@ -15,13 +15,17 @@ from math import comb, erf, sqrt
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import FloatType
 
 from casewright.llm.common import components, durable
 from casewright.llm.vectors import classes, dimension, matrix
 
 #: Half a window, in standard deviations of what a pair at the threshold differs by.
 WINDOW = 2.0
-DIRECTIONS = 32
+DIRECTIONS = 64
+#: Cells of one direction, and how many standard deviations of the projections they span to each side.
+CELLS = 8
+EXTENT = 2.2
 #: How likely a pair at the threshold may be passed over.
 MISS = 1e-6
 #: Vectors in a block; a task holds two blocks.
@@ -39,29 +43,24 @@ def least_count(directions: int = DIRECTIONS, window: float = WINDOW, miss: floa
     return directions
 
 
-def colliding(x: np.ndarray, y: np.ndarray, half: float, least: int) -> tuple[np.ndarray, np.ndarray]:
+def colliding(x: np.ndarray, y: np.ndarray, half: float, least: int, cells: int = CELLS) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (i, j) of rows of the projections x and y that lie within ``half`` on ``least`` directions or more.
 
-    Projections become whole numbers of 8 bits, windows being widened by the rounding, so that all pairs of a tile
-    are counted with few passes over small integers.
+    Each direction is cut into cells, and the window around a projection of y is widened to whole cells, so no
+    collision is lost. A row of x then has a one in its cell of each direction and a row of y in all cells of its
+    window; the product of the two matrices is the number of collisions of every pair.
     """
-    scale = min(120.0 / max(1e-12, np.abs(x).max(initial=0), np.abs(y).max(initial=0)), 64.0 / half)
-    a, b = (np.rint(v.T * scale).astype(np.int8) for v in (x, y))
-    reach = np.uint8(min(254, int(np.ceil(half * scale)) + 1))
+    middle, spread = x.mean(0), x.std(0)
+    edges = [middle + spread * e for e in np.linspace(-EXTENT, EXTENT, cells + 1)[1:-1]]
+    cell = lambda p: sum((p >= e for e in edges), np.zeros(p.shape, np.int8))[:, :, None]
+    every = np.arange(cells, dtype=np.int8)
+    own = (cell(x) == every).reshape(len(x), -1).astype(np.float32)
+    window = ((cell(y - half - 1e-9) <= every) & (cell(y + half + 1e-9) >= every)).reshape(len(y), -1).astype(np.float32).T
     left, right = [], []
-    for i in range(0, a.shape[1], TILE):
-        for j in range(0, b.shape[1], 4 * TILE):
-            s, t = a[:, i : i + TILE], b[:, j : j + 4 * TILE]
-            count, apart, hit = np.zeros((s.shape[1], t.shape[1]), np.uint8), np.empty((s.shape[1], t.shape[1]), np.uint8), np.empty((s.shape[1], t.shape[1]), bool)
-            for k in range(len(a)):
-                # the window [p - reach, p + reach] as one comparison of numbers that wrap around
-                low = (s[k].astype(np.int16) - reach).astype(np.uint8)[:, None]
-                np.subtract(t[k].view(np.uint8)[None, :], low, out=apart)
-                np.less_equal(apart, np.uint8(min(255, 2 * int(reach))), out=hit)
-                np.add(count, hit.view(np.uint8), out=count)
-            p, q = np.nonzero(count >= least)
-            left.append(p + i)
-            right.append(q + j)
+    for i in range(0, len(x), TILE):
+        p, q = np.nonzero(own[i : i + TILE] @ window >= least)
+        left.append(p + i)
+        right.append(q)
     return np.concatenate(left or [np.zeros(0, np.int64)]), np.concatenate(right or [np.zeros(0, np.int64)])
 
 
@@ -114,8 +113,8 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
         g, i, j = table.column("g").to_numpy(), key[0].as_py(), key[1].as_py()
         ids, n = table.column("id").to_numpy(), table.column("n").to_numpy()
         v = matrix(table.column("v").combine_chunks())
-        unit = v / np.linalg.norm(v, axis=1)[:, None]
-        p = unit @ directions
+        size = np.sqrt((v * v).sum(1))
+        p = v @ directions / size[:, None]
         mine, other = np.flatnonzero(g == i), np.flatnonzero(g == j)
         a, b = colliding(p[mine], p[other], half, least)
         a, b = mine[a], other[b]
@@ -123,21 +122,23 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
             a, b = a[a < b], b[a < b]
         ok = np.zeros(len(a), bool)
         for k in range(0, len(a), 1 << 16):
-            s, t = v[a[k : k + (1 << 16)]], v[b[k : k + (1 << 16)]]
-            ok[k : k + (1 << 16)] = (s * t).sum(1) / (np.sqrt((s * s).sum(1)) * np.sqrt((t * t).sum(1))) >= cosine
+            s, t = a[k : k + (1 << 16)], b[k : k + (1 << 16)]
+            ok[k : k + (1 << 16)] = np.einsum("ij,ij->i", v[s], v[t]) / (size[s] * size[t]) >= cosine
         a, b = a[ok], b[ok]
         links = np.bincount(a, n[b], len(ids)) + np.bincount(b, n[a], len(ids))
         has = np.flatnonzero(links)
         x, y = _forest(ids[a], ids[b])
         return pa.table([pa.array([*ids[has].tolist(), *x], pa.int64()), pa.array([*[0] * len(has), *y], pa.int64()), pa.array([*links[has].astype(np.int64).tolist(), *[0] * len(x)], pa.int64())], names=["a", "b", "links"])
 
+    # vectors of floats travel as floats, which doubles hold exactly
+    kind = "array<float>" if rows.schema[vector_col].dataType.elementType == FloatType() else "array<double>"
     # a row with links counts a class's links within one pair of blocks; one without is an edge
-    found = durable(blocked.select("id", "n", "v", "g").join(F.broadcast(pairs), "g").groupBy("gi", "gj").applyInArrow(compare, "a long, b long, links long"))
+    found = durable(blocked.select("id", "n", F.col("v").cast(kind).alias("v"), "g").join(F.broadcast(pairs), "g").groupBy("gi", "gj").applyInArrow(compare, "a long, b long, links long"))
     tops = components(found.where("links = 0"))
     counts = found.where("links > 0").groupBy(F.col("a").alias("l_id")).agg(F.sum("links").alias("links"))
     told = every.join(tops, F.col("id") == F.col("node"), "left").join(counts, F.col("id") == F.col("l_id"), "left")
-    told = told.select(F.col("v").alias("class_v"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"), F.coalesce("component", "id").alias("component"))
-    keyed = base.select("id", F.transform("v", lambda x: x.cast("double")).alias("v"))
+    told = told.select(F.col("v").cast(kind).alias("class_v"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"), F.coalesce("component", "id").alias("component"))
+    keyed = base.select("id", F.col("v").cast(kind).alias("v"))
     joined = keyed.join(told, (F.col("v") == F.col("class_v")) & F.col("id").isNotNull(), "left")
     component = F.coalesce("component", "id")
     return joined.select(F.col("id").alias(id_col), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
