@@ -19,6 +19,8 @@ BUCKETS = 1 << 18
 GRAMS = (3, 4, 5)
 #: Labelled documents that training takes at most: those of least hash of the id.
 SAMPLE = 3000
+#: Steps of training at least; few labelled documents are gone through more often.
+STEPS = 6000
 CHUNK = 1 << 19
 _hashes = Hashes(5)
 _SPACE = np.zeros(256, bool)
@@ -81,6 +83,7 @@ def train(texts: list[np.ndarray], labels: np.ndarray, dims: int = 8, epochs: in
     share = np.bincount(labels, minlength=2) / max(1, len(labels))
     if len(labels) == 0 or share.min() == 0:
         return np.concatenate([np.zeros(BUCKETS), [np.log((share[1] + 1e-3) / (share[0] + 1e-3)) if len(labels) else 0.0]])
+    epochs = max(epochs, -(-STEPS // len(labels)))
     rows = [_counted(t) for t in texts]
     for b, _ in rows:
         seen[b] = True
