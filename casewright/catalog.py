@@ -15,7 +15,7 @@ CTE = f"""with cases as (select *, case when section_1 = section_2 then [section
   case when length(incident_reported_date) = 10 then cast(incident_reported_date as date) when length(incident_reported_date) = 7 then cast(incident_reported_date || '-01' as date) end as rday from ({CASES_SQL}))
 """
 _ACTIVE = "('FIR_FILED', 'CHARGESHEETED', 'UNDER_TRIAL', 'APPEAL_PENDING')"
-_DAYS = f"greatest(date_diff('day', rday, date '{RUN_DATE}'), 0)"
+_DAYS = f"case when rday is not null then greatest(date_diff('day', rday, date '{RUN_DATE}'), 0) end"
 
 
 def query(oracle: str | None = None, name: str | None = None):
@@ -35,10 +35,10 @@ def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(CTE + f"""select state, district, count(*) as total, count(*) filter (where status = 'UNDER_TRIAL') as under_trial, count(*) filter (where status = 'CONVICTED') as convictions,
   count(*) filter (where status in ('ACQUITTED', 'QUASHED')) as acquittals, count(*) filter (where status = 'FIR_FILED') as pre_chargesheet,
   cast(round_even(100.0::double * count(*) filter (where status = 'UNDER_TRIAL') / count(*), 0) as int) as under_trial_pct,
-  cast(trunc(median({_DAYS}) filter (where not minor_involved and status in {_ACTIVE})) as int) as median_pending,
-  cast(max({_DAYS}) filter (where not minor_involved and status in {_ACTIVE} and rday is not null) as int) as longest_days,
-  max(ord) filter (where not minor_involved and status in {_ACTIVE} and rday is not null and {_DAYS} = top) as longest_ord
-  from (select *, max(case when not minor_involved and status in {_ACTIVE} then {_DAYS} end) over (partition by state, district) as top from cases)
+  cast(trunc(median({_DAYS}) filter (where not minor_involved and cnr is not null and status in {_ACTIVE})) as int) as median_pending,
+  cast(max({_DAYS}) filter (where not minor_involved and cnr is not null and status in {_ACTIVE}) as int) as longest_days,
+  max(ord) filter (where not minor_involved and cnr is not null and status in {_ACTIVE} and {_DAYS} = top) as longest_ord
+  from (select *, max(case when not minor_involved and cnr is not null and status in {_ACTIVE} then {_DAYS} end) over (partition by state, district) as top from cases)
   group by state, district order by total desc, state, district limit 120""")
 def jurisdiction_scorecard(spark, sf_dir):
     return aggregates.jurisdiction_scorecard(cases(spark, sf_dir), RUN_DATE)

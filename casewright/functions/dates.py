@@ -15,7 +15,9 @@ def reported_date(text: Column) -> Column:
 
 
 def days_since(text: Column, run_date: str) -> Column:
-    return F.greatest(F.datediff(F.lit(run_date).cast("date"), reported_date(text)), F.lit(0))
+    """Days from the reported date to the run, 0 at least; null without a date."""
+    day = reported_date(text)
+    return F.when(day.isNotNull(), F.greatest(F.datediff(F.lit(run_date).cast("date"), day), F.lit(0)))
 
 
 def year_of(text: Column, run_date: str) -> Column:

@@ -22,8 +22,8 @@ def monthly_trend(cases: DataFrame, run_date: str, months: int = 24) -> DataFram
 
 
 def jurisdiction_scorecard(cases: DataFrame, run_date: str, most: int = 120) -> DataFrame:
-    """A row for each state and district: totals, share under trial, outcomes, pendency (no pendency where a minor is involved)."""
-    days = F.when(~F.col("minor_involved") & F.col("status").isin(ACTIVE), dates.days_since(F.col("incident_reported_date"), run_date))
+    """A row for each state and district: totals, share under trial, outcomes, pendency (of active cases that a court number stands for, without a minor)."""
+    days = F.when(~F.col("minor_involved") & F.col("status").isin(ACTIVE) & F.col("cnr").isNotNull(), dates.days_since(F.col("incident_reported_date"), run_date))
     n = lambda *s: F.count_if(F.col("status").isin(*s))
     rows = cases.withColumn("days", days).groupBy("state", "district").agg(
         F.count("*").alias("total"), n("UNDER_TRIAL").alias("under_trial"), n("CONVICTED").alias("convictions"), n("ACQUITTED", "QUASHED").alias("acquittals"), n("FIR_FILED").alias("pre_chargesheet"),
