@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casewright.functions import codes, dates, text
 from casewright.operators import aggregates, gates, identity, resolve, views
+from casewright.sources import parsers
 from casewright.sources.adapters import CASES_SQL, RUN_DATE, cases as _cases, load
 from casewright.streaming import events as streams
 
@@ -376,3 +377,31 @@ def stream_dedupe(spark, sf_dir):
 @query("select date_trunc('day', ts) as start, event_type, count(*) as n, round(sum(value), 4) as total from events group by all")
 def stream_windows(spark, sf_dir):
     return streams.drained(streams.hourly(streams.source(spark, sf_dir)), "complete").withColumn("total", F.round("total", 4))
+
+
+@query("select page_id, cast(page_id as varchar) as tid, '' as title, '' as headline, 'Court ' || (page_id % 3) as docsource, '' as publishdate from pages")
+def search_hits(spark, sf_dir):
+    payload = F.format_string('{"docs": [{"tid": %d, "docsource": "Court %d"}, {"tid": ""}, {"title": "no id"}, 1]}', "page_id", F.col("page_id") % 3)
+    return parsers.search_hits(load(spark, sf_dir, "pages").select("page_id", payload.alias("payload")), "payload")
+
+
+@query(CTE + "select ord, url, concat_ws('. ', 'CNR: ' || cnr, 'Court: ' || court, 'District: ' || district, 'Sections: ' || array_to_string(sections, ', ')) as text from cases")
+def court_cases(spark, sf_dir):
+    rows = cases(spark, sf_dir)
+    payload = F.to_json(F.struct(F.array(F.struct("url", "district", "sections", "court", "cnr")).alias("cases")))
+    return parsers.court_cases(rows.select("ord", payload.alias("payload")), "payload")
+
+
+@query(CTE + "select ord, concat_ws('. ', 'Court: ' || court, 'Date: ' || incident_reported_date, 'Held in ' || district || ' .') as text, coalesce(court, 'Registry') as publisher from cases")
+def judgment_text(spark, sf_dir):
+    body = F.concat(F.lit("<p>Held in <b>"), "district", F.lit("</b>.</p><script>x()</script>"))
+    text_ = parsers.judgment_text(body, F.col("court"), F.lit(" "), F.col("incident_reported_date"))
+    return cases(spark, sf_dir).select("ord", text_.alias("text"), parsers.publisher(F.col("court"), "Registry").alias("publisher"))
+
+
+@query("select 'https://s.example/' || page_id as url, case when page_id % 2 = 0 then '' else 'KA' end as state, 'District ' || (page_id % 5) as district, '' as incident_date, cast(page_id as int) as issue_number from pages where page_id % 7 <> 0")
+def submissions(spark, sf_dir):
+    url = F.when(F.col("page_id") % 7 == 0, "none yet").otherwise(F.concat(F.lit("see (https://s.example/"), F.col("page_id").cast("string"), F.lit(") there")))
+    state = F.when(F.col("page_id") % 2 == 0, "_No response_").otherwise("KA")
+    body = F.concat(F.lit("### Public source URL\n\n"), url, F.lit("\n### State / UT\n"), state, F.lit("\n### District\nDistrict "), (F.col("page_id") % 5).cast("string"), F.lit("\n### Anything else\nno\n"))
+    return parsers.submissions(load(spark, sf_dir, "pages").select(F.col("page_id").alias("number"), body.alias("body")))
