@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casewright.functions import codes, dates, text
-from casewright.operators import aggregates, gates, identity, resolve, views
-from casewright.sources import parsers
+from casewright.functions import codes, dates, minors, persons, text
+from casewright.operators import aggregates, gates, identity, models, resolve, views
+from casewright.sources import feeds, parsers
 from casewright.sources.adapters import CASES_SQL, RUN_DATE, cases as _cases, load
 from casewright.streaming import events as streams
 
@@ -170,9 +170,9 @@ def strip_html(spark, sf_dir):
     return load(spark, sf_dir, "pages").select("page_id", text.strip_html(F.col("html")).alias("text"))
 
 
-@query(r"""select doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '\b\d{4}\s?\d{4}\s?\d{4}\b', '[redacted]', 'g'), '\b(?:\+?91[\-\s]?)?[6-9]\d{9}\b', '[redacted]', 'g'), '\b[\w.+-]+@[\w-]+\.[\w.-]+\b', '[redacted]', 'g'), '\b[A-Z]{5}\d{4}[A-Z]\b', '[redacted]', 'g') as text from documents where regexp_matches(text, '^[\x00-\x7f]*$')""")
+@query(r"""select doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '\b\d{4}\s?\d{4}\s?\d{4}\b', '[redacted]', 'g'), '\b(?:\+?91[\-\s]?)?[6-9]\d{9}\b', '[redacted]', 'g'), '\b[\w.+-]+@[\w-]+\.[\w.-]+\b', '[redacted]', 'g'), '\b[A-Z]{5}\d{4}[A-Z]\b', '[redacted]', 'g') as text from documents """)
 def redact_pii(spark, sf_dir):
-    return load(spark, sf_dir, "documents").where(F.col("text").rlike(r"\A[\x00-\x7f]*\z")).select("doc_id", text.redact(F.col("text")).alias("text"))
+    return load(spark, sf_dir, "documents").select("doc_id", text.redact(F.col("text")).alias("text"))
 
 
 @query(CTE + r"""select ord, case when ord % 3 = 0 then ['aadhaar'] when ord % 3 = 1 then ['email', 'pan'] else [] end as hits, case when ord % 3 = 2 then true else false end as native from cases""")
@@ -405,3 +405,124 @@ def submissions(spark, sf_dir):
     state = F.when(F.col("page_id") % 2 == 0, "_No response_").otherwise("KA")
     body = F.concat(F.lit("### Public source URL\n\n"), url, F.lit("\n### State / UT\n"), state, F.lit("\n### District\nDistrict "), (F.col("page_id") % 5).cast("string"), F.lit("\n### Anything else\nno\n"))
     return parsers.submissions(load(spark, sf_dir, "pages").select(F.col("page_id").alias("number"), body.alias("body")))
+
+
+_FACTS = {
+    "category": "case ord % 3 when 0 then 'pocso' when 1 then 'rape' else 'acid_attack' end",
+    "accused_count": "case when ord % 5 < 3 then cast(ord % 12 as int) end",
+    "acted": "case ord % 4 when 0 then 'arrest_made' when 1 then 'bail_denied' when 2 then 'chargesheet_filed' end",
+    "acted_too": "case when ord % 11 < 3 then 'appeal_filed' end",
+    "repeat_offence": "ord % 7 = 0",
+    "weapon_or_threat": "ord % 9 < 2",
+    "sentence_years": "case when ord % 13 < 2 then cast(ord % 13 as int) end",
+    "was_minor": "ord % 8 < 5",
+}
+_FACTS_SQL = ", facts as (select * exclude (category), " + ", ".join(f"{sql} as {name}" for name, sql in _FACTS.items()) + " from cases)"
+
+
+def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = cases(spark, sf_dir).withColumns({name: F.expr(sql) for name, sql in _FACTS.items()})
+    return rows.withColumns({"minor_involved": F.col("was_minor"), "institutional_actions": F.array_compact(F.array("acted_too", "acted"))})
+
+
+_NAMED = "case state " + " ".join(f"when '{c}' then '{n}'" for c, n in zip(codes.STATES, codes.STATE_NAMES, strict=True)) + " end"
+_CALLED = "case category when 'pocso' then 'Child sexual offence' when 'rape' then 'Rape' else 'Acid attack' end"
+
+
+@query(CTE + _FACTS_SQL + f""", p as (select *, coalesce({_LABEL}, {_CALLED}) as phrase0, incident_reported_date[1:4] as y from facts where was_minor),
+  q as (select *, case when regexp_matches(lower(phrase0), 'child|minor') then phrase0 else phrase0 || ' involving a minor' end as phrase, case when accused_count >= 1 then accused_count end as cnt from p),
+  r as (select *, lower(phrase[1]) || phrase[2:] as off, cast(cnt is not null as int) + cast(coalesce(acted, acted_too) is not null as int) + cast(repeat_offence as int) + cast(weapon_or_threat as int) + cast(sentence_years is not null as int) as known,
+    case when cnt <= 10 then ['One', 'Two', 'Three', 'Four', 'Five', 'Six', 'Seven', 'Eight', 'Nine', 'Ten'][cnt] else cast(cnt as varchar) end || case when cnt = 1 then ' person was' else ' people were' end as who from q)
+  select ord, (phrase || ' — ' || district || ' (' || y || ')')[1:90] as title, incident_reported_date[1:7] as reported,
+  case when known >= 2 then concat_ws(' ', case when acted = 'arrest_made' and cnt is not null then who || ' arrested in ' || district || ' for the ' || off || '.' when acted = 'arrest_made' then 'An arrest was made in ' || district || ' for the ' || off || '.'
+      when cnt is not null then who || ' accused of the ' || off || ' in ' || district || '.' else 'A case of ' || off || ' in ' || district || ' was recorded.' end,
+    case when weapon_or_threat then 'A weapon or threat was involved.' end, case when repeat_offence then 'The accused is recorded as a repeat offender.' end,
+    case when acted = 'chargesheet_filed' then 'Police have filed a chargesheet.' end, case when acted = 'bail_denied' then 'Bail was denied.' end, case when acted_too is not null then 'An appeal was filed.' end,
+    case when sentence_years is not null then 'The court imposed a sentence of ' || sentence_years || case when sentence_years = 1 then ' year.' else ' years.' end end, 'Identifying details are withheld by law (POCSO s.23).')
+  else 'A case of ' || off || ' in ' || district || ', ' || {_NAMED} || ' (' || y || '). ' || case status {" ".join(f"when '{k}' then '{v}'" for k, v in minors.STATUSES.items())} end || '. Identifying details are withheld by law (POCSO s.23).' end as summary
+  from r""")
+def minor_projection(spark, sf_dir):
+    return minors.project(_facts(spark, sf_dir)).where("minor_involved").select("ord", "title", F.col("incident_reported_date").alias("reported"), "summary")
+
+
+@query(CTE + """select ord, case ord % 6 when 0 then 'Police said [occupation withheld] in ' || district when 1 then 'A teacher was arrested in ' || district || ' on Monday' when 2 then 'The accused, a tutor, of ' || district
+  when 3 then '[occupation withheld] was assaulted, man held' when 4 then 'Near ' || district || ' [occupation withheld] filed a report' else 'One of the many men accused raped [occupation withheld] ; held' end as text from cases""")
+def occupation_scrub(spark, sf_dir):
+    t = F.expr("""case ord % 6 when 0 then 'Police said the accused raped a nurse in ' || district when 1 then 'A teacher was arrested in ' || district || ' on Monday' when 2 then 'The accused, a tutor, of ' || district
+      when 3 then 'Cabin crew member was assaulted, man held' when 4 then 'Near ' || district || ' a 24-year-old student of Green Hill College filed a report' else 'One of the many men accused raped nurse ; held' end""")
+    return cases(spark, sf_dir).select("ord", persons.without_occupations(t).alias("text"))
+
+
+@query(CTE + """select ord, case ord % 5 when 0 then ['numeric_years_old'] when 1 then ['descriptor_number', 'school_class'] when 2 then ['teenager_word'] else [] end as ages, case ord % 5 when 3 then ['Father', 'in-law'] when 4 then ['neighbour', 'uncle'] else [] end as relations, not minor_involved as hold from cases""")
+def identity_hits(spark, sf_dir):
+    t = F.expr("case ord % 5 when 0 then 'she is 9 years old' when 1 then 'a girl 12 of class VI' when 2 then 'The Teenager spoke' when 3 then 'Her Father-in-law' else 'a neighbour, an uncle' end")
+    return cases(spark, sf_dir).select("ord", persons.age_hits(t).alias("ages"), persons.relations(t).alias("relations"), persons.identity_detail(F.col("minor_involved"), t).alias("hold"))
+
+
+@query("select page_id, case when page_id % 2 = 0 then 'https://f.example/' || page_id else 'https://a.example/' || page_id end as url, case when page_id % 2 = 0 then 'Case ' || page_id || '. Held & heard' else 'Entry ' || page_id end as text from pages")
+def feed_entries(spark, sf_dir):
+    n = F.col("page_id").cast("string")
+    rss = F.concat(F.lit("<rss><channel><title>t</title><item><title>Case "), n, F.lit("</title><link>https://f.example/"), n, F.lit("</link><description><![CDATA[<p>Held &  heard</p>]]></description></item><item><title>no link</title></item></channel></rss>"))
+    atom = F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom"><entry><title>Entry '), n, F.lit('</title><link href="https://a.example/'), n, F.lit('"/></entry><entry><link href="https://a.example/none"/></entry></feed>'))
+    rows = load(spark, sf_dir, "pages").select("page_id", F.when(F.col("page_id") % 2 == 0, rss).otherwise(atom).alias("payload"))
+    return feeds.feed_entries(rows, "payload")
+
+
+@query("select page_id, ['https://c.example/lists/a' || page_id || '.pdf', 'https://c.example/b.PDF?x=1&y=2', 'https://d.example/c.pdf'] as urls from pages")
+def pdf_links(spark, sf_dir):
+    n = F.col("page_id").cast("string")
+    page = F.concat(F.lit('<a href="a'), n, F.lit(""".pdf">1</a><a HREF = '/b.PDF?x=1&amp;y=2'>2</a><a href="//d.example/c.pdf, e.pdf">3</a><a href="x.html">4</a><a href="/lists/a"""), n, F.lit('.pdf">5</a>'))
+    return load(spark, sf_dir, "pages").select("page_id", feeds.pdf_urls(page, F.lit("https://c.example/lists/index.html")).alias("urls"))
+
+
+@query(CTE + """select publisher, count(*) as listed, count(*) filter (where court is not null) as fetched, count(*) filter (where court is not null and ord % 6 <> 0) as with_text,
+  count(*) filter (where court is not null and ord % 6 <> 0 and section_1 like 'IPC%') as qualifying, count(*) filter (where court is not null) > 10 and count(*) filter (where court is not null and ord % 6 <> 0) = 0 as broken from cases group by publisher""")
+def fetch_funnel(spark, sf_dir):
+    return feeds.fetch_funnel(cases(spark, sf_dir), "publisher", F.col("court").isNotNull(), F.when(F.col("ord") % 6 != 0, "text").otherwise(""), F.col("section_1").startswith("IPC"))
+
+
+@query(CTE + "select state, ord from (select state, ord, row_number() over (partition by state order by ord) as r from cases) where r <= 40 order by state, ord limit 60")
+def fetch_caps(spark, sf_dir):
+    """The first 40 of each state and 60 of all: the caps are the feature."""
+    return feeds.capped(cases(spark, sf_dir), "state", ["ord"], 40, 60).select("state", "ord")
+
+
+@query(CTE.replace("with cases", "with recursive cases") + """, pairs as (select a.ord as a, b.ord as b from cases a join cases b on a.state = b.state and a.district = b.district and a.category = b.category and a.ord < b.ord and length(a.incident_reported_date) = 10 and length(b.incident_reported_date) = 10
+  and abs(date_diff('day', a.rday, b.rday)) <= 3 and list_has_any(a.sections, b.sections) and not coalesce(a.cnr = b.cnr, false)), e as (select a as x, b as y from pairs union select b, a from pairs),
+  reach as (select x as node, x as r from e union select e.y, reach.r from reach join e on e.x = reach.node) select node as ord, min(r) as cluster from reach group by node""")
+def merge_review_clusters(spark, sf_dir):
+    return resolve.review_clusters(resolve.review_pairs(cases(spark, sf_dir)))
+
+
+@query(CTE + f"select s.state, count(c.ord) as n, case when count(c.ord) = 0 then 0.0::double else round(0.25::double + 0.75::double * count(c.ord) / max(count(c.ord)) over (), 3) end as intensity from (values {_ALL_STATES}) s(state) left join cases c on c.state = s.state group by s.state")
+def state_grid(spark, sf_dir):
+    return views.state_grid(cases(spark, sf_dir), codes.STATES)
+
+
+@query(f"with t as ({ORACLES['monthly_trend_24']}) select count(*) as months, cast(sum(n) as bigint) as total, max(n) as most, (select month from t order by n desc, month limit 1) as peak from t")
+def heat_strip(spark, sf_dir):
+    return views.heat_strip(aggregates.monthly_trend(cases(spark, sf_dir), RUN_DATE))
+
+
+@query(CTE + f"""select ord, case length(incident_reported_date) when 10 then strftime(rday, '%b %-d, %Y') when 7 then strftime(rday, '%b %Y') else incident_reported_date end as shown, split_part(split_part(url, '://', 2), '/', 1) as domain,
+  case when n is null or n < 0 then '' when n = 0 then 'today' when n = 1 then 'yesterday' when n < 7 then n || ' days ago' when n < 45 then case when floor(n / 7.0 + 0.5) = 1 then 'last week' else cast(floor(n / 7.0 + 0.5) as int) || ' weeks ago' end
+  when n < 365 then case when floor(n / 30.0 + 0.5) = 1 then 'last month' else cast(floor(n / 30.0 + 0.5) as int) || ' months ago' end when floor(n / 365.0 + 0.5) = 1 then 'last year' else cast(floor(n / 365.0 + 0.5) as int) || ' years ago' end as recency
+  from (select *, case when length(incident_reported_date) = 10 then date_diff('day', rday, date '{RUN_DATE}') end as n from cases)""")
+def display_fields(spark, sf_dir):
+    d = F.col("incident_reported_date")
+    return cases(spark, sf_dir).select("ord", views.display_date(d).alias("shown"), views.source_domain(F.col("url")).alias("domain"), views.recency(d, RUN_DATE).alias("recency"))
+
+
+@query(CTE + """, t as (select ord, case ord % 4 when 0 then 'none' when 1 then 'true' when 2 then 'word' else 'junk' end as kind, status from cases)
+  select ord, case when kind = 'true' then 'CLOSED' else status end as status, kind = 'true' as verified, case kind when 'true' then 'ok {so}' when 'word' then 'no' end as verification_note, kind in ('none', 'junk') as incomplete from t""")
+def verdicts(spark, sf_dir):
+    rows = cases(spark, sf_dir).select("ord", "status", "minor_involved")
+    answer = F.expr("""case ord % 4 when 1 then 'Found: {"verified": true, "corrections": {"status": "CLOSED", "minor_involved": false}, "verification_note": "ok {so}"} [1]' when 2 then '{"verified": "true", "corrections": "none", "verification_note": "no"}' else 'I can not say' end""")
+    given = rows.where("ord % 4 <> 0").select("ord", models.verdict(answer).alias("verdict"))
+    return models.apply_verdicts(rows, given, "ord", ["status", "minor_involved"]).select("ord", "status", "verified", "verification_note", "incomplete")
+
+
+@query(CTE + "select ord, coalesce(sum(ord % 17) over (order by ord rows between unbounded preceding and 1 preceding), 0) < 5000 as asked from cases")
+def budget_prefix(spark, sf_dir):
+    """Who is still asked under a cap on the sum of costs before."""
+    return models.budgeted(cases(spark, sf_dir).select("ord"), "ord", F.col("ord") % 17, 5000).select("ord", "asked")

@@ -8,6 +8,11 @@ from pyspark.sql import Column, functions as F
 
 #: State codes in their official order.
 STATES = "AP AR AS BR CT GA GJ HR HP JH KA KL MP MH MN ML MZ NL OD PB RJ SK TN TG TR UP UT WB DL JK LA PY CH AN DN LD".split()
+#: The states' names, in the same order.
+STATE_NAMES = [
+    "Andhra Pradesh", "Arunachal Pradesh", "Assam", "Bihar", "Chhattisgarh", "Goa", "Gujarat", "Haryana", "Himachal Pradesh", "Jharkhand", "Karnataka", "Kerala", "Madhya Pradesh", "Maharashtra", "Manipur", "Meghalaya", "Mizoram", "Nagaland",
+    "Odisha", "Punjab", "Rajasthan", "Sikkim", "Tamil Nadu", "Telangana", "Tripura", "Uttar Pradesh", "Uttarakhand", "West Bengal", "Delhi", "Jammu & Kashmir", "Ladakh", "Puducherry", "Chandigarh", "Andaman & Nicobar", "Dadra & Nagar Haveli and Daman & Diu", "Lakshadweep",
+]
 #: Other codes in use for a state.
 STATE_ALIASES = {"TS": "TG", "TL": "TG", "CG": "CT", "OR": "OD", "UK": "UT", "UA": "UT", "PD": "PY", "DD": "DN"}
 #: Renamed districts.
@@ -57,6 +62,12 @@ def normalize_state(code: Column) -> Column:
     return F.coalesce(lookup(STATE_ALIASES, c), c)
 
 
+def state_name(code: Column) -> Column:
+    """The state's name; an unknown code stands for itself."""
+    c = normalize_state(code)
+    return F.coalesce(lookup(dict(zip(STATES, STATE_NAMES, strict=True)), c), c)
+
+
 def canonical_district(name: Column) -> Column:
     c = F.trim(F.regexp_replace(name, r"\s+", " "))
     return F.coalesce(lookup(DISTRICT_ALIASES, F.lower(c)), c)

@@ -150,3 +150,51 @@ def review_pairs(cases: DataFrame, near: int = 3) -> DataFrame:
     right = rows.select(*[F.col(c).alias(f"b_{c}") for c in rows.columns if c != "band"], F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("b_band"))
     same = [F.col(f"a_{c}") == F.col(f"b_{c}") for c in ("state", "district", "category", "band")]
     return left.join(right, [*same, F.col("a_ord") < F.col("b_ord"), F.abs(F.datediff("a_day", "b_day")) <= near, F.arrays_overlap("a_sections", "b_sections"), ~F.coalesce(F.col("a_cnr") == F.col("b_cnr"), F.lit(False))]).select(F.col("a_ord").alias("a"), F.col("b_ord").alias("b"))
+
+
+def review_clusters(pairs: DataFrame) -> DataFrame:
+    """(ord, cluster) of the cases in ``pairs`` (a, b): cases joined by pairs share a cluster, named by its smallest ord."""
+    edge = F.concat_ws("-", F.col("a").cast("string"), F.col("b").cast("string"))
+    return components(pairs.select(F.explode(F.array("a", "b")).alias("node"), edge.alias("key"))).select(F.col("node").alias("ord"), F.col("component").alias("cluster"))
+
+
+def merged_sources(lead: Column, other: Column) -> Column:
+    """The sources of two records, each URL once, the leading record's first."""
+    return F.aggregate(other, _once(lead), _add)
+
+
+def _add(had: Column, s: Column) -> Column:
+    return F.when(F.exists(had, lambda x: x["url"] == s["url"]), had).otherwise(F.array_append(had, s))
+
+
+def _once(sources: Column) -> Column:
+    return F.aggregate(sources, F.slice(sources, 1, 0), _add)
+
+
+def merged_history(lead: Column, other: Column, lead_sources: Column, other_sources: Column) -> Column:
+    """The timelines of two records, each point once; a point's source becomes its place in the merged sources.
+
+    A point whose source its record doesn't have is left out, since it would be laid at another source's door.
+    """
+    urls = F.transform(merged_sources(lead_sources, other_sources), lambda s: s["url"])
+    place = lambda own, e: F.array_position(urls, F.get(own, e["source"])["url"]).cast("int") - 1
+    moved = lambda points, own: F.filter(F.transform(points, lambda e: e.withField("source", place(own, e))), lambda e: e["source"] >= 0)
+    return F.array_distinct(F.concat(moved(lead, lead_sources), moved(other, other_sources)))
+
+
+def status_rank(status: Column) -> Column:
+    pairs = [F.lit(x) for kv in STATUS_RANK.items() for x in kv]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), status), F.lit(0))
+
+
+def merged_accused(lead: Column, other: Column) -> Column:
+    """The accused (label, name, status) of two records by label: a name where either has one, the status that got farther."""
+    every = F.concat(lead, other)
+
+    def one(label: Column) -> Column:
+        own = F.filter(every, lambda x: x["label"] == label)
+        name = F.get(F.filter(F.transform(own, lambda x: F.nullif(x["name"], F.lit(""))), lambda n: n.isNotNull()), F.lit(0))
+        status = F.aggregate(own, F.get(own, F.lit(0))["status"], lambda s, x: F.when(status_rank(x["status"]) > status_rank(s), x["status"]).otherwise(s))
+        return F.struct(label.alias("label"), name.alias("name"), status.alias("status"))
+
+    return F.transform(F.array_distinct(F.transform(every, lambda x: x["label"])), one)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from casewright.functions import dates
 from casewright.operators.aggregates import ACTIVE
@@ -38,3 +38,49 @@ def offenders(cases: DataFrame) -> DataFrame:
     """Named accused of cases without a minor: how many cases, the latest date."""
     rows = cases.where(~F.col("minor_involved") & F.col("accused_name").isNotNull())
     return rows.groupBy("accused_name").agg(F.count("*").alias("n"), F.max("incident_reported_date").alias("latest"), F.count_if(F.col("status") == "CONVICTED").alias("convictions"))
+
+
+def state_grid(cases: DataFrame, states: list[str]) -> DataFrame:
+    """(state, n, intensity) for every one of ``states`` and every other that has cases; 0.25 to 1 by the greatest count, 0 without cases."""
+    known = cases.sparkSession.createDataFrame([(s,) for s in states], "code string")
+    rows = known.join(cases.groupBy("state").agg(F.count("*").alias("c")), F.col("code") == F.col("state"), "full").select(F.coalesce("code", "state").alias("state"), F.coalesce("c", F.lit(0)).alias("n")).where("state is not null")
+    top = F.max("n").over(Window.partitionBy(F.lit(0)))  # a row for each state: few, whatever the cases
+    return rows.select("state", "n", F.when(F.col("n") > 0, F.round(0.25 + 0.75 * F.col("n") / top, 3)).otherwise(0.0).alias("intensity"))
+
+
+def heat_strip(trend: DataFrame) -> DataFrame:
+    """(months, total, most, peak) of a trend (month, n); of equal months the first is the peak. One row."""
+    return trend.agg(F.count("*").alias("months"), F.sum("n").alias("total"), F.max("n").alias("most"), F.min_by("month", F.struct(-F.col("n"), F.col("month"))).alias("peak"))
+
+
+def timeline(history: Column, status: Column, date: Column) -> Column:
+    """The history by date (equal dates stay in order); without one, the present status."""
+    placed = F.transform(history, lambda e, k: F.struct(e["date"].alias("date"), k.alias("k"), e["status"].alias("status")))
+    sorted_ = F.transform(F.array_sort(placed), lambda e: F.struct(e["status"].alias("status"), e["date"].alias("date")))
+    return F.when(F.coalesce(F.size(history), F.lit(0)) > 0, sorted_).otherwise(F.array(F.struct(status.alias("status"), date.alias("date"))))
+
+
+def display_date(text: Column) -> Column:
+    """The date in the precision that it has: 2001, Aug 2001 or Aug 2, 2001; other text as it is, a dash for none."""
+    day, month = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text.try_cast("date")), F.when(text.rlike(r"^\d{4}-\d{2}$"), F.concat(text, F.lit("-01")).try_cast("date"))
+    return F.coalesce(F.date_format(day, "MMM d, yyyy"), F.date_format(month, "MMM yyyy"), F.nullif(text, F.lit("")), F.lit("—"))
+
+
+def recency(text: Column, run_date: str) -> Column:
+    """How long ago a day is, in days, weeks, months or years; empty for dates without a day and for future ones."""
+    n = F.datediff(F.lit(run_date).cast("date"), dates.strict_day(text))
+    ago = lambda k, unit: F.concat(k.cast("string"), F.when(k == 1, f" {unit} ago").otherwise(f" {unit}s ago"))
+    near = lambda d: F.floor(n / d + 0.5).cast("int")
+    told = F.when(n < 0, "").when(n == 0, "today").when(n == 1, "yesterday").when(n < 7, ago(n, "day")).when(n < 45, F.when(near(7) == 1, "last week").otherwise(ago(near(7), "week")))
+    told = told.when(n < 365, F.when(near(30) == 1, "last month").otherwise(ago(near(30), "month"))).when(near(365) == 1, "last year").otherwise(ago(near(365), "year"))
+    return F.when(n.isNull(), "").otherwise(told)
+
+
+def source_domain(url: Column) -> Column:
+    return F.regexp_replace(F.coalesce(F.try_parse_url(url, F.lit("HOST")), F.lit("")), r"^www\.", "")
+
+
+def body_and_footnote(summary: Column, footnote: str) -> Column:
+    """struct(body, footnote): a summary without the fixed sentence that ends it, and that sentence."""
+    ends = F.endswith(summary, F.lit(footnote))
+    return F.struct(F.when(ends, F.rtrim(F.substring(summary, F.lit(1), F.length(summary) - len(footnote)))).otherwise(summary).alias("body"), F.when(ends, footnote).otherwise("").alias("footnote"))
