@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casewright.functions import codes, dates, minors, persons, text
-from casewright.operators import aggregates, gates, identity, models, resolve, views
-from casewright.sources import feeds, parsers
+from casewright.operators import aggregates, gates, guards, identity, models, resolve, views
+from casewright.plans import daily as plans
+from casewright.sources import feeds, parsers, payloads
 from casewright.sources.adapters import CASES_SQL, RUN_DATE, cases as _cases, load
 from casewright.streaming import events as streams
 
@@ -526,3 +527,48 @@ def verdicts(spark, sf_dir):
 def budget_prefix(spark, sf_dir):
     """Who is still asked under a cap on the sum of costs before."""
     return models.budgeted(cases(spark, sf_dir).select("ord"), "ord", F.col("ord") % 17, 5000).select("ord", "asked")
+
+
+_ROUTES = CTE + f"""select ord, case when not coalesce(rday between date '{RUN_DATE}' - 1500 and date '{RUN_DATE}', false) then 'out_of_scope'
+  when not m and length(incident_reported_date) <> 10 then 'quarantined'
+  when not {_QUALIFIES.format(s='section_1')} and not {_QUALIFIES.format(s='section_2')} or confidence < 0.8 then 'review'
+  when ord % 29 <> 0 and (m or court is not null and cnr is not null and accused_name is not null or {_TYPE} in ('live_blog', 'legal_press') or confidence < 0.85) then 'held' else 'published' end as route
+  from (select *, minor_involved or contains(section_1, 'POCSO') or contains(section_2, 'POCSO') as m from cases)"""
+
+
+@query(_ROUTES)
+def daily_routes(spark, sf_dir):
+    rows = cases(spark, sf_dir)
+    config = plans.RunConfig.of({"LAUNCH_STATES": "ALL", "LAUNCH_LOOKBACK_DAYS": "1500"}, RUN_DATE)
+    return plans.routed(rows, config, rows.where("ord % 29 = 0").select("url")).select("ord", "route")
+
+
+@query(CTE + """select ord, case ord % 4 when 0 then 'accused.victim_age' when 1 then 'text' when 2 then 'summary' else '<file>' end as path, case ord % 4 when 0 then 'name' when 1 then 'email' when 2 then 'numeric_years_old' else 'unreadable' end as reason from cases where ord % 5 > 0""")
+def pii_scan(spark, sf_dir):
+    payload = F.expr("""case when ord % 5 = 0 then '{"text": "nothing", "list": [1, null, {"a": "b"}]}' else case ord % 4 when 0 then '{"accused": {"victim_age": 9}}' when 1 then '{"text": "to a.b@c.example"}' when 2 then '{"summary": "she is 9 years old"}' else '{broken' end end""")
+    return guards.scan_json(cases(spark, sf_dir).select("ord", payload.alias("payload")), "payload")
+
+
+@query(CTE + "select ord, ord % 3 = 0 and status <> 'CLOSED' as longer, case when ord % 5 = 0 then 'new' when ord % 3 = 0 and status <> 'CLOSED' then 'material' else 'rechecked' end as change from (select * from cases where ord % 5 > 0 or ord % 3 > 0 or status = 'CLOSED') union all select ord, false, 'new' from cases where ord % 5 = 0 and ord % 3 = 0 and status <> 'CLOSED'")
+def status_transitions(spark, sf_dir):
+    """Cases against their last published selves: a third of them were closed then, a fifth were not there."""
+    none = F.array().cast("array<struct<status: string, date: string, source: int>>")
+    now = cases(spark, sf_dir).withColumns({"id": F.col("ord"), "status_history": none})
+    prior = now.where("ord % 5 > 0").select("id", "court", "sections", F.expr("if(ord % 3 = 0, 'CLOSED', status)").alias("status"), F.lit("2001-01-01").alias("first_published"), F.lit(None).cast("string").alias("last_status_change"))
+    got = identity.stamps(identity.with_transition(now, prior, RUN_DATE).drop("first_published", "last_status_change"), prior, RUN_DATE, ["status", "court", "sections"])
+    return got.select("ord", (F.size("status_history") == 2).alias("longer"), "change")
+
+
+@query(CTE + "select ord, district, status, case when " + _TYPE + " = 'live_blog' then least(confidence, 0.79) else confidence end as confidence from cases where ord % 6 > 0")
+def candidate_answers(spark, sf_dir):
+    answer = F.when(F.col("ord") % 6 == 0, F.lit('{"category": "rape", "state": "KA"}')).otherwise(F.to_json(F.struct("category", "state", "district", "status", "confidence", F.lit("x").alias("victim"))))
+    rows = cases(spark, sf_dir).withColumns({"answer": answer, "fetched_at": F.lit(RUN_DATE)})
+    got = payloads.candidates(rows)
+    return got.select(F.regexp_extract("url", r"-(\d+)$", 1).cast("long").alias("ord"), "district", "status", "confidence")
+
+
+@query("select page_id, case when page_id % 3 = 0 then 'https://archive.example/' || page_id end as archive_url from pages")
+def archive_snapshots(spark, sf_dir):
+    n = F.col("page_id").cast("string")
+    payload = F.concat(F.lit('{"archived_snapshots": {"closest": {"available": '), F.element_at(F.array(F.lit("true"), F.lit('"true"'), F.lit("false")), (F.col("page_id") % 3 + 1).cast("int")), F.lit(', "url": "https://archive.example/'), n, F.lit('"}}}'))
+    return load(spark, sf_dir, "pages").select("page_id", payloads.snapshot_url(payload).alias("archive_url"))

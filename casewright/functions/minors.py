@@ -52,11 +52,14 @@ def plain_title(category: Column, district: Column, state: Column, date: Column)
     return _titled(F.concat(category_label(category), F.lit(" case")), district, state, date)
 
 
-def summary() -> Column:
-    """Of the columns state, district, incident_reported_date, sections, category, status, accused_count,
+#: The coded facts of a case and their types.
+FACTS = {"accused_count": "int", "institutional_actions": "array<string>", "repeat_offence": "boolean", "weapon_or_threat": "boolean", "sentence_years": "int"}
+
+
+def summary(offence: Column) -> Column:
+    """``offence`` told with the columns state, district, incident_reported_date, sections, category, status, accused_count,
     institutional_actions, repeat_offence, weapon_or_threat, sentence_years: sentences of the coded facts if two or
     more are known, else a flat one."""
-    offence = offence_phrase(F.col("sections"), F.col("category"))
     offence = F.concat(F.lower(F.substring(offence, 1, 1)), F.substring(offence, 2, 1000))
     district, state, year = _text(F.col("district")), F.coalesce(codes.state_name(F.col("state")), F.lit("")), _year(F.col("incident_reported_date"))
     yes = lambda c: F.coalesce(c, F.lit(False))
@@ -90,15 +93,19 @@ def history_by_month(history: Column, sources: Column) -> Column:
 def project(cases: DataFrame) -> DataFrame:
     """``cases`` with what must not be told of a minor taken out; other cases stay as they are.
 
-    Columns of these names that ``cases`` lacks are not added, but for title and summary. Twice is as good as once.
+    Of the columns it may touch, those that ``cases`` lacks are not added, but for title and summary; coded facts that
+    it lacks count as unknown. Twice is as good as once.
     """
+    lacking = {n: F.lit(None).cast(t) for n, t in FACTS.items() if n not in cases.columns}
     minor = F.coalesce(F.col("minor_involved"), F.lit(True))
     kept = lambda c: F.col(c) if c in cases.columns else F.lit(None).cast("string")
-    title = _titled(offence_phrase(F.col("sections"), F.col("category")), F.col("district"), F.col("state"), F.col("incident_reported_date"))
-    out = {"title": F.when(minor, title).otherwise(kept("title")), "summary": F.when(minor, summary()).otherwise(kept("summary")), "incident_reported_date": F.when(minor, F.substring("incident_reported_date", 1, 7)).otherwise(F.col("incident_reported_date"))}
+    # the rules of severity are costly, so that their result is a column that title and summary share
+    rows = cases.withColumns({**lacking, "_offence": offence_phrase(F.col("sections"), F.col("category"))})
+    title = _titled(F.col("_offence"), F.col("district"), F.col("state"), F.col("incident_reported_date"))
+    out = {"title": F.when(minor, title).otherwise(kept("title")), "summary": F.when(minor, summary(F.col("_offence"))).otherwise(kept("summary")), "incident_reported_date": F.when(minor, F.substring("incident_reported_date", 1, 7)).otherwise(F.col("incident_reported_date"))}
     for name in ("verification_note", "accused", "accused_name", "days_since_reported", "next_hearing"):
         if name in cases.columns:
             out[name] = F.when(~minor, F.col(name))
     if {"status_history", "sources"} <= set(cases.columns):
         out["status_history"] = F.when(minor, history_by_month(F.col("status_history"), F.col("sources"))).otherwise(F.col("status_history"))
-    return cases.withColumns(out)
+    return rows.withColumns(out).drop("_offence", *lacking)

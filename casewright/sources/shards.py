@@ -1,22 +1,43 @@
-"""Cases as JSON files in a folder for each year and state."""
+"""Cases as JSON files of bounded size in a folder for each year and state."""
 
 from __future__ import annotations
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import LongType, StructType
 
 from casewright.functions import dates
 
 
-def write_shards(cases: DataFrame, path: str, run_date: str, most: int = 2_000) -> None:
-    """Replaces the files under ``path``, latest cases first within a file of at most ``most`` cases.
+def write_shards(cases: DataFrame, path: str, run_date: str, most: int = 500 * 1024) -> None:
+    """Replaces the files under ``path``, latest cases first within a file of at most ``most`` bytes (or one case).
 
-    Rows are dealt out by ranges of year, state and date, so a state with most of the cases fills many tasks.
+    Rows are dealt out by ranges of year, state and date, so a state with most of the cases fills many tasks; each
+    task streams through its rows and begins a new file where one is full.
     """
-    rows = cases.withColumns({"_year": dates.year_of(F.col("incident_reported_date"), run_date), "_state": F.coalesce("state", F.lit("UNKNOWN"))})
+    names = cases.columns
+    size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in names]))) + 1
+    rows = cases.withColumns({"_year": dates.year_of(F.col("incident_reported_date"), run_date), "_state": F.coalesce("state", F.lit("UNKNOWN")), "_size": size})
     key = ["_year", "_state", F.desc("incident_reported_date"), "ord"]
-    rows.repartitionByRange(*key).sortWithinPartitions(*key).write.mode("overwrite").partitionBy("_year", "_state").option("maxRecordsPerFile", most).json(path)
+    rows = rows.repartitionByRange(*key).sortWithinPartitions(*key)
+
+    def each(batches):
+        first = TaskContext.get().partitionId() * 1_000_000
+        part, slot, full = first - 1, None, 0
+        for batch in batches:
+            parts = []
+            for year, state, n in zip(*(batch.column(c).to_pylist() for c in ("_year", "_state", "_size")), strict=True):
+                if (year, state) != slot or full + n > most:
+                    part, slot, full = part + 1, (year, state), 0
+                full += n
+                parts.append(part)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(parts, pa.int64())], names=[*batch.schema.names[:-1], "_part"])
+
+    schema = StructType([*rows.schema.fields[:-1]]).add("_part", LongType())
+    rows.mapInArrow(each, schema).write.mode("overwrite").partitionBy("_year", "_state", "_part").json(path)
 
 
 def read_shards(spark: SparkSession, path: str, schema) -> DataFrame:
     """All cases under ``path``; a broken file is an error, never a gap."""
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path + "/*/*")
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path + "/*/*/*")

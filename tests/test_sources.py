@@ -38,9 +38,13 @@ def test_submissions(spark):
 def test_shards(spark, tmp_path):
     rows = catalog.cases(spark, SF)
     at = str(tmp_path / "shards")
-    shards.write_shards(rows, at, RUN_DATE, most=50)
+    shards.write_shards(rows, at, RUN_DATE, most=4096)
     back = shards.read_shards(spark, at, rows.schema)
     assert rows.exceptAll(back).count() == back.exceptAll(rows).count() == 0
+    sizes = [f.stat().st_size for f in (tmp_path / "shards").rglob("*.json")]
+    assert 2048 < max(sizes) <= 4096
+    shards.write_shards(rows.limit(3), at, RUN_DATE, most=1)
+    assert len(list((tmp_path / "shards").rglob("*.json"))) == 3
     (tmp_path / "shards" / "_year=1900" / "_state=KA").mkdir(parents=True)
     (tmp_path / "shards" / "_year=1900" / "_state=KA" / "bad.json").write_text("{broken")
     with pytest.raises(Exception, match="(?i)malformed"):
