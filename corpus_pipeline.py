@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casewright.llm import packing, quality, simhash, suffix
+from casewright.llm import copies, packing, quality, suffix
 from casewright.llm.common import durable, table
 
 #: SQL has no such hashes, models or packing; the stages are tested against brute force instead.
@@ -17,9 +17,11 @@ def good_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows whose id is the smallest of its group of near copies. Rows that repeat an id stay or go together; rows
-    without an id stay."""
-    others = simhash.near_duplicates(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    """Rows whose id is the smallest of its group of near copies: texts joined by links of a 5-word Jaccard similarity
+    of 0.8 or more. Rows that repeat an id stay or go together; rows without an id stay."""
+    rows = durable(copies.near_copies(docs))
+    least = rows.groupBy("component").agg(F.min("id").alias("least"))
+    others = rows.join(least, "component").where("id <> least").select(F.col("id").alias("doc_id")).distinct()
     return docs.join(others, "doc_id", "left_anti").select(docs.columns)
 
 

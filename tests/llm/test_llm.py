@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from casewright.llm import ann, bpe, chat, collisions, html, packing, quality, queries, simhash, suffix, urls
+from casewright.llm import ann, bpe, chat, collisions, copies, html, packing, quality, queries, simhash, suffix, urls
 from casewright.llm.common import components
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -310,3 +310,29 @@ def test_pipeline_with_odd_rows(spark):
     assert one.columns == df.columns and one.where("doc_id is null").count() == 1
     rest = corpus_pipeline.without_repeats(spark, df, "")
     assert rest.columns == df.columns and rest.count() == len(rows)
+
+
+def test_near_copies_by_jaccard(spark, monkeypatch):
+    random.seed(13)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    rows = []
+    for k in range(60):
+        base = random.choices(vocabulary, k=random.randint(3, 300))
+        rows.append((len(rows), " ".join(base)))
+        for _ in range(k % 6):  # edited copies, of similarities around 0.8
+            base = list(base)
+            for _ in range(random.randint(0, max(1, len(base) // 40))):
+                base[random.randrange(len(base))] = random.choice(vocabulary)
+            rows.append((len(rows), " ".join(base).upper()))
+    rows += [(len(rows) + k, t) for k, t in enumerate([None, "", " ", "one two three", "one  two THREE", "one two"])]
+    grams = lambda t: {tuple(w[i : i + 5]) for w in [(t or "").lower().split()] for i in range(max(1, len(w) - 4))}
+    sets = [grams(t) for _, t in rows]
+    label, far = list(range(len(rows))), 0
+    links = [(i, j) for i in label for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    far = sum((simhash.fingerprint(rows[i][1]) ^ simhash.fingerprint(rows[j][1])).bit_count() > 4 for i, j in links)
+    assert far > 0  # links that four bits of a fingerprint miss
+    for _ in rows:
+        for i, j in links:
+            label[i] = label[j] = min(label[i], label[j])
+    got = {r["doc_id"] for r in corpus_pipeline.one_of_each(spark, docs(spark, rows), "").collect()}
+    assert got == set(label)
