@@ -1,10 +1,11 @@
 """Approximate nearest neighbours by multiprobe p-stable hashing, for the largest inner product.
 
-Vectors are scaled to a greatest norm of one and get one more component that makes all of them unit vectors; then
-the nearest point is the one of largest inner product. Each of TABLES tables hashes a point to the cell of
+Vectors are split into ranges of norms within a factor of two, each range scaled to a greatest norm of one, and get
+one more component that makes all of them unit vectors; then the nearest point of a range is the one of largest inner
+product. Each of TABLES tables of a range hashes a point to the cell of
 HASHES Gaussian projections cut into steps of WIDTH. A query visits, in every table, the PROBES cells around its own
 that are likeliest to hold neighbours: a cell's score is the sum of squared distances from the query's projections
-to the cell's sides. Candidates of all tables are merged and ranked by their exact inner product.
+to the cell's sides. Candidates of all tables are merged and ranked by their exact inner product. A query that finds too few is compared with all points.
 
 Cells are dealt out by table and their first few coordinates, in blocks of bounded size for data and queries alike.
 """
@@ -36,8 +37,8 @@ class Tables:
         self.b = rng.uniform(0, WIDTH, (TABLES, HASHES))
         self.steps = np.array(list(product((-1, 0, 1), repeat=HASHES)), np.int8)
 
-    def project(self, x: np.ndarray, top: float, query: bool) -> np.ndarray:
-        x = x / (np.linalg.norm(x, axis=1)[:, None] if query else top)
+    def project(self, x: np.ndarray, top: np.ndarray | None, query: bool) -> np.ndarray:
+        x = x / (np.linalg.norm(x, axis=1) if query else top)[:, None]
         more = np.zeros(len(x)) if query else np.sqrt(np.maximum(0, 1 - (x * x).sum(1)))
         return (np.einsum("nd,tdk->tnk", np.column_stack([x, more]), self.a) + self.b[:, None]) / WIDTH
 
@@ -74,24 +75,29 @@ def nearest(rows: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_
     clean = lambda df: df.where(usable(F.col(vector_col)) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), as_doubles.alias("v"))
     members = clean(rows).distinct().withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy("id"))).where(F.col("r") <= k + 1)
     members = durable(members.withColumn("c", F.min("id").over(Window.partitionBy("v"))).select("c", "id", "r", "v"))
-    points = members.where("r = 1").select("id", "v")
     asked = durable(clean(queries).groupBy("id").agg(F.min("v").alias("v")))
     dims = dimension(members.select("v").union(asked.select("v")), "v")
     schema = "query_id long, rank int, vec_id long, score double"
     if not dims:
         return rows.sparkSession.createDataFrame([], schema)
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    top, n = points.agg(F.max(norm), F.count("*")).first()
+    size = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + (x / F.col("most")) * (x / F.col("most")))) * F.col("most")
+    points = members.where("r = 1").withColumn("most", F.array_max(F.transform("v", F.abs))).select("id", "v", F.least(size, F.lit(np.finfo(float).max.item())).alias("norm"))
+    top, n = points.agg(F.max("norm"), F.count("*")).first()
     if top is None:
         return rows.sparkSession.createDataFrame([], schema)
+    points = points.withColumn("band", F.greatest(F.lit(0), F.floor(F.log2(F.lit(top)) - F.log2("norm"))).cast("int"))
+    tops = {x["band"]: x["top"] for x in points.groupBy("band").agg(F.max("norm").alias("top")).collect()}
+    # a query's own id can stand for as many candidates as it has vectors; none of them may take another's place
+    short_list = k + (members.join(asked.select("id"), "id", "left_semi").groupBy("id").count().agg(F.max("count")).first()[0] or 1)
     tables, lead = Tables(dims), max(1, min(4, ceil(log(max(2, n / BLOCK), 3))))
 
     def hashed(batches):
         for batch in batches:
             v = matrix(batch.column(1))
             if len(v):
-                cells = np.floor(tables.project(v, top, False)).astype(np.int64)
-                t = np.repeat(np.arange(TABLES), len(v))
+                band = batch.column(2).to_numpy()
+                cells = np.floor(tables.project(v, np.array([tops[x] for x in band.tolist()]), False)).astype(np.int64)
+                t = np.repeat(np.arange(TABLES), len(v)) + np.tile(band, TABLES) * TABLES
                 take = np.tile(np.arange(len(v)), TABLES)
                 yield pa.RecordBatch.from_arrays([pa.array(t.astype(np.int32)), pa.array(_packed(cells[:, :, :lead]).ravel()), *(batch.column(c).take(pa.array(take)) for c in (0, 1)), pa.array(_packed(cells).ravel()[:, None].tolist(), pa.list_(pa.int64()))], names=["t", "g", "id", "v", "cells"])
 
@@ -99,7 +105,7 @@ def nearest(rows: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_
         for whole in batches:
             for lo in range(0, whole.num_rows, 256):
                 batch = whole.slice(lo, 256)
-                p = tables.project(matrix(batch.column(1)), top, True)
+                p = tables.project(matrix(batch.column(1)), None, True)
                 out = [[], [], [], []]
                 for t in range(TABLES):
                     cells = tables.probes(p[t])
@@ -116,11 +122,17 @@ def nearest(rows: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_
                 yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()), *(batch.column(c).take(take) for c in (0, 1)), pa.array(out[3], pa.list_(pa.int64()))], names=["t", "g", "id", "v", "cells"])
 
     made = "t int, g long, id long, v array<double>, cells array<long>"
-    data, probes = durable(points.mapInArrow(hashed, made)), durable(asked.mapInArrow(probed, made))
+    data, probes = durable(points.select("id", "v", "band").mapInArrow(hashed, made)), durable(asked.mapInArrow(probed, made))
+    if set(tops) != {0}:
+        probes = probes.withColumn("band", F.explode(F.array(*map(F.lit, sorted(tops))))).select((F.col("t") + F.col("band") * TABLES).alias("t"), "g", "id", "v", "cells")
     share = lambda df, size, name: df.groupBy("t", "g").agg(F.ceil(F.count("*") / size).cast("int").alias(name))
-    parts = share(data, BLOCK, "nd").join(share(probes, QUERIES, "nq"), ["t", "g"])  # a row for each cell: few, whatever the input
-    data = data.join(F.broadcast(parts), ["t", "g"]).select("t", "g", F.expr("cast(pmod(xxhash64(id), nd) as int)").alias("i"), F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("j"), F.lit(0).alias("side"), "id", "v", "cells")
-    probes = probes.join(F.broadcast(parts), ["t", "g"]).select("t", "g", F.explode(F.sequence(F.lit(0), F.col("nd") - 1)).alias("i"), F.expr("cast(pmod(xxhash64(id), nq) as int)").alias("j"), F.lit(1).alias("side"), "id", "v", "cells")
+
+    def met(data, probes):
+        """The short lists of the queries of ``probes``, one for each block of ``data`` that they meet."""
+        parts = share(data, BLOCK, "nd").join(share(probes, QUERIES, "nq"), ["t", "g"])  # a row for each cell: few, whatever the input
+        data = data.join(F.broadcast(parts), ["t", "g"]).select("t", "g", F.expr("cast(pmod(xxhash64(id), nd) as int)").alias("i"), F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("j"), F.lit(0).alias("side"), "id", "v", "cells")
+        probes = probes.join(F.broadcast(parts), ["t", "g"]).select("t", "g", F.explode(F.sequence(F.lit(0), F.col("nd") - 1)).alias("i"), F.expr("cast(pmod(xxhash64(id), nq) as int)").alias("j"), F.lit(1).alias("side"), "id", "v", "cells")
+        return data.union(probes).groupBy("t", "g", "i", "j").applyInArrow(ranked, "q long, c array<long>, score array<double>")
 
     def ranked(table):
         side, ids, v = table.column("side").to_numpy(), table.column("id").to_numpy(), matrix(table.column("v").combine_chunks())
@@ -139,11 +151,11 @@ def nearest(rows: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_
                 continue
             take = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(low, size)
             score, who = x[take] @ v[q], ids[points[take]]
-            if len(score) > k + 1:
-                least = np.partition(score, len(score) - k - 1)[len(score) - k - 1]
+            if len(score) > short_list:
+                least = np.partition(score, len(score) - short_list)[len(score) - short_list]
                 keep = score >= least
                 score, who = score[keep], who[keep]
-            best = np.lexsort((who, -score))[: k + 1]
+            best = np.lexsort((who, -score))[:short_list]
             out[0].append(int(ids[q]))
             out[1].append(who[best].tolist())
             out[2].append(score[best].tolist())
@@ -154,11 +166,16 @@ def nearest(rows: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_
         who, score = (table.column(n).combine_chunks().flatten().to_numpy() for n in ("c", "score"))
         who, first = np.unique(who, return_index=True)
         score = score[first]
-        best = np.lexsort((who, -score))[: k + 1]
+        best = np.lexsort((who, -score))[:short_list]
         return pa.table([pa.array(np.full(len(best), table.column("q")[0].as_py())), pa.array(who[best]), pa.array(score[best])], names=["q", "c", "score"])
 
-    found = data.union(probes).groupBy("t", "g", "i", "j").applyInArrow(ranked, "q long, c array<long>, score array<double>")
-    classes_ = found.groupBy("q").applyInArrow(merged, "q long, c long, score double")
-    spread = classes_.join(members.select("c", "id"), "c").where("id != q")
+    lists = lambda found: found.groupBy("q").applyInArrow(merged, "q long, c long, score double")
+    named = lambda found: found.join(members.select("c", "id"), "c").where("id != q").select("q", "id", "score")
+    found = durable(lists(met(data, probes)))
+    enough = named(found).groupBy("q").count().where(F.col("count") >= k)
+    few = durable(asked.join(enough, F.col("id") == F.col("q"), "left_anti"))
+    if not few.isEmpty():
+        one_cell = lambda df: df.select(F.lit(0).alias("t"), F.lit(0).cast("long").alias("g"), "id", "v", F.array(F.lit(0).cast("long")).alias("cells"))
+        found = found.join(few.select(F.col("id").alias("q")), "q", "left_anti").union(lists(met(one_cell(points), one_cell(few))))
     final = Window.partitionBy("q").orderBy(F.desc("score"), "id")
-    return spread.withColumn("rank", F.row_number().over(final)).where(F.col("rank") <= k).select(F.col("q").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
+    return named(found).withColumn("rank", F.row_number().over(final)).where(F.col("rank") <= k).select(F.col("q").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")

@@ -336,3 +336,28 @@ def test_near_copies_by_jaccard(spark, monkeypatch):
             label[i] = label[j] = min(label[i], label[j])
     got = {r["doc_id"] for r in corpus_pipeline.one_of_each(spark, docs(spark, rows), "").collect()}
     assert got == set(label)
+
+
+@pytest.mark.parametrize(("n", "longer"), [(15, 1), (1500, 1000)])
+def test_ann_finds_as_many_as_there_are(spark, n, longer):
+    rng = np.random.default_rng(14)
+    x = rng.normal(size=(n, 16))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[3] *= longer
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest(df, df.where("vec_id % 7 = 0")).orderBy("rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    hits, want = 0, min(20, n - 1)
+    for q in range(0, n, 7):
+        best = [i for i in np.argsort(-(x @ x[q]), kind="stable").tolist() if i != q][:want]
+        assert len(got[q]) == want and (n > 20 or got[q] == best)
+        hits += len({*best} & {*got[q]})
+    assert hits >= 0.9 * want * len(got)
+
+
+def test_ann_own_vectors_take_no_place(spark):
+    rng = np.random.default_rng(15)
+    rows = [(0, [1.0, k / 100]) for k in range(30)] + [(k, [0.2, float(v)]) for k, v in enumerate(rng.normal(size=40), 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert ann.nearest(df, df.where("vec_id = 0")).count() == 20
