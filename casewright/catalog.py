@@ -303,9 +303,8 @@ def exact_anchor_components(spark, sf_dir):
 
 @query()
 def dedupe_greedy(spark, sf_dir):
-    """Districts of one customer each, so that a component is a block of cases that can meet."""
-    rows = cases(spark, sf_dir).join(load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("ord"), "o_custkey"), "ord")
-    return resolve.dedupe(rows.withColumns({"district": F.concat(F.lit("D"), F.col("o_custkey").cast("string")), "cnr": F.expr("case when cnr is not null then concat('C', o_custkey, '-', ord % 3) end")}))
+    """All cases by their own districts and court numbers, which join them into a few components."""
+    return resolve.dedupe(cases(spark, sf_dir))
 
 
 @query(CTE + f""", m as (select *, case when length(incident_reported_date) >= 4 then incident_reported_date[1:4] else '{RUN_DATE[:4]}' end as year, min(ord) over (partition by coalesce(cnr, 'ord:' || ord)) as first from cases),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from datetime import timedelta
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -88,24 +89,58 @@ def merge(a: dict, b: dict) -> dict:
     return out
 
 
-def greedy(records: list[dict]) -> tuple[list[list[dict]], list[dict]]:
-    """Clusters in order of their first record, and the records too ambiguous for one."""
+def greedy(records: list[dict], near: int = 3, similar: float = 85.0) -> tuple[list[list[dict]], list[dict]]:
+    """Clusters in order of their first record, and the records too ambiguous for one.
+
+    A record joins the first cluster with an exact or strong match by ``strength``. Members are found by anchor, and by
+    district, day and section; those that are alike in anchor kinds and court count once, with their first cluster.
+    """
     clusters: list[list[dict]] = []
     doubtful = []
+    by_anchor: dict = {}
+    members: dict = {}  # (district, day): section or None: (kinds, court): first cluster
+    dated: dict = {}  # district: the same, over all days
+    alike: dict = {}
+
+    def fits(a: str, b: str) -> bool:
+        if (a, b) not in alike:
+            alike[a, b] = indel_ratio(a, b) >= similar
+        return alike[a, b]
+
     for r in records:
-        weak, home = False, None
-        for c in clusters:
-            found = {strength(r, m) for m in c}
-            if found & {"exact", "strong"}:
-                home = c
-                break
-            weak = weak or "weak" in found
-        if home is not None:
-            home.append(r)
+        kinds, court, place, day = frozenset(k.split(":")[0] for k in r["anchors"]), (r["court"] or "").lower(), (r["district"] or "").strip().lower(), r["day"]
+        homes, weak = [by_anchor[k] for k in r["anchors"] if k in by_anchor], False
+        if place:
+            for k in range(-near, near + 1) if day is not None else ():
+                had = members.get((place, day + timedelta(k)), {})
+                for section in [*r["sections"], None] if r["sections"] else had:
+                    for (others, other), c in had.get(section, {}).items():
+                        courts = bool(court) and bool(other)
+                        if kinds & others or courts and not fits(court, other):
+                            continue
+                        if courts or r["sections"] and section is not None:
+                            homes.append(c)
+                        else:
+                            weak = True
+            # where a day is missing, sections and courts that agree are a weak match
+            for had in (members.get((place, None), {}), dated.get(place, {}) if day is None else {}):
+                for section in r["sections"] if court and not weak else ():
+                    weak = weak or any(other and not kinds & others and fits(court, other) for others, other in had.get(section, ()))
+        if homes:
+            home = min(homes)
+            clusters[home].append(r)
         elif weak:
             doubtful.append(r)
+            continue
         else:
+            home = len(clusters)
             clusters.append([r])
+        for k in r["anchors"]:
+            by_anchor[k] = min(home, by_anchor.get(k, home))
+        for at in [members.setdefault((place, day), {}), *([dated.setdefault(place, {})] if day is not None else [])] if place else ():
+            for section in r["sections"] or [None]:
+                own = at.setdefault(section, {})
+                own[kinds, court] = min(home, own.get((kinds, court), home))
     return clusters, doubtful
 
 
@@ -130,10 +165,11 @@ def dedupe(cases: DataFrame) -> DataFrame:
         clusters, doubtful = greedy(records)
         out = []
         for c in clusters:
-            m = c[0]
+            urls = {u for r in c for u in r["urls"]}
+            m = {**c[0], "urls": []}
             for r in c[1:]:
-                m = merge(m, r)
-            out.append((c[0]["ord"], c[0]["ord"], "merged" if len(c) > 1 else "single", m["status"], m["confidence"], len(m["urls"]), "|".join(m["section_list"])))
+                m = merge(m, {**r, "urls": []})  # sources are only counted: lists of them would grow with each merge
+            out.append((c[0]["ord"], c[0]["ord"], "merged" if len(c) > 1 else "single", m["status"], m["confidence"], len(urls), "|".join(m["section_list"])))
         out += [(r["ord"], r["ord"], "ambiguous_match", r["status"], r["confidence"], 1, "|".join(r["section_list"])) for r in doubtful]
         return pd.DataFrame(out, columns=[f.split()[0] for f in schema.split(", ")])
 

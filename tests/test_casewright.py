@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__
 from casewright import catalog
-from casewright.functions import codes
+from casewright.functions import codes, dates
 from casewright.operators import aggregates, identity, resolve, views
 from casewright.sources.adapters import RUN_DATE
 from pyspark.sql import functions as F
@@ -79,6 +79,44 @@ def test_dedupe_covers_every_record_once(spark):
     assert {r["outcome"] for r in got} <= {"merged", "single", "ambiguous_match"}
 
 
+def test_dedupe_equals_a_plain_greedy_pass(spark):
+    rows = catalog.cases(spark, SF).withColumn("day", dates.strict_day(F.col("incident_reported_date"))).orderBy("ord").collect()
+    clusters, doubtful = [], set()
+    for r in rows:
+        r = {"ord": r["ord"], "anchors": {f"cnr:{r['cnr']}"} if r["cnr"] else set(), "district": r["district"], "day": r["day"], "sections": set(r["sections"]), "court": r["court"]}
+        found = [{resolve.strength(r, m) for m in c} for c in clusters]
+        home = next((c for c, f in zip(clusters, found, strict=True) if f & {"exact", "strong"}), None)
+        if home is not None:
+            home.append(r)
+        elif any("weak" in f for f in found):
+            doubtful.add(r["ord"])
+        else:
+            clusters.append([r])
+    got = catalog.QUERIES["dedupe_greedy"](spark, SF).collect()
+    assert {r["ord"] for r in got if r["outcome"] == "ambiguous_match"} == doubtful != set()
+    assert {r["ord"]: r["n_sources"] for r in got if r["outcome"] != "ambiguous_match"} == {c[0]["ord"]: len(c) for c in clusters}
+
+
+def test_greedy_by_index_equals_strength():
+    random.seed(16)
+    for _ in range(20):
+        records = [
+            {"ord": k, "anchors": set(random.choices(["cnr:1", "cnr:2", "fir:1", "fir:2"], k=random.choice([0, 0, 0, 1, 2]))), "district": random.choice(["A", " a", "b", "", None]), "day": random.choice([None, datetime.date(2001, 1, random.randint(1, 30))]), "sections": set(random.choices("xyz", k=random.randint(0, 2))), "court": random.choice([None, "", "Court 1", "court 2", "Other"])}
+            for k in range(60)
+        ]
+        clusters, doubtful = [], []
+        for r in records:
+            found = [{resolve.strength(r, m) for m in c} for c in clusters]
+            home = next((c for c, f in zip(clusters, found, strict=True) if f & {"exact", "strong"}), None)
+            if home is None and any("weak" in f for f in found):
+                doubtful.append(r)
+            elif home is None:
+                clusters.append([r])
+            else:
+                home.append(r)
+        assert resolve.greedy(records) == (clusters, doubtful)
+
+
 def test_ids_are_unique_and_never_given_twice(spark):
     rows = catalog.cases(spark, SF)
     first = identity.mint(rows, spark.createDataFrame([], "cnr string, id string, year string, state string, serial int"), RUN_DATE)
