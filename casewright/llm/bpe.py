@@ -344,26 +344,60 @@ def split(raw: np.ndarray, at: np.ndarray, special: dict[bytes, int]) -> tuple[n
     return begin, np.append(begin[1:], n_bytes), ids
 
 
-_hashes = Hashes(71), Hashes(72)
+_hashes = Hashes(71)
+#: Words of more bytes than this are compared one by one instead of side by side.
+WIDE = 64
+
+
+def _unlike(raw: np.ndarray, one: np.ndarray, other: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Which of the stretches raw[one : one + size] and raw[other : other + size] differ, by their bytes."""
+    out = np.zeros(len(one), bool)
+    if not len(one):
+        return out
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(raw) + 1,), "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    masks = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+    live = np.flatnonzero(size <= WIDE)
+    for k in range(0, WIDE, 8):
+        live = live[size[live] > k]
+        if not len(live):
+            break
+        out[live] |= ((eight[one[live] + k] ^ eight[other[live] + k]) & masks[np.minimum(size[live] - k, 8)]) != 0
+    long = np.flatnonzero(size > WIDE)
+    if len(long):
+        blob = memoryview(raw)
+        out[long] = [blob[a : a + n] != blob[b : b + n] for a, b, n in zip(one[long].tolist(), other[long].tolist(), size[long].tolist(), strict=True)]
+    return out
 
 
 def distinct_words(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For the words raw[begin : end]: a place of each different word, every word's number among them, and counts.
 
-    Words are told apart by two independent 64-bit hashes.
+    Words are sorted by a hash; each is then compared, byte by byte, with the first of its hash and length. Words that
+    differ from it are told apart by their bytes alone, so that no choice of text can make two words one.
     """
-    one, two = (h.of(h.sums(raw), begin, end) for h in _hashes)
-    order = np.argsort(one, kind="stable")
-    a, b = one[order], two[order]
-    new = np.ones(len(order), bool)
-    new[1:] = a[1:] != a[:-1]
-    if (b[1:] != b[:-1])[~new[1:]].any():  # two words share the first hash
-        order = np.lexsort((two, one))
-        a, b = one[order], two[order]
-        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    size = end - begin
+    hashed = _hashes.of(_hashes.sums(raw), begin, end)
+    order = np.argsort(hashed, kind="stable")
+    a = hashed[order]
+    new = np.append(True, a[1:] != a[:-1])[: len(order)]
     number = np.empty(len(order), np.int64)
     number[order] = np.cumsum(new) - 1
-    return order[new], number, np.bincount(number, minlength=int(new.sum()))
+    places = order[new]
+    first = places[number]
+    other = size != size[first]
+    same = np.flatnonzero(~other)
+    other[same] = _unlike(raw, begin[same], begin[first[same]], size[same])
+    if other.any():
+        blob, known, more = raw.tobytes(), {}, []
+        for k in np.flatnonzero(other).tolist():
+            word = blob[begin[k] : end[k]]
+            if word not in known:
+                known[word] = len(places) + len(more)
+                more.append(k)
+            number[k] = known[word]
+        places = np.append(places, np.array(more, places.dtype))
+    return places, number, np.bincount(number, minlength=len(places))
 
 
 class Encoder:
@@ -438,11 +472,10 @@ def _worker(key: str, lexicon: bytes, merges: tuple) -> Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
-def frequent_words(docs: DataFrame, text_col: str, special: dict[bytes, int], size: int, least: int = 2) -> list[bytes]:
-    """The ``size`` words that occur most often in all texts, each task counting its whole share.
+def frequent_words(docs: DataFrame, text_col: str, special: dict[bytes, int], size: int) -> list[bytes]:
+    """The ``size`` words that occur most often in all texts; every occurrence counts, however thinly it is spread.
 
-    A word that a stretch of CHUNK bytes holds fewer than ``least`` times doesn't count there: it is too rare for
-    the lexicon, which decides only how fast a word is found.
+    Words of more than LONG bytes are left out: they are merged one by one whenever they come.
     """
 
     def each(batches):
@@ -454,7 +487,7 @@ def frequent_words(docs: DataFrame, text_col: str, special: dict[bytes, int], si
                 part = raw[at[i] : at[j]]
                 begin, end, given = split(part, at[i : j + 1] - at[i], special)
                 own, _, n = distinct_words(part, begin, end)
-                keep = (n >= least) & (given[own] < 0) & (end[own] - begin[own] <= LONG)
+                keep = (given[own] < 0) & (end[own] - begin[own] <= LONG)
                 own, blob = own[keep], part.tobytes()
                 for a, b, c in zip(begin[own].tolist(), end[own].tolist(), n[keep].tolist(), strict=True):
                     word = blob[a:b]
