@@ -5,7 +5,8 @@ one more component that makes all of them unit vectors; then the nearest point o
 product. Each of TABLES tables of a range hashes a point to the cell of
 HASHES Gaussian projections cut into steps of WIDTH. A query visits, in every table, the PROBES cells around its own
 that are likeliest to hold neighbours: a cell's score is the sum of squared distances from the query's projections
-to the cell's sides. Candidates of all tables are merged and ranked by their exact inner product. A query that finds too few is compared with all points.
+to the cell's sides. Candidates of all tables are merged and ranked by their exact inner
+product. A query that finds too few is compared with all points.
 
 Cells are dealt out by table and their first few coordinates, in blocks of bounded size for data and queries alike.
 """
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from casewright.llm.common import durable
-from casewright.llm.vectors import dimension, matrix, usable
+from casewright.llm.vectors import dimension, lengths, matrix, usable
 
 TABLES, HASHES, WIDTH, PROBES = 4, 8, 2.0, 480
 #: Rows and queries that one task holds at a time.
@@ -69,7 +70,8 @@ def nearest(rows: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_
     A row with the query's own id is no candidate. Ties go to the smaller id; fewer candidates give fewer rows.
     Vectors that are null, empty, zero or hold null or non-finite components, and null ids, take no part on either
     side. A repeated query id with different vectors is searched with the least of them. Equal vectors are one class,
-    of which the ``k`` + 1 smallest ids can come into a result. All usable vectors must have one length.
+    of which the ``k`` + 1 smallest ids can come into a result. A vector of another length than a query's is no
+    candidate of that query.
     """
     as_doubles = F.transform(vector_col, lambda x: x.cast("double"))
     clean = lambda df: df.where(usable(F.col(vector_col)) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), as_doubles.alias("v"))
@@ -93,7 +95,7 @@ def nearest(rows: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_
 
     def hashed(batches):
         for batch in batches:
-            v = matrix(batch.column(1))
+            v = matrix(batch.column(1), dims)
             if len(v):
                 band = batch.column(2).to_numpy()
                 cells = np.floor(tables.project(v, np.array([tops[x] for x in band.tolist()]), False)).astype(np.int64)
@@ -105,7 +107,7 @@ def nearest(rows: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_
         for whole in batches:
             for lo in range(0, whole.num_rows, 256):
                 batch = whole.slice(lo, 256)
-                p = tables.project(matrix(batch.column(1)), None, True)
+                p = tables.project(matrix(batch.column(1), dims), None, True)
                 out = [[], [], [], []]
                 for t in range(TABLES):
                     cells = tables.probes(p[t])
@@ -135,7 +137,8 @@ def nearest(rows: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_
         return data.union(probes).groupBy("t", "g", "i", "j").applyInArrow(ranked, "q long, c array<long>, score array<double>")
 
     def ranked(table):
-        side, ids, v = table.column("side").to_numpy(), table.column("id").to_numpy(), matrix(table.column("v").combine_chunks())
+        side, ids, vectors = table.column("side").to_numpy(), table.column("id").to_numpy(), table.column("v").combine_chunks()
+        v, long = matrix(vectors, dims), lengths(vectors)
         cells = table.column("cells").combine_chunks()
         at, flat = cells.offsets.to_numpy(), cells.values.to_numpy()
         points = np.flatnonzero(side == 0)
@@ -150,6 +153,8 @@ def nearest(rows: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_
             if not len(low):
                 continue
             take = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(low, size)
+            if not (fits := long[points[take]] == long[q]).all():
+                take = take[fits]
             score, who = x[take] @ v[q], ids[points[take]]
             if len(score) > short_list:
                 least = np.partition(score, len(score) - short_list)[len(score) - short_list]

@@ -5,12 +5,16 @@ Gaussian direction they differ by no more than WINDOW * d with a known probabili
 its projection is laid on every direction; a pair collides where one lies in the other's window. Pairs that collide
 on at least the number of directions that a pair at the very threshold reaches with probability 1 - MISS are
 verified exactly. Vectors are sorted by one projection of unit length and cut into blocks there; as unit vectors
-that near can't differ by more than d on it, blocks farther apart are never compared.
+that near can't differ by more than d on it, what lies farther apart in that order is never compared.
+
+On the other directions no order is kept: where a window holds a large share of all vectors, as it does at any useful
+threshold, walking through sorted windows touches each pair many times, so windows are counted for a tile of pairs
+at once, a byte for each projection.
 """
 
 from __future__ import annotations
 
-from math import comb, erf, sqrt
+from math import ceil, comb, erf, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -18,22 +22,22 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import FloatType
 
 from casewright.llm.common import components, durable
-from casewright.llm.vectors import classes, dimension, matrix
+from casewright.llm.vectors import classes, dimension, lengths, matrix
 
 #: Half a window, in standard deviations of what a pair at the threshold differs by.
 WINDOW = 2.0
-DIRECTIONS = 64
-#: Cells of one direction, and how many standard deviations of the projections they span to each side.
-CELLS = 8
-EXTENT = 2.2
+#: All directions, and those that are counted for every pair; the others are counted for pairs that these leave.
+DIRECTIONS, FIRST = 64, 32
+#: Steps of a byte for one unit of a projection; bytes wrap around, which can add collisions but loses none.
+STEPS = 25.0
 #: How likely a pair at the threshold may be passed over.
 MISS = 1e-6
 #: Vectors in a block; a task holds two blocks.
-BLOCK = 8192
-TILE = 512
+BLOCK = 4096
+TILE = 64
 
 
-def least_count(directions: int = DIRECTIONS, window: float = WINDOW, miss: float = MISS) -> int:
+def least_count(directions: int = DIRECTIONS, window: float = WINDOW, miss: float = MISS / 2) -> int:
     """The greatest count that a pair at the threshold reaches with probability 1 - miss at least."""
     p, below = erf(window / sqrt(2)), 0.0
     for k in range(directions + 1):
@@ -43,25 +47,36 @@ def least_count(directions: int = DIRECTIONS, window: float = WINDOW, miss: floa
     return directions
 
 
-def colliding(x: np.ndarray, y: np.ndarray, half: float, least: int, cells: int = CELLS) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (i, j) of rows of the projections x and y that lie within ``half`` on ``least`` directions or more.
+def colliding(x: np.ndarray, y: np.ndarray, half: float, x_sorted: np.ndarray, y_sorted: np.ndarray, far: float):
+    """Pairs (i, j) of rows of the projections x and y with as many collisions as a pair at the threshold has.
 
-    Each direction is cut into cells, and the window around a projection of y is widened to whole cells, so no
-    collision is lost. A row of x then has a one in its cell of each direction and a row of y in all cells of its
-    window; the product of the two matrices is the number of collisions of every pair.
+    ``x_sorted`` and ``y_sorted`` are the ascending projections on the one direction of unit length: a tile of x meets
+    the stretch of y that lies no farther off than ``far``.
     """
-    middle, spread = x.mean(0), x.std(0)
-    edges = [middle + spread * e for e in np.linspace(-EXTENT, EXTENT, cells + 1)[1:-1]]
-    cell = lambda p: sum((p >= e for e in edges), np.zeros(p.shape, np.int8))[:, :, None]
-    every = np.arange(cells, dtype=np.int8)
-    own = (cell(x) == every).reshape(len(x), -1).astype(np.float32)
-    window = ((cell(y - half - 1e-9) <= every) & (cell(y + half + 1e-9) >= every)).reshape(len(y), -1).astype(np.float32).T
-    left, right = [], []
+    first, least = least_count(FIRST), least_count()
+    steps = lambda p: np.ascontiguousarray(np.floor(p * STEPS).astype(np.int64).astype(np.uint8).T)
+    reach = ceil(half * STEPS) + 1
+    own, other, width = steps(x) + np.uint8(reach), steps(y), np.uint8(min(255, 2 * reach))
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for i in range(0, len(x), TILE):
-        p, q = np.nonzero(own[i : i + TILE] @ window >= least)
-        left.append(p + i)
-        right.append(q)
-    return np.concatenate(left or [np.zeros(0, np.int64)]), np.concatenate(right or [np.zeros(0, np.int64)])
+        j = min(i + TILE, len(x))
+        a, b = np.searchsorted(y_sorted, x_sorted[i] - far - 1e-9), np.searchsorted(y_sorted, x_sorted[j - 1] + far + 1e-9, side="right")
+        if a >= b:
+            continue
+        count, gap, hit = np.zeros((j - i, b - a), np.uint8), np.empty((j - i, b - a), np.uint8), np.empty((j - i, b - a), bool)
+        for k in range(FIRST):
+            np.subtract(own[k, i:j, None], other[k, None, a:b], out=gap)
+            np.less_equal(gap, width, out=hit)
+            np.add(count, hit.view(np.uint8), out=count)
+        p, q = np.nonzero(count >= first)
+        total = count[p, q].astype(np.int64)
+        p, q = p + i, q + a
+        for k in range(FIRST, DIRECTIONS):
+            total += own[k, p] - other[k, q] <= width
+        keep = total >= least
+        left.append(p[keep])
+        right.append(q[keep])
+    return np.concatenate(left), np.concatenate(right)
 
 
 def _forest(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
@@ -84,14 +99,14 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
 def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.9, block: int = BLOCK, seed: int = 9) -> DataFrame:
     """(id_col, n_links, component_id, kept) for every row of ``rows``.
 
-    Two rows link if the cosine of their vectors, in double precision, is at least ``cosine``. Equal vectors are one
-    class: only classes are compared, and a row's links are its class's other rows and the rows of linked classes.
-    Vectors that are null, empty, zero or hold null or non-finite components, and rows with a null id, link with
-    nothing; a null id's component is null. All usable vectors must have one length. Rows with one id count as
-    rows of their own. Other columns are not read.
+    Two rows link if their vectors have one length and a cosine, in double precision, of at least ``cosine``. Equal
+    vectors are one class: only classes are compared, and a row's links are its class's other rows and the rows of
+    linked classes. Vectors that are null, empty, zero or hold null or non-finite components, and rows with a null
+    id, link with nothing; a null id's component is null. Rows with one id count as rows of their own, each with its
+    own vector's links. Other columns are not read; an empty table gives an empty result.
     """
     base = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"))
-    every = durable(classes(base, "id", "v"))
+    every = durable(classes(base, "id", "v").withColumn("c", F.monotonically_increasing_id()))
     dims = dimension(every, "v")
     rng = np.random.default_rng(seed)
     far = sqrt(max(0.0, 2 - 2 * cosine))
@@ -99,31 +114,33 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
     first /= np.linalg.norm(first)
     lit = F.array(*[F.lit(float(x)) for x in first])
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    sorted_ = every.withColumn("p", F.aggregate(F.zip_with("v", lit, lambda x, w: x * w), F.lit(0.0), lambda s, x: s + x) / norm)
+    sorted_ = every.withColumn("p", F.aggregate(F.zip_with("v", lit, lambda x, w: F.coalesce(x, F.lit(0.0)) * w), F.lit(0.0), lambda s, x: s + x) / norm)
     n_blocks = max(1, -(-every.count() // block))
     cuts = sorted_.approxQuantile("p", [k / n_blocks for k in range(1, n_blocks)], 0.1 / n_blocks) if n_blocks > 1 else []
     blocked = sorted_.withColumn("g", _bucket(F.col("p"), sorted(set(cuts))))
-    spans = {r["g"]: (r["a"], r["b"]) for r in blocked.groupBy("g").agg(F.min("p").alias("a"), F.max("p").alias("b")).collect()}
-    near = [(i, j) for i in spans for j in spans if i <= j and spans[j][0] - spans[i][1] <= far + 1e-9]
-    pairs = rows.sparkSession.createDataFrame([(i, i, j) for i, j in near] + [(j, i, j) for i, j in near if i != j] or [(0, 0, 0)], "g int, gi int, gj int")
+    # a row for each block: the neighbouring blocks that it reaches are one range, since blocks follow the order
+    spans = blocked.groupBy("g").agg(F.min("p").alias("low"), F.max("p").alias("high"))
+    reach = spans.alias("s").join(spans.alias("o"), (F.col("o.low") <= F.col("s.high") + far + 1e-9) & (F.col("o.high") >= F.col("s.low") - far - 1e-9)).groupBy(F.col("s.g").alias("g")).agg(F.min("o.g").alias("from"), F.max("o.g").alias("to"))
+    dealt = blocked.join(F.broadcast(reach), "g").withColumn("h", F.explode(F.sequence("from", "to"))).withColumns({"gi": F.least("g", "h"), "gj": F.greatest("g", "h")})
     directions = rng.normal(size=(max(1, dims), DIRECTIONS))
-    half, least = WINDOW * far, least_count()
+    half = WINDOW * far
 
     def compare(key, table):
         g, i, j = table.column("g").to_numpy(), key[0].as_py(), key[1].as_py()
-        ids, n = table.column("id").to_numpy(), table.column("n").to_numpy()
-        v = matrix(table.column("v").combine_chunks())
+        ids, n, place = (table.column(c).to_numpy() for c in ("c", "n", "p"))
+        vectors = table.column("v").combine_chunks()
+        v, long = matrix(vectors, dims), lengths(vectors)
         size = np.sqrt((v * v).sum(1))
         p = v @ directions / size[:, None]
-        mine, other = np.flatnonzero(g == i), np.flatnonzero(g == j)
-        a, b = colliding(p[mine], p[other], half, least)
+        mine, other = (x[np.argsort(place[x], kind="stable")] for x in (np.flatnonzero(g == i), np.flatnonzero(g == j)))
+        a, b = colliding(p[mine], p[other], half, place[mine], place[other], far)
         a, b = mine[a], other[b]
         if i == j:
             a, b = a[a < b], b[a < b]
-        ok = np.zeros(len(a), bool)
+        ok = long[a] == long[b]
         for k in range(0, len(a), 1 << 16):
             s, t = a[k : k + (1 << 16)], b[k : k + (1 << 16)]
-            ok[k : k + (1 << 16)] = np.einsum("ij,ij->i", v[s], v[t]) / (size[s] * size[t]) >= cosine
+            ok[k : k + (1 << 16)] &= np.einsum("ij,ij->i", v[s], v[t]) / (size[s] * size[t]) >= cosine
         a, b = a[ok], b[ok]
         links = np.bincount(a, n[b], len(ids)) + np.bincount(b, n[a], len(ids))
         has = np.flatnonzero(links)
@@ -133,11 +150,13 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
     # vectors of floats travel as floats, which doubles hold exactly
     kind = "array<float>" if rows.schema[vector_col].dataType.elementType == FloatType() else "array<double>"
     # a row with links counts a class's links within one pair of blocks; one without is an edge
-    found = durable(blocked.select("id", "n", F.col("v").cast(kind).alias("v"), "g").join(F.broadcast(pairs), "g").groupBy("gi", "gj").applyInArrow(compare, "a long, b long, links long"))
-    tops = components(found.where("links = 0"))
-    counts = found.where("links > 0").groupBy(F.col("a").alias("l_id")).agg(F.sum("links").alias("links"))
-    told = every.join(tops, F.col("id") == F.col("node"), "left").join(counts, F.col("id") == F.col("l_id"), "left")
-    told = told.select(F.col("v").cast(kind).alias("class_v"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"), F.coalesce("component", "id").alias("component"))
+    found = durable(dealt.select("c", "n", "p", F.col("v").cast(kind).alias("v"), "g", "gi", "gj").groupBy("gi", "gj").applyInArrow(compare, "a long, b long, links long"))
+    tops = every.select("c", "id").join(components(found.where("links = 0")).withColumnRenamed("node", "c"), "c")
+    least = tops.groupBy("component").agg(F.min("id").alias("least"))
+    tops = tops.join(least, "component").select(F.col("c").alias("node"), "least")
+    counts = found.where("links > 0").groupBy(F.col("a").alias("l_c")).agg(F.sum("links").alias("links"))
+    told = every.join(tops, F.col("c") == F.col("node"), "left").join(counts, F.col("c") == F.col("l_c"), "left")
+    told = told.select(F.col("v").cast(kind).alias("class_v"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"), F.coalesce("least", "id").alias("component"))
     keyed = base.select("id", F.col("v").cast(kind).alias("v"))
     joined = keyed.join(told, (F.col("v") == F.col("class_v")) & F.col("id").isNotNull(), "left")
     component = F.coalesce("component", "id")

@@ -14,10 +14,22 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & ~bad & some, F.lit(False))
 
 
-def matrix(column: pa.Array) -> np.ndarray:
-    """Lists of one length as the rows of a matrix of doubles."""
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
+def matrix(column: pa.Array, dims: int = 0) -> np.ndarray:
+    """Lists as the rows of a matrix of doubles with ``dims`` columns at least; shorter lists end in zeros."""
+    if not len(column):
+        return np.zeros((0, dims))
+    flat, size = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64), lengths(column)
+    wide = max(dims, int(size.max()))
+    if (size == wide).all():
+        return flat.reshape(len(column), -1)
+    out = np.zeros((len(column), wide))
+    out[np.arange(wide) < size[:, None]] = flat
+    return out
+
+
+def lengths(column: pa.Array) -> np.ndarray:
+    """How many components each list has."""
+    return column.value_lengths().to_numpy(zero_copy_only=False)
 
 
 def classes(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -27,8 +39,5 @@ def classes(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def dimension(rows: DataFrame, vector_col: str) -> int:
-    """The one length of the vectors of ``rows``; 0 without rows. Vectors of several lengths are an error."""
-    low, high = rows.agg(F.min(F.size(vector_col)), F.max(F.size(vector_col))).first()
-    if low != high:
-        raise ValueError(f"vectors have lengths from {low} to {high}")
-    return low or 0
+    """The greatest length of the vectors of ``rows``; 0 without rows."""
+    return rows.agg(F.max(F.size(vector_col))).first()[0] or 0

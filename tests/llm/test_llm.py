@@ -139,6 +139,34 @@ def test_bpe(spark):
     assert bpe.encode(docs(spark, []), BPE).count() == 0
 
 
+@pytest.mark.parametrize("n", [512, 1024, 4096])
+def test_bpe_tells_words_by_their_bytes(spark, n):
+    word, swap = "a", str.maketrans("ab", "ba")
+    while len(word) < n:  # Thue-Morse words, which hashes by a polynomial modulo a power of two can't tell apart
+        word += word.translate(swap)
+    text = f"x {word} {word.translate(swap)} {word}"
+    got = bpe.encode(docs(spark, [(1, text), (2, f"{word.translate(swap)} y")]), BPE, ids=True).collect()
+    exact = Tokenizer.from_file(BPE)
+    for r in got:
+        t = text if r["doc_id"] == 1 else f"{word.translate(swap)} y"
+        assert r["ids"] == exact.encode(t, add_special_tokens=False).ids
+        assert r["decoded_sha256"] == hashlib.sha256(t.encode()).hexdigest()
+
+
+def test_words_of_one_hash_stay_apart(monkeypatch):
+    class Flat:
+        sums = staticmethod(lambda raw: raw)
+        of = staticmethod(lambda sums, begin, end: np.zeros(len(begin), np.uint64))
+
+    monkeypatch.setattr(bpe, "_hashes", Flat())
+    random.seed(16)
+    words = [bytes(random.choices(b"ab", k=random.choice([1, 2, 3, 8, 9, 64, 65, 70]))) for _ in range(300)]
+    raw, size = np.frombuffer(b"".join(words), np.uint8), np.array([*map(len, words)])
+    end = np.cumsum(size)
+    places, number, count = bpe.distinct_words(raw, end - size, end)
+    assert [words[places[k]] for k in number] == words and len(places) == len({*words}) and count.sum() == 300
+
+
 def test_lexicon_is_minimal():
     words = [b"talk", b"talks", b"talked", b"walk", b"walks", b"walked", b"wa", b"\xff\x00"]
     lexicon = bpe.Lexicon.compile(words, [[k] for k in range(len(words))])
@@ -247,6 +275,19 @@ def test_collisions(spark):
     assert collisions.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
 
 
+def test_collisions_of_repeated_ids_and_lengths(spark):
+    rows = [(1, [1.0, 0.0, 0.0]), (1, [0.0, 1.0, 0.0]), (2, [1.0, 0.01, 0.0]), (3, [0.01, 1.0, 0.0]), (4, [1.0, 0.02, 0.0]), (5, [1.0, 0.0]), (6, [1.0, 0.01]), (7, [1.0])]
+    got = collisions.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == [(1, 1, 1), (1, 2, 1), (2, 2, 1), (3, 1, 1), (4, 2, 1), (5, 1, 5), (6, 1, 5), (7, 0, 7)]
+
+
+def test_ann_of_repeated_ids_and_lengths(spark):
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [0.5, 0.0]), (2, [3.0]), (3, [0.9, 0.0, 5.0]), (4, [0.2, 7.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.nearest(df, df.where("vec_id = 0")).orderBy("rank").collect()
+    assert [(r["vec_id"], r["score"]) for r in got] == [(1, 1.0), (1, 0.5), (4, 0.2)]
+
+
 def test_urls(spark):
     given = ["https://A.example.NET/en/x?y", "http://net", "http://x.net/?a", "http://www.example.com/de/1", "http://example.com/d", "org/fr/", None, "", "http://notnet/", "http://q.org/fr/a#b", "ftp://u:p@n.example.net:80/en/", "x://a.b.net/p?q://", "http:///net/"]
     rows = [(k, u, "z") for k, u in enumerate(given)] + [(None, given[0], "z")]
