@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -230,6 +231,33 @@ def test_html(spark):
     assert any(t.startswith("Only one été") for t in texts)
 
 
+SAID = "This is the first of the paragraphs of the story and it has a lot of words in it that are common to all of us."
+
+
+@pytest.mark.parametrize("name", ["has-sidebar", "no-sidebar", "content-with-sidebar", "sidebar-left layout", "search-results", "related", "post share", "entry"])
+@pytest.mark.parametrize("inner", ["<article>%s</article>", "%s"])
+def test_html_names_are_only_hints(name, inner):
+    article = inner % f"<h1>Title here</h1><p>{SAID}</p><p>{SAID} And more of it.</p>"
+    talk = f"<p>{SAID} I say.</p>" * 9
+    page = f'<header><h1>Site</h1></header><nav><a href="/">Home</a></nav><div class="{name}">{article}</div><div class="sidebar"><p>{SAID}</p></div><div id="comments">{talk}</div><footer>me</footer>'
+    assert html.main_text(page) == f"Title here {SAID} {SAID} And more of it."
+
+
+def test_html_passes_decide(monkeypatch):
+    plain = f'<ul><li><a href="/a">Links of the site and of all that is in it for you and for us</a></li></ul><p>Menu</p><h2>A head</h2><p>{SAID}</p><p>Short one.</p><p>{SAID}</p><p>zzz qqq xxx yyy www vvv uuu ttt sss rrr qqq ppp ooo nnn mmm lll kkk jjj iii</p><p>End</p>'
+    assert html.main_text(plain) == f"A head {SAID} Short one. {SAID}"  # Menu and End lie next to bad blocks, the head and the short one next to good ones
+    assert html.main_text(f"<p>One</p><p>{SAID}</p><p>mid</p><table><tr><td><a href=x>all of the links of the page are here for you to see and to use</a></table>") == f"One {SAID} mid"  # a tie
+    monkeypatch.setattr(html, "classify", lambda *a: "good")
+    assert "Links of the site" in html.main_text(plain) and "Menu" in html.main_text(plain)
+
+
+@pytest.mark.parametrize("broken", ["<a ", "<div>", "<div></p></x>", '<a "', "<a '\">", "<!--", "<", "<script", '<div class="ad">x', "<table><tr><td>x", "<p>x</div>"])
+def test_html_broken_markup_takes_linear_time(broken):
+    begun = time.process_time()
+    html.main_text(broken * (1_000_000 // len(broken)))
+    assert time.process_time() - begun < 3
+
+
 def test_ann_recall(spark):
     rng = np.random.default_rng(8)
     x = rng.normal(size=(1500, 16)) * rng.uniform(0.5, 1.5, (1500, 1))
