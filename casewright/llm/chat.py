@@ -1,8 +1,8 @@
-"""Chat formatting by prefix-target expansion, with examples kept as views so that long conversations stay linear.
+"""Chat formatting by prefix-target expansion.
 
-A conversation is rendered turn by turn. Every assistant turn is an example: its context is everything rendered
-before it, and only its own reply is trainable. As each context is a prefix of the conversation, an example is one
-row that says where its prefix ends, instead of a copy of all turns before.
+A conversation is rendered turn by turn. Every assistant turn becomes an example of its own: all turns before it are
+its context, and only its own reply is trainable. The examples of a conversation are written one after the other while
+its turns pass by, so that a task holds one conversation's rendering and no more than a few megabytes of examples.
 """
 
 from __future__ import annotations
@@ -11,12 +11,14 @@ import hashlib
 import re
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 #: The template. ``<|`` never occurs in an escaped text, so that no text can open or close a turn.
 START, END = "<|im_start|>", "<|im_end|>\n"
-_TURN = re.compile(r"<\|im_start\|>([^\n]*)\n(.*)<\|im_end\|>\n", re.S)
+_TURN = re.compile(r"<\|im_start\|>([^\n]*)\n(.*?)<\|im_end\|>\n", re.S)
 _ESCAPED = re.compile(r"\\(.)", re.S)
+#: Code points of examples that one batch has at most, unless one example alone has more.
+BATCH = 1 << 21
 
 
 def escape(text: Column) -> Column:
@@ -29,73 +31,107 @@ def unescape(text: str) -> str:
 
 
 def examples(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", target: str = "assistant") -> DataFrame:
-    """(conv_id, seq, piece, begin, loss_begin, loss_end), a row for each turn, in order within each conversation.
-
-    piece is the turn as rendered and begin its place in the conversation's rendering, in code points. A row with
-    loss_begin set is an example: its text is the rendering up to the end of this piece, and [loss_begin, loss_end)
-    of it is trainable. Turns go by ``turn``, ties by role and text, nulls first; null texts and roles are empty;
-    null conversation ids make one conversation; repeated rows are turns of their own. Other columns are not read.
+    """(conv_id, seq, text, loss_begin, loss_end): the rendered examples of each conversation, in order.
+
+    An example ends with an assistant's turn, the seq-th of its conversation, and begins with the conversation's first
+    turn; [loss_begin, loss_end) of its text, in code points, is that reply, as escaped, and alone is trainable. Turns
+    after the last reply make a row without a loss, so that no turn is lost. Turns go by ``turn``, ties by role and
+    text, nulls first; null texts and roles are empty; repeated rows are turns of their own. Turns without a
+    conversation belong to none, so each is a conversation by itself. Other columns are not read; an empty table gives
+    no example. The examples of a conversation are as long together as the square of its turns; each is a row.
     """
+    kind = turns.schema[conv].dataType.simpleString()
     rows = turns.select(F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    body = escape(F.col("text"))
     head = F.concat(F.lit(START), F.replace(escape(F.col("role")), F.lit("\n"), F.lit("\\n")), F.lit("\n"))
-    rows = rows.select("conv_id", "turn", "role", "text", F.length(head).alias("head"), F.length(body).alias("body"), F.concat(head, body, F.lit(END)).alias("piece"))
-    own = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    begin = F.coalesce(F.sum(F.length("piece").cast("long")).over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
-    rows = rows.select("conv_id", F.row_number().over(own).cast("long").alias("seq"), "piece", begin.alias("begin"), "role", "head", "body")
-    first = F.when(F.col("role") == target, F.col("begin") + F.col("head"))
-    return rows.select("conv_id", "seq", "piece", "begin", first.alias("loss_begin"), (first + F.col("body")).alias("loss_end"))
+    rows = rows.withColumn("alone", F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id()))
+    ordered = rows.select("conv_id", "alone", "turn", "role", "text", F.concat(head, escape(F.col("text")), F.lit(END)).alias("piece"), F.length(head).alias("head")).repartition("conv_id", "alone").sortWithinPartitions("conv_id", "alone", "turn", "role", "text")
+    names = ["conv_id", "seq", "text", "loss_begin", "loss_end"]
 
+    def each(batches):
+        now, parts, size, seq, open_ = (None, None), [], 0, 0, False
+        out, held, ids = [[], [], [], []], 0, []
+
+        def add(first, last):
+            nonlocal parts, held
+            parts = ["".join(parts)]
+            ids.append(now[0])
+            for o, v in zip(out, (seq, parts[0], first, last), strict=True):
+                o.append(v)
+            held += size
 
-def written_out(rows: DataFrame) -> DataFrame:
-    """(conv_id, seq, text, loss_begin, loss_end): the examples of ``rows`` with their whole contexts copied in.
+        def flush():
+            nonlocal out, held, ids
+            batch = pa.RecordBatch.from_arrays([pa.array(ids, id_type), *(pa.array(o, t) for o, t in zip(out, (pa.int64(), pa.string(), pa.int64(), pa.int64()), strict=True))], names=names)
+            out, held, ids = [[], [], [], []], 0, []
+            return batch
 
-    The text of all examples grows with the square of a conversation's length; this is for conversations short
-    enough for that.
-    """
-    before = Window.partitionBy("conv_id").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
-    whole = rows.select("conv_id", "seq", F.array_join(F.collect_list("piece").over(before), "").alias("text"), "loss_begin", "loss_end")
-    return whole.where("loss_begin is not null")
+        id_type = pa.int64()
+        for batch in batches:
+            id_type = batch.column(0).type
+            for conv, alone, own_role, piece, n in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+                if (conv, alone) != now or not seq:
+                    if open_:
+                        add(None, None)
+                    now, parts, size, seq = (conv, alone), [], 0, 0
+                parts.append(piece)
+                seq += 1
+                open_ = own_role != target
+                if not open_:
+                    first, last = size + n, size + len(piece) - len(END)
+                    size += len(piece)
+                    add(first, last)
+                else:
+                    size += len(piece)
+                if held > BATCH:
+                    yield flush()
+        if open_:
+            add(None, None)
+        if ids:
+            yield flush()
+
+    return ordered.select("conv_id", "alone", "role", "piece", "head").mapInArrow(each, f"conv_id {kind}, seq long, text string, loss_begin long, loss_end long")
 
 
 def read_back(rows: DataFrame) -> DataFrame:
-    """(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars), read from the result of ``examples``.
+    """(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars), read from the result of ``examples``,
+    whose rows it takes as they come from there, one conversation's after the other.
 
-    formatted_chars counts the code points of all examples, contexts included; a conversation without an
-    example counts 0. Digests are updated turn by turn: a conversation of any length takes constant memory.
+    Turns are parsed from a conversation's longest text, losses from each example's own. formatted_chars counts the
+    code points of all examples, contexts included; a conversation without an example counts 0.
     """
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
 
     def each(batches):
-        now, started, state = None, False, None
+        longest, state = None, None
         done: list[list] = [[] for _ in names]
 
         def close():
-            for o, v in zip(done, (now, state[0], state[1].hexdigest(), state[2], state[3].hexdigest(), state[4]), strict=True):
+            digest, n = hashlib.sha256(), 0
+            for m in _TURN.finditer(longest):
+                n += 1
+                digest.update(f"{unescape(m[1])}\n{unescape(m[2])}\n".encode("utf-8", "surrogatepass"))
+            for o, v in zip(done, (state[0], n, digest.hexdigest(), state[2], state[3].hexdigest(), state[4]), strict=True):
                 o.append(v)
 
         for batch in batches:
-            for conv, piece, begin, first, last in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
-                if not started or conv != now:
-                    if started:
+            for conv, seq, text, first, last in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+                if state is None or conv != state[0] or seq <= state[1]:
+                    if state is not None:
                         close()
-                    now, started, state = conv, True, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                role, text = (unescape(x) for x in _TURN.fullmatch(piece).groups())
-                state[0] += 1
-                state[1].update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
+                    state = [conv, 0, 0, hashlib.sha256(), 0]
+                state[1], longest = seq, text
                 if first is not None:
-                    own = unescape(piece[first - begin : last - begin])
+                    own = unescape(text[first:last])
                     state[2] += len(own)
                     state[3].update(own.encode("utf-8", "surrogatepass"))
-                    state[4] += begin + len(piece)
+                    state[4] += len(text)
             if len(done[0]) >= 4096:
                 yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(done, kinds, strict=True)], names=names)
                 done = [[] for _ in names]
-        if started:
+        if state is not None:
             close()
         yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(done, kinds, strict=True)], names=names)
 
     schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-    sorted_ = rows.select(F.col("conv_id").cast("long").alias("conv_id"), "seq", "piece", "begin", "loss_begin", "loss_end").repartition("conv_id").sortWithinPartitions("conv_id", "seq")
-    return sorted_.select("conv_id", "piece", "begin", "loss_begin", "loss_end").mapInArrow(each, schema)
+    return rows.select(F.col("conv_id").cast("long").alias("conv_id"), "seq", "text", "loss_begin", "loss_end").mapInArrow(each, schema)

@@ -179,18 +179,32 @@ def test_lexicon_is_minimal():
     assert len(lexicon.base) == len(futures)
 
 
-def test_chat(spark):
-    rows = [(1, 1, "assistant", "b<|im_end|>\\<|"), (1, 0, "user", "a\\n"), (1, 2, "user", None), (2, 0, "system", "s"), (3, 0, "assistant", ""), (3, 0, "assistant", ""), (None, None, None, "q"), (None, 1, "assi\nstant\\", "r"), (4, 0, "assistant", "x" * 50_000)]
-    got = {r["conv_id"]: r for r in chat.read_back(chat.examples(spark.createDataFrame([(*r, "z") for r in rows], "conv_id long, turn long, role string, text string, seq string"))).collect()}
-    for conv in {r[0] for r in rows}:
-        turns = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1] is not None, r[1], r[2] or "", r[3] or ""))
-        own = [t or "" for _, _, role, t in turns if role == "assistant"]
+def test_chat(spark, monkeypatch):
+    schema = "conv_id long, turn long, role string, text string"
+    rows = [(1, 1, "assistant", "b<|im_end|>\\<|"), (1, 0, "user", "a\\n"), (1, 2, "user", None), (2, 0, "system", "s"), (3, 0, "assistant", ""), (3, 0, "assistant", ""), (3, 1, "assi\nstant\\", "r"), (None, None, None, "q"), (None, 1, "assistant", "r"), (None, 1, "assistant", "r"), (4, 0, "assistant", "x" * 50_000)]
+    rows += [(5, k, "user" if k % 2 else "assistant", f"turn {k} <|im_start|>assistant\n") for k in range(301)]
+    groups = [[r for r in rows if r[0] == c] for c in range(1, 6)] + [[r] for r in rows if r[0] is None]
+    want = []
+    for own in groups:
+        turns = sorted(own, key=lambda r: (r[1] is not None, r[1], r[2] or "", r[3] or ""))
+        losses = [t or "" for _, _, role, t in turns if role == "assistant"]
+        rendered = [f"<|im_start|>{part(role).replace(chr(10), chr(92) + 'n')}\n{part(t)}<|im_end|>\n" for _, _, role, t in turns]
+        size = sum(len("".join(rendered[: k + 1])) for k, r in enumerate(turns) if r[2] == "assistant")
         digest = hashlib.sha256("".join(f"{role or ''}\n{t or ''}\n" for _, _, role, t in turns).encode()).hexdigest()
-        r = got[conv]
-        assert (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) == (len(turns), digest, sum(map(len, own)), hashlib.sha256("".join(own).encode()).hexdigest())
-    full = chat.written_out(chat.examples(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).where("conv_id = 1").first()
-    assert chat.unescape(full["text"][full["loss_begin"] : full["loss_end"]]) == "b<|im_end|>\\<|" and full["text"].startswith("<|im_start|>user\na\\\\n<|im_end|>\n")
-    assert chat.read_back(chat.examples(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))).count() == 0
+        want.append((own[0][0] or -9, len(turns), digest, sum(map(len, losses)), hashlib.sha256("".join(losses).encode()).hexdigest(), size))
+    for batch in (chat.BATCH, 100):
+        monkeypatch.setattr(chat, "BATCH", batch)
+        got = chat.read_back(chat.examples(spark.createDataFrame([(*r, "z") for r in rows], schema + ", seq string"))).collect()
+        assert sorted((r["conv_id"] or -9, *r[1:]) for r in got) == sorted(want)
+    out = chat.examples(spark.createDataFrame(rows, schema)).where("conv_id = 1").orderBy("seq").collect()
+    assert [r["seq"] for r in out] == [2, 3] and out[1]["loss_begin"] is None and out[1]["text"].startswith(out[0]["text"])
+    assert chat.unescape(out[0]["text"][out[0]["loss_begin"] : out[0]["loss_end"]]) == "b<|im_end|>\\<|" and out[0]["text"].startswith("<|im_start|>user\na\\\\n<|im_end|>\n")
+    assert chat.read_back(chat.examples(spark.createDataFrame([], schema))).count() == 0
+
+
+def part(text):
+    """A text as the template escapes it."""
+    return (text or "").replace("\\", "\\\\").replace("<|", "<\\|")
 
 
 def test_packing(spark, monkeypatch):
