@@ -4,7 +4,8 @@ The key universe is every key that some URL of the corpus could match: its host
 labels as some rule has, joined to a prefix of its path as long as some rule's. Level 0 of a cascade encodes a
 list's keys; level 1 the universe's keys that level 0 takes wrongly; level 2 the list's keys that level 1 takes; and
 so on until a level takes nothing wrongly. A key is listed if the first level that refuses it has an odd number.
-Over the universe this is exact, so that no URL is joined to the rules.
+Over the universe this is exact, so that no URL is joined to the rules. A long list is dealt out by the keys' hash into
+shares of bounded size; each share has cascades of its own and makes one pass over the URLs, which keep their best rule.
 """
 
 from __future__ import annotations
@@ -13,12 +14,13 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from casewright.llm.common import durable, mix
 
-#: Listed keys that cascades may hold (about 40 MB at most, whatever the corpus); longer lists are joined.
-MOST_LISTED = 4_000_000
+#: Listed keys of one share: its cascades take about 40 MB at most, its keys 64 MB while they are built.
+SHARE = 4_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -76,38 +78,38 @@ def candidate_keys(host: Column, path: Column, labels: list[int], lengths: list[
     return F.array_compact(F.array(*[F.concat(h, p) for h in hosts for p in paths]))
 
 
-def _false_hits(keys: DataFrame, levels: list[Bloom], mine: np.ndarray, upto: int) -> DataFrame:
-    """Distinct keys (a, b) that aren't in ``mine`` (sorted pairs) and that all levels up to ``upto`` took."""
+def _false_hits(keys: DataFrame, first: Bloom, a: np.ndarray, b: np.ndarray) -> DataFrame:
+    """The keys (a, b) of ``keys`` that ``first`` takes although they aren't listed."""
+    sent = keys.sparkSession.sparkContext.broadcast((first, np.sort(np.rec.fromarrays([a, b], names="a,b"))))
 
     def each(batches):
+        level, mine = sent.value
         for batch in batches:
             a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            keep = np.ones(len(a), bool)
-            for level in levels[: upto + 1]:
-                keep &= level.has(a, b)
-            pairs = np.rec.fromarrays([a, b], names="a,b")
-            at = np.minimum(np.searchsorted(mine, pairs[keep]), max(0, len(mine) - 1))
-            hits = np.flatnonzero(keep)
-            hits = hits[mine[at] != pairs[keep]] if len(mine) else hits
+            hits = np.flatnonzero(level.has(a, b))
+            if len(mine):
+                pairs = np.rec.fromarrays([a[hits], b[hits]], names="a,b")
+                hits = hits[mine[np.minimum(np.searchsorted(mine, pairs), len(mine) - 1)] != pairs]
             yield pa.RecordBatch.from_arrays([pa.array(a[hits]), pa.array(b[hits])], names=["a", "b"])
 
-    return keys.mapInArrow(each, "a long, b long").distinct()
+    return keys.mapInArrow(each, "a long, b long")
 
 
 def cascade(universe: DataFrame, a: np.ndarray, b: np.ndarray, size: int) -> list[Bloom]:
-    """The levels for the listed keys (a, b) over ``universe`` (a, b), which has about ``size`` different keys.
+    """The levels for the listed keys (a, b) over ``universe``, whose rows (a, b) are ``size`` different keys or so.
 
-    Level 0 is as fine as needed for no more false hits than there are listed keys or so.
+    Level 0 is as fine as needed for no more false hits than there are listed keys or so; it is made finer where they
+    are four times as many after all, so what comes to the driver is bounded by the listed keys.
     """
-    mine = np.sort(np.rec.fromarrays([a, b], names="a,b"))
-    first = Bloom(len(a), min(0.5, max(1, len(a)) / max(1, size)), 0)
-    first.add(a, b)
-    levels = [first]
-    wrong = durable(_false_hits(universe, levels, mine, 0))
-    ins = (a, b)
-    got = wrong.toArrow() if wrong.count() <= 4 * MOST_LISTED else None
-    if got is None:
-        raise RuntimeError("level 0 took far more keys than its rate allows")
+    rate = min(0.5, max(1, len(a)) / max(1, size))
+    while True:
+        first = Bloom(len(a), rate, 0)
+        first.add(a, b)
+        wrong = durable(_false_hits(universe, first, a, b))
+        if wrong.count() <= 4 * max(1000, len(a)):
+            break
+        rate /= 8
+    levels, ins, got = [first], (a, b), wrong.toArrow()
     outs = tuple(got.column(k).to_numpy() for k in range(2))
     while len(outs[0]):
         level = Bloom(len(outs[0]), 0.25, len(levels))
@@ -118,13 +120,14 @@ def cascade(universe: DataFrame, a: np.ndarray, b: np.ndarray, size: int) -> lis
     return levels
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url", default: str = "allow") -> DataFrame:
+def judge(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url", default: str = "allow", share: int = SHARE) -> DataFrame:
     """(id_col, host, path, rule, verdict) for every row of ``pages``; rule is null where none fits.
 
     ``rules``: (action, host, path), the action being block or allow. A rule fits its host and all subdomains if the
-    path starts with the rule's; the longest rule wins (of equals the one with the longer host). A URL that no list
-    has gets ``default``. Null URLs and URLs without ``://`` have empty host and path and are judged like others.
-    Ids may be null or repeat; other columns are not read. Without rules everything gets ``default``.
+    path starts with the rule's; the longest rule wins, of equals the one with the longer host; a rule listed with both
+    actions blocks. A URL that no list has gets ``default``. Null URLs and URLs without ``://`` have empty host and
+    path and are judged like others. Ids may be null or repeat and repeated rows give repeated rows; other columns are
+    not read. Without rules everything gets ``default``; an empty table gives an empty result.
     """
     host, path = split_url(F.col(url_col))
     base = pages.select(F.col(id_col), host.alias("host"), path.alias("path"))
@@ -133,39 +136,51 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "pa
     labels, lengths = sorted({r[1].count(".") + 1 for r in rules}), sorted({len(r[2]) for r in rules})
     keyed = base.withColumn("keys", candidate_keys(F.col("host"), F.col("path"), labels, lengths))
     spark = pages.sparkSession
-    known = spark.createDataFrame([(h + p, action, len(h)) for action, h, p in rules], "rule string, action string, host_length int")
-    if len(rules) > MOST_LISTED:
-        each = keyed.withColumn("u", F.monotonically_increasing_id()).select("u", id_col, "host", "path", F.explode_outer("keys").alias("rule")).join(known, "rule", "left")
-        best = F.max(F.when(F.col("action").isNotNull(), F.struct(F.length("rule").alias("n"), "host_length", "rule", "action"))).alias("best")
-        return each.groupBy("u", id_col, "host", "path").agg(best).select(id_col, "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.action", F.lit(default)).alias("verdict"))
     pair = lambda key: (F.xxhash64(key), F.xxhash64(F.lit(7), key))
-    universe = keyed.select(F.explode("keys").alias("k")).select(*(x.alias(n) for x, n in zip(pair(F.col("k")), "ab", strict=True)))
-    size = int(universe.agg(F.approx_count_distinct("a")).first()[0])
-    levels = {}
-    for action in ("block", "allow"):
-        own = known.where(F.col("action") == action).select(*(x.alias(n) for x, n in zip(pair(F.col("rule")), "ab", strict=True))).distinct().toArrow()
-        a, b = (own.column(k).to_numpy() for k in range(2))
-        levels[action] = cascade(universe, a, b, size) if len(a) else []
-    sent = spark.sparkContext.broadcast(levels)
+    named = lambda key: [x.alias(n) for x, n in zip(pair(key), "ab", strict=True)]
+    known = spark.createDataFrame([(h + p, action) for action, h, p in rules], "rule string, action string").select("action", *named(F.col("rule"))).distinct().toArrow()
+    action, a, b = (known.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+    universe = durable(keyed.select(F.explode("keys").alias("k")).select(*named(F.col("k"))).distinct())
+    shares = -(-len(a) // share)
     widths = F.transform("keys", lambda k: F.length(k) * 4096 + F.least(F.length(F.substring_index(k, "/", 1)), F.lit(4095)))
-    ready = keyed.select(id_col, "host", "path", "keys", F.transform("keys", lambda k: pair(k)[0]).alias("a"), F.transform("keys", lambda k: pair(k)[1]).alias("b"), widths.alias("w"))
-    schema = pa.schema([("x", pa.string()), ("host", pa.string()), ("path", pa.string()), ("rule", pa.string()), ("verdict", pa.string())])
+    state = keyed.select(F.col(id_col).alias("x"), "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"), F.lit(-1).cast("long").alias("best"), "keys", F.transform("keys", lambda k: pair(k)[0]).alias("a"), F.transform("keys", lambda k: pair(k)[1]).alias("b"), F.transform(widths, lambda w: w.cast("long")).alias("w"))
+    kind = pages.schema[id_col].dataType.simpleString()
+    schema = f"x {kind}, host string, path string, rule string, verdict string, best long, keys array<string>, a array<long>, b array<long>, w array<long>"
+    for k in range(shares):
+        part = universe.where(F.pmod("a", F.lit(shares)) == k) if shares > 1 else universe
+        size = part.count()
+        own = {x: (action == x) & (a % shares == k) for x in ("block", "allow")}
+        levels = {x: cascade(part, a[m], b[m], size) if m.any() else [] for x, m in own.items()}
+        state = state.mapInArrow(_better(spark.sparkContext.broadcast(levels), k, shares), schema)
+        if k + 1 < shares:  # so that a task holds one share's cascades at a time
+            state = durable(state)
+    return state.select(F.col("x").alias(id_col), "host", "path", "rule", "verdict")
+
+
+def _better(sent, k: int, shares: int):
+    """A pass that gives each URL the longest rule of the share ``k``, if that is longer than the best one so far."""
 
     def each(batches):
         have = sent.value
         for batch in batches:
-            keys, a, b, w = (batch.column(k) for k in range(3, 7))
-            owner = np.repeat(np.arange(batch.num_rows), np.diff(keys.offsets.to_numpy()))
+            rows = batch.num_rows
+            keys, a, b, w = (batch.column(c) for c in range(6, 10))
+            owner = np.repeat(np.arange(rows), np.diff(keys.offsets.to_numpy()))
             names, (a, b, w) = keys.flatten(), (x.flatten().to_numpy() for x in (a, b, w))
-            block, allow = (listed(have[k], a, b) for k in ("block", "allow"))
-            hit = np.flatnonzero(block | allow)
+            mine = np.flatnonzero(a % shares == k)
+            block, allow = np.zeros(len(a), bool), np.zeros(len(a), bool)
+            block[mine], allow[mine] = (listed(have[x], a[mine], b[mine]) for x in ("block", "allow"))
+            hit = np.flatnonzero((block | allow) & (w > batch.column(5).to_numpy()[owner]))
             order = hit[np.lexsort((w[hit], owner[hit]))]
             top = order[np.append(owner[order][1:] != owner[order][:-1], True)[: len(order)]]
-            rule, verdict = np.full(batch.num_rows, -1), np.full(batch.num_rows, default, object)
-            rule[owner[top]] = top
-            verdict[owner[top]] = np.where(allow[top], "allow", "block")
-            chosen = names.take(pa.array(rule, pa.int64(), mask=rule < 0))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), chosen, pa.array(verdict, pa.string())], names=[id_col, *schema.names[1:]])
-
-    kind = pages.schema[id_col].dataType.simpleString()
-    return ready.mapInArrow(each, f"`{id_col}` {kind}, host string, path string, rule string, verdict string")
+            at = np.full(rows, -1)
+            at[owner[top]] = top
+            new = pa.array(at >= 0)
+            told = np.full(rows, "", object)
+            told[owner[top]] = np.where(block[top], "block", "allow")
+            longest = batch.column(5).to_numpy().copy()
+            longest[owner[top]] = w[top]
+            rule, verdict = pc.if_else(new, names.take(pa.array(at, pa.int64(), mask=at < 0)), batch.column(3)), pc.if_else(new, pa.array(told, pa.string()), batch.column(4))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], rule, verdict, pa.array(longest), *batch.columns[6:]], names=batch.schema.names)
+
+    return each
