@@ -209,25 +209,56 @@ def part(text):
 
 def test_packing(spark, monkeypatch):
     random.seed(7)
-    rows = [(k, "x" * random.choice([1, 10, 99, 100, 101, 250, 1000])) for k in range(500)] + ODD
-    for shard in (50_000, 40):
-        monkeypatch.setattr(packing, "SHARD", shard)
+    rows = [(k, "".join(random.choices("abc", k=random.choice([1, 10, 99, 100, 101, 250, 1000])))) for k in range(500)] + ODD + [(8, "same"), (8, "same"), (9, "é" * 1200)]
+    for pieces, tokens in ((50_000, 1 << 24), (40, 1 << 24), (50_000, 2000)):
+        monkeypatch.setattr(packing, "PIECES", pieces)
+        monkeypatch.setattr(packing, "TOKENS", tokens)
         got = packing.packed(docs(spark, rows), capacities=(100, 300, 1000)).collect()
-        bins, seen = {}, {}
+        assert len({r["bin_id"] for r in got}) == len(got)
+        parts = []
         for r in got:
-            bins.setdefault(r["bin_id"], []).append(r)
-            seen[r["doc_id"]] = seen.get(r["doc_id"], 0) + r["length"]
-        sizes = {}
-        for i, t in rows:
-            sizes[i] = sizes.get(i, 0) + len((t or "").encode())
-        assert seen == sizes
-        for own in bins.values():
-            own.sort(key=lambda r: (r["offset"], r["length"]))
-            assert all(a["offset"] + a["length"] == b["offset"] for a, b in zip(own, own[1:], strict=False)) and own[0]["offset"] == 0
-            used = own[-1]["offset"] + own[-1]["length"]
-            assert {r["capacity"] for r in own} == {min(c for c in (100, 300, 1000) if c >= used)}
-    assert sum(sizes.values()) / sum(own[0]["capacity"] for own in bins.values()) > 0.9
+            assert r["used"] == sum(r["lengths"]) == len(r["tokens"]) and r["capacity"] == min(c for c in (100, 300, 1000) if c >= r["used"])
+            assert len(r["doc_ids"]) == len(r["begins"]) == len(r["lengths"])
+            end = 0
+            for i, begin, n in zip(r["doc_ids"], r["begins"], r["lengths"], strict=True):
+                parts.append((i, begin, bytes(r["tokens"][end : end + n])))
+                end += n
+        want = [(i, b, (t or "").encode()[b : b + 1000]) for i, t in rows for b in range(0, max(1, len((t or "").encode())), 1000)]
+        key = lambda x: (x[0] is None, x[0] or 0, *x[1:])
+        assert sorted(parts, key=key) == sorted(want, key=key)
+        if pieces == 50_000 < tokens:
+            assert sum(r["used"] for r in got) / sum(r["capacity"] for r in got) > 0.9
     assert packing.packed(docs(spark, [])).count() == 0
+    ids = spark.createDataFrame([(1, [5, 6, 7]), (2, None), (3, []), (4, list(range(25)))], "doc_id string, text array<int>")
+    got = packing.packed(ids, capacities=(4, 10)).collect()
+    found = {(i, b): r["tokens"][sum(r["lengths"][:k]) :][:n] for r in got for k, (i, b, n) in enumerate(zip(r["doc_ids"], r["begins"], r["lengths"], strict=True))}
+    assert found == {("1", 0): [5, 6, 7], ("2", 0): [], ("3", 0): [], ("4", 0): [*range(10)], ("4", 10): [*range(10, 20)], ("4", 20): [*range(20, 25)]}
+
+
+def test_packing_costs_little_more_than_the_best():
+    """Against the least cost over all partitions of small sets of pieces, ties and pieces of no length among them."""
+    random.seed(18)
+    capacities = [4, 9, 16]
+
+    def partitions(items):
+        if not items:
+            yield []
+            return
+        for rest in partitions(items[1:]):
+            yield [items[:1], *rest]
+            for k in range(len(rest)):
+                yield [*rest[:k], [items[0], *rest[k]], *rest[k + 1 :]]
+
+    ratio = []
+    for _ in range(60):
+        lengths = sorted((random.choice([0, 1, 2, 3, 4, 5, 7, 9, 12, 16]) for _ in range(7)), reverse=True)
+        overhead, quadratic = random.choice([(1.0, 0.0), (4.0, 0.01), (0.0, 0.05)])
+        cost = {c: overhead + c + quadratic * c * c for c in capacities}
+        least = min(sum(cost[min(c for c in capacities if c >= sum(b))] for b in p) for p in partitions(lengths) if all(sum(b) <= 16 for b in p))
+        bins, _, final, total = packing.pack(np.array(lengths), capacities, overhead, quadratic)
+        assert abs(total - sum(cost[c] for c in dict(zip(bins.tolist(), final.tolist(), strict=True)).values())) < 1e-9
+        ratio.append(total / least)
+    assert min(ratio) >= 1 - 1e-9 and max(ratio) < 1.5 and sum(ratio) / len(ratio) < 1.06, (max(ratio), sum(ratio) / len(ratio))
 
 
 PAGE = """<html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body><header><h1>Site</h1><p>Welcome to the site of all the people who write about it and so on and on.</p></header>
@@ -393,7 +424,7 @@ def test_pipeline(spark):
         before, kept = kept, stage(spark, kept, sf_dir)
         assert kept.columns == rows.columns and 0 < kept.count() <= before.count(), name
     packed = corpus_pipeline.sequences(spark, kept, sf_dir)
-    assert packed.agg(F.sum("length")).first()[0] == kept.agg(F.sum(F.octet_length("text"))).first()[0]
+    assert packed.agg(F.sum("used")).first()[0] == kept.agg(F.sum(F.octet_length("text"))).first()[0]
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
     good = {r["doc_id"] for r in corpus_pipeline.good_texts(spark, rows, sf_dir).collect()}
     assert {i for i, q in labels.items() if q == 1} & {r["doc_id"] for r in rows.collect()} <= good
