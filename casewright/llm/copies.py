@@ -1,6 +1,8 @@
-"""Near copies by exact Jaccard similarity of word shingles; MinHash bands only say which texts to compare.
+"""Near copies by exact Jaccard similarity of word shingles; fingerprints and MinHash bands only say what to compare.
 
-Texts of equal words are one class. Classes that share a band of ROWS minima are candidates: each bucket adds a star
+Texts of equal words are one class. Classes whose SimHashes of 5-word shingles link (``simhash.links``, the generalised
+pigeonhole) are candidates. At a similarity of 0.8 two fingerprints differ in 9 to 10 bits of 64 on average, more than a
+pigeonhole can probe at any size, so classes that share a band of ROWS minima are candidates too: each bucket adds a star
 of links, never all its pairs, and every connected set of candidates goes to one task once. There a search from text
 to text computes the exact similarity and drops each text it reaches, so a group of copies costs about one comparison
 a text. At a similarity of 0.8 a pair shares no band with probability (1 - 0.8**6)**40, or 5 in a million; each link
@@ -15,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from casewright.llm.common import components, durable, mix
-from casewright.llm.simhash import words
+from casewright.llm.simhash import links, majority, words
 
 ROWS, BANDS = 6, 40
 _RNG = np.random.default_rng(12)
@@ -83,19 +85,22 @@ def alike(sets: list[np.ndarray], parts: tuple[int, int] = (4, 5)) -> list[tuple
     return out
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 4) -> DataFrame:
     """(id, key, component) for every row of ``docs`` with an id: key stands for the row's words, and component for
-    all texts that links of a 5-word Jaccard similarity of 0.8 or more join. Texts without words are copies of each other."""
+    all texts that links of a 5-word Jaccard similarity of 0.8 or more join. A text of fewer words is one shingle; texts
+    without words, null ones included, are copies of each other. Ids may repeat; an empty table gives an empty result."""
     given = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
 
     def printed(batches):
         for batch in batches:
-            keys, found = [], []
+            keys, prints, found = [], [], []
             for text in batch.column(1).to_pylist():
                 w = words(text)
+                s = shingles(w)
                 keys.append(xxhash.xxh3_128_digest(b" ".join(w)))
-                found.append(bands(shingles(w)) if w else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(found, pa.list_(pa.int64()))], names=["id", "key", "bands"])
+                prints.append(majority(s))
+                found.append(bands(s) if w else np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(found, pa.list_(pa.int64()))], names=["id", "key", "fp", "bands"])
 
     def full(batches):
         for whole in batches:
@@ -111,14 +116,16 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         pairs = np.array(alike([np.frombuffer(s, np.uint64) for s in sets]), np.int64).reshape(-1, 2)
         return pa.table([pa.array(node[pairs[:, 0]]), pa.array(node[pairs[:, 1]])], names=["a", "b"])
 
-    prints = durable(given.mapInArrow(printed, "id long, key binary, bands array<long>"))
-    classes = durable(prints.groupBy("key").agg(F.min("id").alias("id"), F.first("bands").alias("bands")).withColumn("node", F.monotonically_increasing_id()))
+    prints = durable(given.mapInArrow(printed, "id long, key binary, fp long, bands array<long>"))
+    classes = durable(prints.groupBy("key").agg(F.min("id").alias("id"), F.first("fp").alias("fp"), F.first("bands").alias("bands")).withColumn("node", F.monotonically_increasing_id()))
+    same = durable(classes.groupBy("fp").agg(F.min("node").alias("id")))
+    near = links(same, distance).union(classes.join(same.withColumnRenamed("id", "b"), "fp").where("node <> b").select("node", "b"))
     dealt = classes.select("node", F.explode("bands").alias("band"))
     shared = dealt.groupBy("band").agg(F.min("node").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
-    candidates = components(dealt.withColumnRenamed("node", "a").join(shared, "band").where("a <> b").select("a", "b"))
+    candidates = components(near.union(dealt.withColumnRenamed("node", "a").join(shared, "band").where("a <> b").select("a", "b")))
     wanted = durable(classes.join(candidates, "node").select("node", "id", "key", "component"))
     sets = given.join(wanted.select("id").distinct(), "id", "left_semi").mapInArrow(full, "id long, key binary, s binary")
-    links = sets.join(wanted, ["id", "key"]).select("component", "node", "s").groupBy("component").applyInArrow(compared, "a long, b long")
-    tops = components(links)
+    found = sets.join(wanted, ["id", "key"]).select("component", "node", "s").groupBy("component").applyInArrow(compared, "a long, b long")
+    tops = components(found)
     named = classes.select("key", "node").join(tops, "node", "left").select("key", F.coalesce("component", "node").alias("component"))
     return prints.select("id", "key").join(named, "key").select("id", "key", "component")

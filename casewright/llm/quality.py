@@ -1,16 +1,17 @@
 """Quality classifier: supervised subword embeddings, trained by stochastic gradient descent in numpy.
 
 A document's features are its words, the pairs of neighbouring words and the character n-grams inside and at the
-edges of words, each hashed to one of BUCKETS learned vectors, and a feature that says a word repeats the one
-before. The vectors are averaged and a softmax layer gives the class. Training takes a bounded sample; scoring
-reads every whole text, a chunk of texts at a time, from a table that holds each vector's pull on the logit.
+edges of words, each hashed to one of BUCKETS learned vectors. A pair is hashed by the difference of its words' hashes,
+so that all pairs of a word with itself share one vector. The vectors are averaged and a softmax layer gives the class.
+Training takes a bounded sample; scoring reads every whole text, a chunk of texts at a time, from a table that holds
+each vector's pull on the logit.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from casewright.llm.common import Hashes, durable, slices, utf8
 
@@ -19,6 +20,8 @@ BUCKETS = 1 << 18
 GRAMS = (3, 4, 5)
 #: Labelled documents that training takes at most: those of least hash of the id.
 SAMPLE = 3000
+#: Bytes of text that these documents have together at most; a document that passes the rest is left out of training.
+SAMPLE_BYTES = 1 << 26
 #: Steps of training at least; few labelled documents are gone through more often.
 STEPS = 6000
 CHUNK = 1 << 19
@@ -51,8 +54,7 @@ def features(raw: np.ndarray, at: np.ndarray):
         pair = np.ones(len(word), bool)
         pair[edges[:-1][edges[:-1] < len(word)]] = False
         before = np.append(word[:1], word[:-1])
-        yield bucket(before * np.uint64(3) + word, 2), pair, edges
-        yield np.zeros(len(word), np.int64), pair & (word == before), edges
+        yield bucket(word - before, 2), pair, edges
     # an n-gram may begin or end with a blank but has none inside
     for size in GRAMS:
         if n >= size:
@@ -111,12 +113,16 @@ def train(texts: list[np.ndarray], labels: np.ndarray, dims: int = 8, epochs: in
     return np.concatenate([pull, [float(bias[1] - bias[0])]])
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE, **how) -> np.ndarray:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES, **how) -> np.ndarray:
     """The trained table. ``labels`` may hold rows without a document, null labels and repeated ids (the least label
-    counts). Training runs in one task on at most ``sample`` documents, whole, those of least hash of the id."""
+    counts). Training runs in one task on at most ``sample`` documents, whole, those of least hash of the id, as far as
+    they have ``sample_bytes`` together; of rows that repeat an id the least text counts. Null texts are empty. Without
+    documents, or with labels of one kind only, the table has a bias alone."""
     own = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("id")).agg(F.min(label_col).cast("int").alias("label"))
-    ids = own.join(docs.select(F.col(id_col).cast("long").alias("id")).distinct(), "id", "left_semi")
-    chosen = durable(ids.orderBy(F.xxhash64("id"), "id").limit(sample))
+    ids = own.join(docs.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.max(F.coalesce(F.octet_length(text_col), F.lit(0))).alias("size")), "id")
+    first = durable(ids.orderBy(F.xxhash64("id"), "id").limit(sample))
+    upto = Window.orderBy(F.xxhash64("id"), "id").rowsBetween(Window.unboundedPreceding, 0)  # over at most ``sample`` rows
+    chosen = durable(first.withColumn("upto", F.sum("size").over(upto)).where(F.col("upto") <= sample_bytes).select("id", "label"))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")).join(F.broadcast(chosen), "id")
 
     def each(batches):

@@ -45,6 +45,11 @@ def fingerprint(text: str | None, shingle: int = 4, seed: int = 42) -> int:
     start = np.concatenate(([0], end[:-1] + 1))
     digest = xxhash.xxh64_intdigest
     h = np.fromiter([digest(line[a:b], seed) for a, b in zip(start[: n - shingle + 1].tolist(), end[shingle - 1 :].tolist(), strict=True)], "<u8", n - shingle + 1)
+    return majority(h)
+
+
+def majority(h: np.ndarray) -> int:
+    """The number whose bits are those that over half of the 64-bit numbers ``h`` have."""
     ones = np.zeros(BITS, np.int64)
     for i in range(0, len(h), 1 << 16):  # a very long text takes bounded memory
         ones += np.unpackbits(h[i : i + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)

@@ -331,12 +331,28 @@ def _expanded(rows: DataFrame, length: int) -> DataFrame:
     return rows.mapInArrow(each, "doc long, begin long, end long")
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, carry: tuple[str, ...] = ()) -> DataFrame:
+def _whole(x: bytes, gone: np.ndarray) -> bytes:
+    """The stretches of ``x`` that aren't gone, without the parts of characters at the cuts."""
+    edges = np.flatnonzero(np.diff(np.concatenate(([True], gone, [True])).astype(np.int8)))
+    out = []
+    for a, b in edges.reshape(-1, 2).tolist():
+        if a:
+            while a < b and x[a] & 0xC0 == 0x80:
+                a += 1
+        if b < len(x):
+            lead = next((k for k in range(b - 1, max(a, b - 4) - 1, -1) if x[k] & 0xC0 != 0x80), b)
+            if lead < b and lead + (1 + (x[lead] >= 0xC0) + (x[lead] >= 0xE0) + (x[lead] >= 0xF0)) > b:
+                b = lead
+        out.append(x[a:b])
+    return b"".join(out)
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, carry: tuple[str, ...] = (), whole_characters: bool = False) -> DataFrame:
     """(id_col, n_bytes, n_removed, n_spans, kept_sha256, kept, *carry) for every row of ``docs``.
 
     Each byte that lies in a string of ``length`` bytes which begins earlier too (in a document of smaller id, or
-    earlier in the same) goes; ``kept`` is what stays, as binary, since a cut may fall inside a character. Null and
-    empty texts keep nothing and lose nothing. Rows whose id is null stay whole and repeat nothing. Rows with one
+    earlier in the same) goes; ``kept`` is what stays, as binary, since a cut may fall inside a character. With
+    ``whole_characters`` it lacks the parts of characters that cuts have left, and nothing else. Null and empty texts keep nothing and lose nothing. Rows whose id is null stay whole and repeat nothing. Rows with one
     id and one text are one document and get the same result; rows with one id and different texts share their
     removals, each within its own length. Of the other columns only those of ``carry`` are read; they come back as
     they are.
@@ -371,7 +387,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     kept = x[~gone].tobytes()
                 else:
                     kept = x.tobytes()
-                for o, v in zip(out, (len(x), removed, runs_, hashlib.sha256(kept).hexdigest(), kept), strict=True):
+                digest = hashlib.sha256(kept).hexdigest()
+                if removed and whole_characters:
+                    kept = _whole(x.tobytes(), gone)
+                for o, v in zip(out, (len(x), removed, runs_, digest, kept), strict=True):
                     o.append(v)
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(o, t) for o, t in zip(out, kinds, strict=True)), *batch.columns[3:]], names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", *batch.schema.names[3:]])

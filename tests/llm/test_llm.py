@@ -431,13 +431,55 @@ def test_pipeline(spark):
     assert corpus_pipeline.run(spark, sf_dir).count() == packed.count()
 
 
-def test_pipeline_with_odd_rows(spark):
-    rows = [(1, None, "en", "s", 0), (2, "", "en", "s", 0), (None, "no id", "en", "s", 5), (3, "é" * 300, "en", None, None), (3, "é" * 300, "en", None, None)]
-    df = spark.createDataFrame([(*r, "z") for r in rows], "doc_id long, text string, lang string, source string, n_chars long, t string")
-    one = corpus_pipeline.one_of_each(spark, df, "")
-    assert one.columns == df.columns and one.where("doc_id is null").count() == 1
-    rest = corpus_pipeline.without_repeats(spark, df, "")
+ODD_DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept string, n_removed int, `a.b` int, _row int, component string, id string"
+
+
+def odd(spark, rows):
+    return spark.createDataFrame([(i, t, "en", None, 0, "k", 1, 2, 3, "c", "i") for i, t in rows], ODD_DOCS)
+
+
+def test_pipeline_stages_with_odd_rows(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    given = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    rows = [(1_000_001, None), (1_000_002, ""), (None, "no id"), (None, "no id"), (1_000_003, "é" * 300), (1_000_003, "é" * 300), (1_000_003, "another text of that id"), (1_000_004, " \t"), (1_000_005, "long words " * 50_000), *map(tuple, given), *map(tuple, given[:5])]
+    df = odd(spark, rows)
+    good = corpus_pipeline.good_texts(spark, df, sf_dir)
+    assert good.columns == df.columns and good.where("trim(text) = '' or text is null").count() == 0
+    one = corpus_pipeline.one_of_each(spark, df, sf_dir)
+    assert one.columns == df.columns and one.where("_row = 3 and component = 'c'").count() == one.count()
+    kept = [(r["doc_id"], r["text"]) for r in one.collect()]
+    assert kept.count((None, "no id")) == 1 and kept.count((1_000_003, "é" * 300)) == 1 and kept.count((1_000_003, "another text of that id")) == 1
+    assert [t for _, t in kept if not (t or "").strip()] == [None] and all(kept.count(tuple(r)) <= 1 for r in given)
+    rest = corpus_pipeline.without_repeats(spark, df, sf_dir)
     assert rest.columns == df.columns and rest.count() == len(rows)
+    assert rest.where("kept = 'k' and n_removed = 1 and `a.b` = 2").count() == len(rows)
+    assert all(r["n_chars"] == len(r["text"]) for r in rest.collect())
+    packed = corpus_pipeline.sequences(spark, df, sf_dir)
+    assert packed.agg(F.sum("used")).first()[0] == sum(len((t or "").encode()) for _, t in rows)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, odd(spark, []), sf_dir).count() == 0
+
+
+def test_cuts_leave_whole_characters(spark):
+    common = "".join(random.Random(19).choices("abcdefgh", k=150))
+    rows = [(1, f"é{common}\ufffd"), (2, f"x\ufffdü{common}\ufffd tail \ufffd"), (3, "ß" * 100), (4, "aß" + "ß" * 70 + "\ufffd")]
+    want = removed(rows)
+    got = {r["doc_id"]: r for r in suffix.remove_repeats(docs(spark, rows), whole_characters=True).collect()}
+    for i, (_, _, _, digest, kept) in want.items():
+        assert got[i]["kept_sha256"] == digest and bytes(got[i]["kept"]).decode() == kept.decode("utf-8", "ignore")
+    assert want[2][1] and bytes(got[2]["kept"]).decode().count("\ufffd") == 2
+    half = np.zeros(4, bool)
+    half[1:3] = True
+    assert suffix._whole("éé".encode(), half) == b"" and suffix._whole("aé🙂".encode(), np.array([False] * 3 + [True] + [False] * 3)) == "aé".encode()
+
+
+def test_quality_on_held_out_documents(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    got = [(r["score"], labels[r["doc_id"]], r["predicted"]) for r in queries.op5_quality(spark, sf_dir).collect() if r["held_out"] and labels.get(r["doc_id"]) is not None]
+    good, bad = ([s for s, y, _ in got if y == k] for k in (1, 0))
+    assert sum(a > b for a in good for b in bad) >= 0.98 * len(good) * len(bad) > 0
+    assert sum(p == y for _, y, p in got) >= 0.95 * len(got)
 
 
 def test_near_copies_by_jaccard(spark, monkeypatch):
