@@ -118,9 +118,10 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
     n_blocks = max(1, -(-every.count() // block))
     cuts = sorted_.approxQuantile("p", [k / n_blocks for k in range(1, n_blocks)], 0.1 / n_blocks) if n_blocks > 1 else []
     blocked = sorted_.withColumn("g", _bucket(F.col("p"), sorted(set(cuts))))
-    # a row for each block: the neighbouring blocks that it reaches are one range, since blocks follow the order
-    spans = blocked.groupBy("g").agg(F.min("p").alias("low"), F.max("p").alias("high"))
-    reach = spans.alias("s").join(spans.alias("o"), (F.col("o.low") <= F.col("s.high") + far + 1e-9) & (F.col("o.high") >= F.col("s.low") - far - 1e-9)).groupBy(F.col("s.g").alias("g")).agg(F.min("o.g").alias("from"), F.max("o.g").alias("to"))
+    # a row for each block; those that it reaches are one range, since blocks follow the order
+    spans = np.array(blocked.groupBy("g").agg(F.min("p").alias("low"), F.max("p").alias("high")).orderBy("g").collect() or [(0, 0.0, 0.0)], np.float64)
+    lowest, highest = np.searchsorted(spans[:, 2], spans[:, 1] - far - 1e-9), np.searchsorted(spans[:, 1], spans[:, 2] + far + 1e-9, side="right") - 1
+    reach = rows.sparkSession.createDataFrame([(int(g), int(spans[i, 0]), int(spans[j, 0])) for g, i, j in zip(spans[:, 0], lowest, highest, strict=True)], "g int, from int, to int")
     dealt = blocked.join(F.broadcast(reach), "g").withColumn("h", F.explode(F.sequence("from", "to"))).withColumns({"gi": F.least("g", "h"), "gj": F.greatest("g", "h")})
     directions = rng.normal(size=(max(1, dims), DIRECTIONS))
     half = WINDOW * far
