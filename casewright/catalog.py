@@ -229,9 +229,9 @@ def withhold_names(spark, sf_dir):
     return cases(spark, sf_dir).select("ord", gates.withheld_accused().alias("accused_name"))
 
 
-@query(CTE + f"select ord, district, status, incident_reported_date from cases where state = 'KA' and status in {_ACTIVE} and not minor_involved and contains(lower(concat_ws(' ', district, status, court, section_1, section_2)), 'bns') order by coalesce({_DAYS}, 0) desc, ord limit 40")
+@query(CTE + f"select ord, district, status, incident_reported_date from cases where state = 'KA' and status in {_ACTIVE} and not minor_involved and contains(lower(concat_ws(' ', district, status, court, section_1, section_2)), 'bns')")
 def explore_filter_sort(spark, sf_dir):
-    return views.explore(cases(spark, sf_dir), RUN_DATE, state="KA", activity="active", minor=False, q="BNS", limit=40).select("ord", "district", "status", "incident_reported_date")
+    return views.explore(cases(spark, sf_dir), RUN_DATE, state="KA", activity="active", minor=False, q="BNS").select("ord", "district", "status", "incident_reported_date")
 
 
 @query(CTE + "select 'state' as facet, state as value, count(*) as n from cases group by all union all select 'district', district, count(*) from cases group by all union all select 'status', status, count(*) from cases group by all")

@@ -45,4 +45,4 @@ def readability_violations(summary: Column, most: int = 25) -> Column:
     words = F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(summary, F.lit(r"(?i)\b(" + "|".join(sorted(LEGALESE, key=len, reverse=True)) + r")\b"), F.lit(1)), lambda w: F.lower(w))))
     section = summary.rlike(r"(?i)\bunder\s+section\b|\bsection\s+\d|\b\d{2,4}[A-Za-z]?\s*(?:IPC|BNS|BNSS|POCSO)\b|\b(?:IPC|BNS|BNSS|POCSO)\s*\d")
     sizes = F.filter(F.transform(F.split(summary, r"[.!?]+"), lambda s: F.size(F.filter(F.split(s, r"\s+"), lambda w: w != ""))), lambda n: n > most)
-    return F.concat(F.transform(words, lambda w: F.concat(F.lit("legalese term '"), w, F.lit("'"))), F.when(section, F.array(F.lit("section number in prose"))).otherwise(F.array().cast("array<string>")), F.transform(sizes, lambda n: F.concat(F.lit("sentence of "), n.cast("string"), F.lit(" words"))))
+    return F.concat(F.transform(words, lambda w: F.concat(F.lit("legalese term '"), w, F.lit("'"))), F.when(section, F.array(F.lit("cites a statute section by number in prose"))).otherwise(F.array().cast("array<string>")), F.transform(sizes, lambda n: F.concat(F.lit(f"sentence exceeds {most} words ("), n.cast("string"), F.lit(")"))))

@@ -15,15 +15,17 @@ def reasons(**conditions: Column) -> Column:
 
 
 def hold_reasons(least: float = 0.85) -> Column:
-    """Why a case can't be published by itself: columns minor_involved, sections, accused_name, source_type, confidence."""
+    """Why a case can't be published by itself: columns minor_involved, category, sections, accused_name, source_type, confidence."""
     pocso = F.exists("sections", lambda s: F.upper(s).contains("POCSO"))
-    return reasons(minor_involved=F.col("minor_involved"), pocso_minor_mismatch=pocso & ~F.col("minor_involved"), named_accused=F.col("accused_name").isNotNull(), live_blog_only=F.col("source_type").isin("live_blog", "legal_press"), confidence_below_auto=F.col("confidence") < least)
+    pocso = F.coalesce(pocso, F.lit(False)) | F.coalesce(F.lower(F.trim("category")) == "pocso", F.lit(False))
+    flagged, durable = F.coalesce("minor_involved", F.lit(False)), F.coalesce(F.col("source_type").isin("court", "news_article", "press_release"), F.lit(False))
+    return reasons(minor_involved=flagged, pocso_minor_mismatch=pocso & ~flagged, named_accused=F.col("accused_name").isNotNull(), live_blog_only=~durable, confidence_below_auto=F.coalesce("confidence", F.lit(0.0)) < least)
 
 
 def review_reason(least: float = 0.8) -> Column:
     """The first reason to keep a case from deduplication, null if there is none."""
     out_of_scope = (F.size("sections") > 0) & ~F.exists("sections", codes.qualifying_section)
-    return F.when(out_of_scope, "scope_review").when(F.col("confidence") < least, "low_confidence")
+    return F.when(out_of_scope, "scope_review").when(F.coalesce("confidence", F.lit(0.0)) < least, "low_confidence")
 
 
 def jurisdiction_reason() -> Column:
@@ -33,7 +35,7 @@ def jurisdiction_reason() -> Column:
 def schema_violations() -> Column:
     """Names of the fields that break the record's schema, its conditions for minors included."""
     d = F.col("incident_reported_date")
-    return reasons(state=~F.col("state").rlike("^[A-Z]{2}$"), district=F.length("district") == 0, status=~F.col("status").isin(STATUSES), confidence=~F.col("confidence").between(0, 1), date=~d.rlike(r"^\d{4}(-\d{2}(-\d{2})?)?$"), minor_date=F.col("minor_involved") & ~d.rlike(r"^\d{4}-\d{2}$"), minor_accused=F.col("minor_involved") & F.col("accused_name").isNotNull(), day_date=~F.col("minor_involved") & ~d.rlike(r"^\d{4}-\d{2}-\d{2}$"))
+    return reasons(state=F.col("state").isNull() | ~F.col("state").rlike("^[A-Z]{2}$"), district=F.col("district").isNull() | (F.length("district") == 0), status=F.col("status").isNull() | ~F.col("status").isin(STATUSES), confidence=F.col("confidence").isNull() | ~F.col("confidence").between(0, 1), date=d.isNull() | ~d.rlike(r"^\d{4}(-\d{2}(-\d{2})?)?$"), minor_date=F.col("minor_involved") & ~d.rlike(r"^\d{4}-\d{2}$"), minor_accused=F.col("minor_involved") & F.col("accused_name").isNotNull(), day_date=~F.col("minor_involved") & ~d.rlike(r"^\d{4}-\d{2}-\d{2}$"))
 
 
 def in_scope(cases: DataFrame, states: list[str] | None, lookback: int | None, run_date: str) -> DataFrame:

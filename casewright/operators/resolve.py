@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 from datetime import timedelta
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from casewright.functions import dates
+from casewright.functions import codes, dates
+from casewright.operators.durability import shared_key_components
 
 #: How far a case has got.
 STATUS_RANK = {"UNKNOWN": 0, "FIR_FILED": 1, "CHARGESHEETED": 2, "UNDER_TRIAL": 3, "APPEAL_PENDING": 4, "CONVICTED": 5, "ACQUITTED": 5, "QUASHED": 5, "CLOSED": 5}
@@ -16,28 +16,14 @@ STATUS_RANK = {"UNKNOWN": 0, "FIR_FILED": 1, "CHARGESHEETED": 2, "UNDER_TRIAL":
 
 def anchor_keys(cnr: Column, station: Column, number: Column, date: Column) -> Column:
     """Exact keys of a case: its court number, and its police station with number and year."""
-    year = F.coalesce(F.nullif(F.regexp_extract(number, r"/(\d{4})$", 1), F.lit("")), F.substring(date, 1, 4))
+    year = F.coalesce(F.nullif(F.regexp_extract(number, r"/(\d{4})\b", 1), F.lit("")), F.substring(date, 1, 4))
     fir = F.when((F.trim(station) != "") & (F.trim(number) != ""), F.concat_ws("|", F.concat(F.lit("fir:"), F.lower(F.trim(station))), F.trim(number), year))
     return F.array_compact(F.array(F.when(F.trim(cnr) != "", F.concat(F.lit("cnr:"), F.upper(F.trim(cnr)))), fir))
 
 
-def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component) for the bipartite edges (node, key): nodes that share keys, directly or through others."""
-    context = edges.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(edges.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="casewright-checkpoint-"))
-    edges = edges.checkpoint()
-    labels = edges.select("node", F.col("node").alias("component")).distinct().checkpoint()
-    for _ in range(rounds):
-        by_key = edges.join(labels, "node").groupBy("key").agg(F.min("component").alias("c"))
-        lower = edges.join(by_key, "key").groupBy("node").agg(F.min("c").alias("component"))
-        # a component's own label may have dropped since: jump to it
-        jump = lower.join(lower.select(F.col("node").alias("component"), F.col("component").alias("up")), "component", "left").select("node", F.least("component", F.coalesce("up", "component")).alias("component")).checkpoint()
-        changed = jump.join(labels.withColumnRenamed("component", "was"), "node").where("component <> was").limit(1).count()
-        labels = jump
-        if not changed:
-            return labels
-    raise RuntimeError("components did not settle")
+    return shared_key_components(edges)
 
 
 def indel_ratio(a: str, b: str) -> float:
@@ -158,7 +144,7 @@ def dedupe(cases: DataFrame) -> DataFrame:
 
     def each(part: pd.DataFrame) -> pd.DataFrame:
         records = [
-            {"ord": r.ord, "anchors": set(r.anchors), "district": r.district, "day": None if pd.isna(r.day) else r.day, "sections": set(r.sections), "section_list": list(r.sections), "court": r.court, "official": "court" in r.publisher.lower(), "confidence": r.confidence,
+            {"ord": r.ord, "anchors": set(r.anchors), "district": r.district, "day": None if pd.isna(r.day) else r.day, "sections": set(r.sections), "section_list": list(r.sections), "court": r.court, "official": any(p in (r.publisher or "").lower() for p in codes.OFFICIAL), "confidence": r.confidence,
              "status": r.status, "minor_involved": r.minor_involved, "urls": [r.url], "cnr": r.cnr, "incident_reported_date": r.incident_reported_date}
             for r in part.sort_values("ord").itertuples()
         ]

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from casewright.operators.durability import shared_folder
+
 
 def source(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = spark.read.parquet(f"{sf_dir}/events.parquet")
@@ -15,13 +16,16 @@ def source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drained(stream: DataFrame, mode: str) -> DataFrame:
-    """All that the stream yields for the input there is, as a table in the folder that all executors share."""
-    shared = stream.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="casewright-stream-")
-    at = f"{shared}/stream-{uuid.uuid4().hex}"
-    write = lambda batch, _: batch.write.mode("overwrite" if mode == "complete" else "append").parquet(f"{at}/rows")
+    """All that the stream yields for the input there is, as a table in the folder that all executors share.
+
+    Each batch has a folder of its own, which it replaces, so that a batch that runs again doesn't count twice; in
+    complete mode every batch is the whole result and replaces the one before.
+    """
+    at = f"{shared_folder(stream.sparkSession)}/stream-{uuid.uuid4().hex}"
+    write = lambda batch, k: batch.write.mode("overwrite").parquet(f"{at}/rows/batch={0 if mode == 'complete' else k}")
     query = stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{at}/state").outputMode(mode).trigger(availableNow=True).start()
     query.awaitTermination()
-    return stream.sparkSession.read.schema(stream.schema).parquet(f"{at}/rows")
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{at}/rows/*")
 
 
 def distinct_users(events: DataFrame) -> DataFrame:

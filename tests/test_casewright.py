@@ -15,7 +15,7 @@ from casewright.sources.adapters import RUN_DATE
 from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
-TABLES = "region nation customer supplier part orders lineitem events documents pages labels".split()
+TABLES = "region nation customer supplier part orders lineitem events documents pages labels benchmark".split()
 
 
 def plain(x):
