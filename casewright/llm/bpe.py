@@ -15,14 +15,14 @@ import heapq
 import json
 import os
 import sys
-import tempfile
 import unicodedata
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, functions as F
 
-from casewright.llm.common import Hashes, slices, utf8
+from casewright.llm.common import Hashes, shipped, slices, utf8
 
 #: The code points of Unicode's property White_Space.
 SPACES = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -246,10 +246,10 @@ class Lexicon:
 
     @classmethod
     def mapped(cls, file) -> Lexicon:
-        """From an open file of what ``dump`` gave; the arrays are views of the mapped file."""
-        file.seek(0)
-        head = json.loads(line := file.readline())
-        arrays, at = {}, len(line)
+        """From an open file of a line and what ``dump`` gave; the arrays are views of the mapped file."""
+        file.readline()
+        head = json.loads(file.readline())
+        arrays, at = {}, file.tell()
         for name, kind, n in head["arrays"]:
             arrays[name] = np.memmap(file, kind, "r", at, (n,)) if n else np.zeros(0, kind)
             at += n * np.dtype(kind).itemsize
@@ -456,16 +456,14 @@ class Encoder:
             yield n, b",".join(map(text.__getitem__, own)), b"".join(map(piece.__getitem__, own))
 
 
-def _worker(key: str, lexicon: bytes, merges: tuple) -> Encoder:
-    """This worker's encoder. The lexicon is mapped from a file without a name, which goes when the worker ends."""
-    got = _encoders.get(key)
+def _worker(name: str, merges: tuple) -> Encoder:
+    """This worker's encoder; the lexicon is mapped from the executor's one copy, which its workers share."""
+    got = _encoders.get(name)
     if got is None:
-        with tempfile.TemporaryFile() as f:
-            f.write(lexicon)
-            f.flush()
+        with open(SparkFiles.get(name), "rb") as f:
             mapped = Lexicon.mapped(f)
         _encoders.clear()
-        got = _encoders[key] = Encoder(Merges(*merges), mapped)
+        got = _encoders[name] = Encoder(Merges(*merges), mapped)
     return got
 
 
@@ -511,13 +509,13 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """
     m = Merges.read(path)
     words = frequent_words(docs, text_col, m.special, lexicon_size)
-    blob = Lexicon.compile(words, m.encode(words)).dump()
-    key = hashlib.sha256(blob + path.encode()).hexdigest()[:24]
-    sent = docs.sparkSession.sparkContext.broadcast((blob, (m.first, m.pairs, m.ranks, m.made, m.pieces, m.special)))
+    spark = docs.sparkSession
+    name = shipped(spark, path.encode() + b"\n" + Lexicon.compile(words, m.encode(words)).dump())
+    sent = spark.sparkContext.broadcast((m.first, m.pairs, m.ranks, m.made, m.pieces, m.special))
     fields = [("id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())] + [("ids", pa.list_(pa.int32()))] * ids
 
     def each(batches):
-        coder = _worker(key, *sent.value)
+        coder = _worker(name, sent.value)
         sha = lambda x: hashlib.sha256(x).hexdigest()
         for batch in batches:
             raw, at = utf8(batch.column(1))

@@ -1,30 +1,41 @@
-"""What the operators of this subpackage share: durable cuts of lineage, Arrow buffers, components."""
+"""What the operators of this subpackage share: Arrow buffers, hashes, files for all executors; cuts of lineage and components come from the core."""
 
 from __future__ import annotations
 
-import tempfile
+import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-
-def durable(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the checkpoint folder that all executors share.
-
-    The folder is ``spark.checkpoint.dir``; only a session that has none (tests) gets one of its own.
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        at = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(at or tempfile.mkdtemp(prefix="casewright-checkpoint-"))
-    return df.checkpoint()
+from casewright.operators.durability import durable, shared_folder, star_components
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shipped(spark: SparkSession, blob: bytes) -> str:
+    """The name under which ``SparkFiles.get`` finds ``blob`` as a file, one for each executor, which its workers can map.
+
+    The file is written to the folder that all executors share, named by its content; an executor that comes later, or
+    in place of a lost one, fetches it by itself.
+    """
+    name = f"casewright-{hashlib.sha256(blob).hexdigest()[:32]}"
+    jvm, at = spark.sparkContext._jvm, f"{shared_folder(spark)}/{name}"
+    path = jvm.org.apache.hadoop.fs.Path(at)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        staged = jvm.org.apache.hadoop.fs.Path(f"{at}.staged")
+        out = fs.create(staged, True)
+        for lo in range(0, len(blob), 1 << 22):
+            out.write(bytearray(blob[lo : lo + (1 << 22)]))
+        out.close()
+        fs.rename(staged, path)
+    spark.sparkContext.addFile(at)
+    return name
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all strings of an Arrow array, end to end, and the n + 1 places where they begin and end.
 
@@ -50,32 +61,7 @@ def slices(at: np.ndarray, most: int) -> list[tuple[int, int]]:
     return cuts
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
-    """Connected components of the undirected ``edges``: (node, component), the component being its smallest node.
-
-    Large-star and small-star steps alternate until every node hangs on its smallest one. Both steps keep
-    at most as many edges as they get, need only a minimum for each node (summed up before the shuffle) and
-    an equi-join, and never gather a component. Each round's edges are checkpointed, so a lost executor costs
-    one round. Nodes without an edge to another node are not in the result; null ends are left out.
-    """
-    least, most = F.least(a, b), F.greatest(a, b)
-    now = durable(edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).select(most.alias("u"), least.alias("v")).distinct())
-    was = None
-    for _ in range(rounds):
-        seen = now.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0)), F.count_distinct("u")).first()
-        if seen[0] == 0 or seen == was:
-            break
-        was = seen
-        both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        nearest = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(nearest, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        lowest = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), "m")
-        small = large.join(lowest, F.col("u") == F.col("k")).select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-        now = durable(small.distinct())
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
-    roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+components = star_components
 
 
 class Hashes:
