@@ -88,14 +88,25 @@ def severity_label(spark, sf_dir):
     return cases(spark, sf_dir).select("ord", codes.severity(s).alias("label"), codes.severity(s, "aggravated").alias("aggravated"), codes.is_repeat(s).alias("repeat"))
 
 
-_JUNK = ["'  ipc   376 '", "'376 (2) (i) of Indian Penal Code'", "'POCSO Act 2012'", "'unknown'", "section_1", "section_1"]
-_CANON = ["'IPC 376'", "'IPC 376(2)(i)'"]
+_WRITTEN = ["section_1", "concat('  section ', lower(section_2), ' ')", "case ord % 4 when 0 then '376 (2) (i) of Indian Penal Code' when 1 then 'POCSO Act 2012' when 2 then 'unknown' else concat('u/s ', section_1) end"]
 
 
-@query(CTE + """select ord, array_to_string(list_distinct_ordered, '|') as canonical, 'POCSO ACT 2012x|unknown' as unparsed from (select ord,
-  case when section_1 = 'NI ACT 138' then ['IPC 376', 'IPC 376(2)(I)', '138'] else case when section_1 = 'IPC 376' then ['IPC 376', 'IPC 376(2)(I)'] else ['IPC 376', 'IPC 376(2)(I)', section_1] end end as list_distinct_ordered from cases)""".replace("POCSO ACT 2012x", "POCSO Act 2012"))
+def _canonical_sql(raw: str) -> str:
+    t = f"trim(regexp_replace(upper({raw}), '\\s+', ' ', 'g'))"
+    act = f"case when regexp_matches({t}, '\\bPOCSO\\b|PROTECTION OF CHILDREN') then 'POCSO' when regexp_matches({t}, '\\bBNS\\b|BHARATIYA NYAYA SANHITA') then 'BNS' when regexp_matches({t}, '\\bIPC\\b|INDIAN PENAL CODE') then 'IPC' end"
+    number = "\\b(\\d{1,4}[A-Z]{0,3})((?:\\s*\\([^)]{1,4}\\))*)"
+    found, suffix = f"nullif(regexp_extract({t}, '{number}', 1), '')", f"regexp_replace(regexp_extract({t}, '{number}', 2), '\\s+', '', 'g')"
+    return f"case when {found} is null then {act} when not (regexp_matches({found}, '^(1[89]\\d\\d|20\\d\\d)$') and {suffix} = '') then concat(coalesce({act} || ' ', ''), {found}, {suffix}) end"
+
+
+_CANON_SQL = [_canonical_sql(x) for x in _WRITTEN]
+_FIRST_SEEN = "list_filter(list_transform(l, lambda x, i: case when list_position(l, x) = i then x end), lambda x: x is not null)"
+
+
+@query(CTE + f"""select ord, array_to_string({_FIRST_SEEN}, '|') as canonical, array_to_string(list_filter([{', '.join(f"case when c{k} is null then trim(regexp_replace({x}, '\\s+', ' ', 'g')) end" for k, x in enumerate(_WRITTEN))}], lambda x: x is not null), '|') as unparsed
+  from (select *, list_filter([c0, c1, c2], lambda x: x is not null) as l from (select *, {', '.join(f'{x} as c{k}' for k, x in enumerate(_CANON_SQL))} from cases))""")
 def normalize_sections(spark, sf_dir):
-    s = codes.normalize_sections(F.array(*[F.expr(x) for x in _JUNK]))
+    s = codes.normalize_sections(F.array(*[F.expr(x) for x in _WRITTEN]))
     return cases(spark, sf_dir).select("ord", F.array_join(s["canonical"], "|").alias("canonical"), F.array_join(s["unparsed"], "|").alias("unparsed"))
 
 
@@ -156,9 +167,11 @@ def record_tier(spark, sf_dir):
     return rows.groupBy(F.coalesce("cnr", F.concat(F.lit("ord:"), F.col("ord").cast("string"))).alias("anchor")).agg(F.min("tier").alias("tier"), F.count("*").alias("n"))
 
 
-@query(CTE + "select ord, ord % 5 in (1, 3) as flagged from cases")
+@query(r"""select page_id, regexp_matches(regexp_replace(regexp_extract(u, '^[a-z]+://[^/?#]*([^?#]*)', 1), '[/\-_.]+', ' ', 'g'), '(?i)\b(""" + codes.SLUG_WORDS + r""")\b') as flagged from (select page_id, concat(split_part(url, '?', 1), '/', split_part('17-year-old-held,girl_missing,court.order,school-trip,schooling,boys,order', ',', cast(page_id % 7 + 1 as int))) as u from pages)""")
 def slug_flag(spark, sf_dir):
-    return cases(spark, sf_dir).select("ord", codes.identifying_slug(F.col("url")).alias("flagged"))
+    slug = F.split_part(F.lit("17-year-old-held,girl_missing,court.order,school-trip,schooling,boys,order"), F.lit(","), (F.col("page_id") % 7 + 1).cast("int"))
+    url = F.concat(F.split_part("url", F.lit("?"), F.lit(1)), F.lit("/"), slug)
+    return load(spark, sf_dir, "pages").select("page_id", codes.identifying_slug(url).alias("flagged"))
 
 
 @query("select page_id, case when regexp_matches(lower(trim(url)), '^https?://') then url else '#' end as url from pages")
@@ -176,22 +189,31 @@ def redact_pii(spark, sf_dir):
     return load(spark, sf_dir, "documents").select("doc_id", text.redact(F.col("text")).alias("text"))
 
 
-@query(CTE + r"""select ord, case when ord % 3 = 0 then ['aadhaar'] when ord % 3 = 1 then ['email', 'pan'] else [] end as hits, case when ord % 3 = 2 then true else false end as native from cases""")
+@query("select doc_id, list_filter([" + ", ".join(f"case when regexp_matches(text, '{p}') then '{n}' end" for n, p in text.PII.items()) + "], lambda x: x is not null) as hits, regexp_matches(text, '[ऀ-ൿ]') as native from documents")
 def pii_hits(spark, sf_dir):
-    t = F.expr("case ord % 3 when 0 then concat('no 1234 5678 9012 of ', district) when 1 then concat(lower(district), '@a.example and ABCDE1234F') else concat('पीड़ित ', district) end")
-    return cases(spark, sf_dir).select("ord", text.pii_hits(t).alias("hits"), text.native_script(t).alias("native"))
+    return load(spark, sf_dir, "documents").select("doc_id", text.pii_hits(F.col("text")).alias("hits"), text.native_script(F.col("text")).alias("native"))
 
 
-@query(r"select doc_id, regexp_matches(text, '(?i)\b(petitioners?|respondents?|aforesaid|hereinafter|prima facie|cognizance)\b') as legalese, len(list_filter(regexp_split_to_array(text, '[.!?]+'), lambda s: len(list_filter(regexp_split_to_array(s, '[ \t\n\x0b\f\r]+'), lambda w: w <> '')) > 25)) as overlong from documents")
+_STYLE = ["the petitioner and the Respondents", "vide order of the court", "u/s 376 and r/w", "under section", "IPC 376", "prima facie, prima FACIE", "plain"]
+_STYLED = f"concat(split_part('{'|'.join(_STYLE)}', '|', cast(doc_id % {len(_STYLE)} + 1 as int)), ' ', text)"
+
+
+@query(f"""with d as (select doc_id, {_STYLED} as t from documents) select doc_id, array_to_string(list_concat(list_concat(
+  list_transform(list_sort(list_distinct(list_transform(regexp_extract_all(t, '(?i)\\b({'|'.join(sorted(text.LEGALESE, key=len, reverse=True))})\\b', 1), lambda x: lower(x)))), lambda x: concat('legalese term ', chr(39), x, chr(39))),
+  case when regexp_matches(t, '(?i)\\bunder\\s+section\\b|\\bsection\\s+\\d|\\b\\d{{2,4}}[A-Za-z]?\\s*(IPC|BNS|BNSS|POCSO)\\b|\\b(IPC|BNS|BNSS|POCSO)\\s*\\d') then ['cites a statute section by number in prose'] else [] end),
+  list_transform(list_filter(list_transform(regexp_split_to_array(t, '[.!?]+'), lambda s: len(list_filter(regexp_split_to_array(s, '[ \t\n\x0b\f\r]+'), lambda w: w <> ''))), lambda n: n > 25), lambda n: 'sentence exceeds 25 words (' || n || ')')), '; ') as reasons from d""")
 def readability(spark, sf_dir):
-    v = text.readability_violations(F.col("text"))
-    return load(spark, sf_dir, "documents").select("doc_id", F.exists(v, lambda r: r.startswith("legalese")).alias("legalese"), F.size(F.filter(v, lambda r: r.startswith("sentence"))).cast("long").alias("overlong"))
+    rows = load(spark, sf_dir, "documents").select("doc_id", F.expr(_STYLED).alias("t"))
+    return rows.select("doc_id", F.array_join(text.readability_violations(F.col("t")), "; ").alias("reasons"))
+
+
+_CHARGES = ["charged u/s 376 of the code", "the BNS Section 64 case", "a case under pocso", "a civil suit, section 9", "IPC 354A", "64 BNS", "gang-rape", "outraging her modesty", "IPC 302", "BNS 103"]
+_CHARGED = f"concat(text, ' ', split_part('{'|'.join(_CHARGES)}', '|', cast(doc_id % {len(_CHARGES)} + 1 as int)))"
 
 
-@query(CTE + "select ord, ord % 4 <> 3 as relevant from cases")
+@query(f"with d as (select doc_id, {_CHARGED} as t from documents) select doc_id, regexp_matches(t, '(?i){'|'.join(text.STATUTES)}') as relevant from d")
 def statute_filter(spark, sf_dir):
-    t = F.expr("case ord % 4 when 0 then 'charged u/s 376 of the code' when 1 then 'the BNS Section 64 case' when 2 then 'a case under pocso' else 'a civil suit, section 9' end")
-    return cases(spark, sf_dir).select("ord", text.statute_hit(t).alias("relevant"))
+    return load(spark, sf_dir, "documents").select("doc_id", text.statute_hit(F.expr(_CHARGED)).alias("relevant"))
 
 
 @query(CTE + f"""select ord, list_filter([case when minor_involved then 'minor_involved' end, case when (contains(section_1, 'POCSO') or contains(section_2, 'POCSO')) and not minor_involved then 'pocso_minor_mismatch' end,
@@ -208,10 +230,12 @@ def review_reasons(spark, sf_dir):
     return cases(spark, sf_dir).select("ord", gates.review_reason().alias("reason"))
 
 
-@query(CTE + "select reason, count(*) as n from (select case ord % 5 when 0 then 'no_jurisdiction' when 1 then 'unknown_state' end as reason from cases) group by reason")
+_RAW_STATE = "case ord % 7 when 0 then ' ' when 1 then 'XX' when 2 then lower(state) when 3 then concat(' ', state, ' ') when 4 then 'ts' when 5 then cast(null as string) else state end"
+
+
+@query(CTE + f"""select ord, case when coalesce(trim(s), '') = '' then 'no_jurisdiction' when case upper(trim(s)) {' '.join(f"when '{a}' then '{b}'" for a, b in codes.STATE_ALIASES.items())} else upper(trim(s)) end not in ({', '.join(f"'{x}'" for x in codes.STATES)}) then 'unknown_state' end as reason from (select ord, {_RAW_STATE} as s from cases)""")
 def jurisdiction_split(spark, sf_dir):
-    rows = cases(spark, sf_dir).withColumn("state", F.expr("case ord % 5 when 0 then ' ' when 1 then 'XX' else state end"))
-    return rows.groupBy(gates.jurisdiction_reason().alias("reason")).agg(F.count("*").alias("n"))
+    return cases(spark, sf_dir).withColumn("state", F.expr(_RAW_STATE)).select("ord", gates.jurisdiction_reason().alias("reason"))
 
 
 @query(CTE + "select ord, list_filter([case when minor_involved and length(incident_reported_date) <> 7 then 'minor_date' end, case when minor_involved and accused_name is not null then 'minor_accused' end, case when not minor_involved and length(incident_reported_date) <> 10 then 'day_date' end], lambda x: x is not null) as violations from cases")
@@ -379,10 +403,12 @@ def stream_windows(spark, sf_dir):
     return streams.drained(streams.hourly(streams.source(spark, sf_dir)), "complete").withColumn("total", F.round("total", 4))
 
 
-@query("select page_id, cast(page_id as varchar) as tid, '' as title, '' as headline, 'Court ' || (page_id % 3) as docsource, '' as publishdate from pages")
+@query(CTE + "select publisher, cast(ord as varchar) as tid, coalesce(accused_name, '') as title, url as headline, coalesce(court, '') as docsource, incident_reported_date as publishdate from cases")
 def search_hits(spark, sf_dir):
-    payload = F.format_string('{"docs": [{"tid": %d, "docsource": "Court %d"}, {"tid": ""}, {"title": "no id"}, 1]}', "page_id", F.col("page_id") % 3)
-    return parsers.search_hits(load(spark, sf_dir, "pages").select("page_id", payload.alias("payload")), "payload")
+    hit = F.struct(F.col("ord").alias("tid"), F.col("accused_name").alias("title"), F.col("url").alias("headline"), F.col("court").alias("docsource"), F.col("incident_reported_date").alias("publishdate"))
+    odd = F.struct(F.lit(None).cast("long").alias("tid"), F.lit("no id").alias("title"), *[F.lit("").alias(n) for n in ("headline", "docsource", "publishdate")])
+    rows = cases(spark, sf_dir).select("publisher", F.to_json(F.struct(F.array(hit, odd).alias("docs"))).alias("payload"))
+    return parsers.search_hits(rows, "payload")
 
 
 @query(CTE + "select ord, url, concat_ws('. ', 'CNR: ' || cnr, 'Court: ' || court, 'District: ' || district, 'Sections: ' || array_to_string(sections, ', ')) as text from cases")
@@ -399,12 +425,12 @@ def judgment_text(spark, sf_dir):
     return cases(spark, sf_dir).select("ord", text_.alias("text"), parsers.publisher(F.col("court"), "Registry").alias("publisher"))
 
 
-@query("select 'https://s.example/' || page_id as url, case when page_id % 2 = 0 then '' else 'KA' end as state, 'District ' || (page_id % 5) as district, '' as incident_date, cast(page_id as int) as issue_number from pages where page_id % 7 <> 0")
+@query(CTE + "select url, case when ord % 2 = 0 then '' else state end as state, district, case when minor_involved then '' else incident_reported_date end as incident_date, cast(ord as int) as issue_number from cases where ord % 7 <> 0")
 def submissions(spark, sf_dir):
-    url = F.when(F.col("page_id") % 7 == 0, "none yet").otherwise(F.concat(F.lit("see (https://s.example/"), F.col("page_id").cast("string"), F.lit(") there")))
-    state = F.when(F.col("page_id") % 2 == 0, "_No response_").otherwise("KA")
-    body = F.concat(F.lit("### Public source URL\n\n"), url, F.lit("\n### State / UT\n"), state, F.lit("\n### District\nDistrict "), (F.col("page_id") % 5).cast("string"), F.lit("\n### Anything else\nno\n"))
-    return parsers.submissions(load(spark, sf_dir, "pages").select(F.col("page_id").alias("number"), body.alias("body")))
+    url = F.when(F.col("ord") % 7 == 0, "none yet").otherwise(F.concat(F.lit("see ("), "url", F.lit(") there")))
+    answers = {"Public source URL": url, "State / UT": F.when(F.col("ord") % 2 == 0, "_No response_").otherwise(F.col("state")), "District": F.col("district"), "Reported month (YYYY-MM) or date (YYYY-MM-DD)": F.when(F.col("minor_involved"), " ").otherwise(F.col("incident_reported_date")), "Anything else": F.col("publisher")}
+    body = F.concat(*[x for heading, answer in answers.items() for x in (F.lit(f"### {heading}\n\n"), answer, F.lit("\n"))])
+    return parsers.submissions(cases(spark, sf_dir).select(F.col("ord").alias("number"), body.alias("body")))
 
 
 _FACTS = {
@@ -453,26 +479,30 @@ def occupation_scrub(spark, sf_dir):
     return cases(spark, sf_dir).select("ord", persons.without_occupations(t).alias("text"))
 
 
-@query(CTE + """select ord, case ord % 5 when 0 then ['numeric_years_old'] when 1 then ['descriptor_number', 'school_class'] when 2 then ['teenager_word'] else [] end as ages, case ord % 5 when 3 then ['Father', 'in-law'] when 4 then ['neighbour', 'uncle'] else [] end as relations, not minor_involved as hold from cases""")
+_SAID = ["she is 9 years old", "a girl 12 of class VI", "The Teenager spoke", "Her Father-in-law", "a neighbour, an uncle", "seventeen year old", "the 5th standard", "aged 40", "a partnership", "none of it"]
+_TOLD = f"concat(text, ' ', split_part('{'|'.join(_SAID)}', '|', cast(doc_id % {len(_SAID)} + 1 as int)))"
+
+
+@query(f"""with d as (select doc_id, {_TOLD} as t, doc_id % 3 = 0 as minor from documents), h as (select doc_id, minor, list_filter([{', '.join(f"case when regexp_matches(t, '(?i){p}') then '{n}' end" for n, p in persons.AGES.items())}], lambda x: x is not null) as ages, regexp_extract_all(t, '(?i)\\b({'|'.join(persons.RELATIONS)})\\b', 1) as relations from d)
+select doc_id, ages, relations, not minor and (len(ages) > 0 or len(relations) > 0) as hold from h""")
 def identity_hits(spark, sf_dir):
-    t = F.expr("case ord % 5 when 0 then 'she is 9 years old' when 1 then 'a girl 12 of class VI' when 2 then 'The Teenager spoke' when 3 then 'Her Father-in-law' else 'a neighbour, an uncle' end")
-    return cases(spark, sf_dir).select("ord", persons.age_hits(t).alias("ages"), persons.relations(t).alias("relations"), persons.identity_detail(F.col("minor_involved"), t).alias("hold"))
+    rows = load(spark, sf_dir, "documents").select("doc_id", F.expr(_TOLD).alias("t"))
+    return rows.select("doc_id", persons.age_hits(F.col("t")).alias("ages"), persons.relations(F.col("t")).alias("relations"), persons.identity_detail(F.col("doc_id") % 3 == 0, F.col("t")).alias("hold"))
 
 
-@query("select page_id, case when page_id % 2 = 0 then 'https://f.example/' || page_id else 'https://a.example/' || page_id end as url, case when page_id % 2 = 0 then 'Case ' || page_id || '. Held & heard' else 'Entry ' || page_id end as text from pages")
+@query(CTE + "select ord, url, case when ord % 2 = 0 then district || ' ' || status || '. ' || section_1 || ' & ' || section_2 else coalesce(court, 'No court') end as text from cases")
 def feed_entries(spark, sf_dir):
-    n = F.col("page_id").cast("string")
-    rss = F.concat(F.lit("<rss><channel><title>t</title><item><title>Case "), n, F.lit("</title><link>https://f.example/"), n, F.lit("</link><description><![CDATA[<p>Held &  heard</p>]]></description></item><item><title>no link</title></item></channel></rss>"))
-    atom = F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom"><entry><title>Entry '), n, F.lit('</title><link href="https://a.example/'), n, F.lit('"/></entry><entry><link href="https://a.example/none"/></entry></feed>'))
-    rows = load(spark, sf_dir, "pages").select("page_id", F.when(F.col("page_id") % 2 == 0, rss).otherwise(atom).alias("payload"))
+    rss = F.concat(F.lit("<rss><channel><title>t</title><item><title>"), "district", F.lit(" "), "status", F.lit("</title><link>"), "url", F.lit("</link><description><![CDATA[<p>"), "section_1", F.lit(" &  "), "section_2", F.lit("</p>]]></description></item><item><title>no link</title></item></channel></rss>"))
+    atom = F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom"><entry><title>'), F.coalesce("court", F.lit("No court")), F.lit('</title><link href="'), "url", F.lit('"/></entry><entry><link href="https://a.example/none"/></entry></feed>'))
+    rows = cases(spark, sf_dir).select("ord", F.when(F.col("ord") % 2 == 0, rss).otherwise(atom).alias("payload"))
     return feeds.feed_entries(rows, "payload")
 
 
-@query("select page_id, ['https://c.example/lists/a' || page_id || '.pdf', 'https://c.example/b.PDF?x=1&y=2', 'https://d.example/c.pdf'] as urls from pages")
+@query(CTE + "select ord, [url || '.pdf', 'https://c.example/lists/' || district || '.PDF?x=1&y=' || ord, 'https://d.example/' || state || '.pdf'] as urls from cases")
 def pdf_links(spark, sf_dir):
-    n = F.col("page_id").cast("string")
-    page = F.concat(F.lit('<a href="a'), n, F.lit(""".pdf">1</a><a HREF = '/b.PDF?x=1&amp;y=2'>2</a><a href="//d.example/c.pdf, e.pdf">3</a><a href="x.html">4</a><a href="/lists/a"""), n, F.lit('.pdf">5</a>'))
-    return load(spark, sf_dir, "pages").select("page_id", feeds.pdf_urls(page, F.lit("https://c.example/lists/index.html")).alias("urls"))
+    n = F.col("ord").cast("string")
+    page = F.concat(F.lit('<a href="'), "url", F.lit(""".pdf">1</a><a HREF = '"""), "district", F.lit(".PDF?x=1&amp;y="), n, F.lit("""'>2</a><a href="//d.example/"""), "state", F.lit('.pdf, e.pdf">3</a><a href="x.html">4</a><a href="'), "url", F.lit('.pdf">5</a>'))
+    return cases(spark, sf_dir).select("ord", feeds.pdf_urls(page, F.lit("https://c.example/lists/index.html")).alias("urls"))
 
 
 @query(CTE + """select publisher, count(*) as listed, count(*) filter (where court is not null) as fetched, count(*) filter (where court is not null and ord % 6 <> 0) as with_text,
@@ -513,13 +543,14 @@ def display_fields(spark, sf_dir):
     return cases(spark, sf_dir).select("ord", views.display_date(d).alias("shown"), views.source_domain(F.col("url")).alias("domain"), views.recency(d, RUN_DATE).alias("recency"))
 
 
-@query(CTE + """, t as (select ord, case ord % 4 when 0 then 'none' when 1 then 'true' when 2 then 'word' else 'junk' end as kind, status from cases)
-  select ord, case when kind = 'true' then 'CLOSED' else status end as status, kind = 'true' as verified, case kind when 'true' then 'ok {so}' when 'word' then 'no' end as verification_note, kind in ('none', 'junk') as incomplete from t""")
+@query(CTE + """, t as (select *, confidence >= 0.8 and ord % 4 <> 0 as yes, ord % 4 = 0 or section_1 = 'NI ACT 138' as lost from cases)
+  select ord, case when lost then status else case when accused_name is not null then 'CLOSED' else status end end as status, yes and not lost as verified, case when not lost then url end as verification_note, lost as incomplete from t""")
 def verdicts(spark, sf_dir):
-    rows = cases(spark, sf_dir).select("ord", "status", "minor_involved")
-    answer = F.expr("""case ord % 4 when 1 then 'Found: {"verified": true, "corrections": {"status": "CLOSED", "minor_involved": false}, "verification_note": "ok {so}"} [1]' when 2 then '{"verified": "true", "corrections": "none", "verification_note": "no"}' else 'I can not say' end""")
+    rows = cases(spark, sf_dir)
+    told = F.to_json(F.struct((F.col("confidence") >= 0.8).alias("verified"), F.struct(F.when(F.col("accused_name").isNotNull(), "CLOSED").alias("status"), F.lit(False).alias("minor_involved")).alias("corrections"), F.col("url").alias("verification_note")))
+    answer = F.when(F.col("section_1") == "NI ACT 138", "I can not say").otherwise(F.concat(F.lit("Found: "), told, F.lit(" [1]")))
     given = rows.where("ord % 4 <> 0").select("ord", models.verdict(answer).alias("verdict"))
-    return models.apply_verdicts(rows, given, "ord", ["status", "minor_involved"]).select("ord", "status", "verified", "verification_note", "incomplete")
+    return models.apply_verdicts(rows.select("ord", "status", "minor_involved"), given, "ord", ["status", "minor_involved"]).select("ord", "status", "verified", "verification_note", "incomplete")
 
 
 @query(CTE + "select ord, coalesce(sum(ord % 17) over (order by ord rows between unbounded preceding and 1 preceding), 0) < 5000 as asked from cases")
@@ -542,10 +573,11 @@ def daily_routes(spark, sf_dir):
     return plans.routed(rows, config, rows.where("ord % 29 = 0").select("url")).select("ord", "route")
 
 
-@query(CTE + """select ord, case ord % 4 when 0 then 'accused.victim_age' when 1 then 'text' when 2 then 'summary' else '<file>' end as path, case ord % 4 when 0 then 'name' when 1 then 'email' when 2 then 'numeric_years_old' else 'unreadable' end as reason from cases where ord % 5 > 0""")
+@query("select doc_id, 'said.text' as path, reason from (select doc_id, unnest(list_filter([" + ", ".join(f"case when regexp_matches(text, '{p}') then '{n}' end" for n, p in text.PII.items()) + "], lambda x: x is not null)) as reason from documents) union all select doc_id, 'said.victim_age', 'name' from documents where doc_id % 10 = 0 union all select doc_id, '<file>', 'unreadable' from documents where text is null")
 def pii_scan(spark, sf_dir):
-    payload = F.expr("""case when ord % 5 = 0 then '{"text": "nothing", "list": [1, null, {"a": "b"}]}' else case ord % 4 when 0 then '{"accused": {"victim_age": 9}}' when 1 then '{"text": "to a.b@c.example"}' when 2 then '{"summary": "she is 9 years old"}' else '{broken' end end""")
-    return guards.scan_json(cases(spark, sf_dir).select("ord", payload.alias("payload")), "payload")
+    said = F.struct("text", F.when(F.col("doc_id") % 10 == 0, 9).alias("victim_age"))
+    payload = F.when(F.col("text").isNull(), "{broken").otherwise(F.to_json(F.struct(said.alias("said"), F.array("lang", "source").alias("list"))))
+    return guards.scan_json(load(spark, sf_dir, "documents").select("doc_id", payload.alias("payload")), "payload")
 
 
 @query(CTE + "select ord, ord % 3 = 0 and status <> 'CLOSED' as longer, case when ord % 5 = 0 then 'new' when ord % 3 = 0 and status <> 'CLOSED' then 'material' else 'rechecked' end as change from (select * from cases where ord % 5 > 0 or ord % 3 > 0 or status = 'CLOSED') union all select ord, false, 'new' from cases where ord % 5 = 0 and ord % 3 = 0 and status <> 'CLOSED'")

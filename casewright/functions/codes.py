@@ -7,7 +7,10 @@ import re
 from pyspark.sql import Column, functions as F
 
 #: State codes in their official order.
-STATES = "AP AR AS BR CT GA GJ HR HP JH KA KL MP MH MN ML MZ NL OD PB RJ SK TN TG TR UP UT WB DL JK LA PY CH AN DN LD".split()
+STATES = (
+    "AP", "AR", "AS", "BR", "CT", "GA", "GJ", "HR", "HP", "JH", "KA", "KL", "MP", "MH", "MN", "ML", "MZ", "NL", "OD", "PB", "RJ", "SK", "TN", "TG", "TR", "UP", "UT", "WB", "DL", "JK", "LA", "PY", "CH",
+    "AN", "DN", "LD",
+)
 #: The states' names, in the same order.
 STATE_NAMES = [
     "Andhra Pradesh", "Arunachal Pradesh", "Assam", "Bihar", "Chhattisgarh", "Goa", "Gujarat", "Haryana", "Himachal Pradesh", "Jharkhand", "Karnataka", "Kerala", "Madhya Pradesh", "Maharashtra", "Manipur", "Meghalaya", "Mizoram", "Nagaland",
@@ -111,13 +114,24 @@ def _needle(parts: list[str]) -> str:
     return "(?:" + "|".join(map(re.escape, sorted(parts, key=len, reverse=True))) + ")(?![A-Z0-9])"
 
 
-def severity(sections: Column, what: str = "label") -> Column:
-    """The first matching rule's label, or with "aggravated" its flag (false without a rule)."""
+def severity_rule(sections: Column) -> Column:
+    """struct(label, aggravated) of the first matching rule, null without one; the rules are gone through once."""
     h, out = haystack(sections), None
     for label, aggravated, parts in SEVERITY:
-        value = F.lit(label if what == "label" else aggravated)
-        out = F.when(h.rlike(_needle(parts)), value) if out is None else out.when(h.rlike(_needle(parts)), value)
-    return out if what == "label" else out.otherwise(False)
+        hit, value = h.rlike(_needle(parts)), F.struct(F.lit(label).alias("label"), F.lit(aggravated).alias("aggravated"))
+        out = F.when(hit, value) if out is None else out.when(hit, value)
+    return out
+
+
+def severity(sections: Column, what: str = "label") -> Column:
+    """The first matching rule's label, or with "aggravated" its flag (false without a rule)."""
+    rule = severity_rule(sections)
+    return rule["label"] if what == "label" else F.coalesce(rule["aggravated"], F.lit(False))
+
+
+def severity_code(sections: Column) -> Column:
+    """The first matching rule's label as a code: lower case, words joined by underscores; null without a rule."""
+    return F.regexp_replace(F.lower(severity(sections)), r"[^a-z]+", "_")
 
 
 def is_repeat(sections: Column) -> Column:

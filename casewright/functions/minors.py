@@ -20,7 +20,9 @@ ACTIONS = {
 }
 #: Fixed value: the sentence that every summary ends with.
 WITHHELD = "Identifying details are withheld by law (POCSO s.23)."
-NUMBERS = "One Two Three Four Five Six Seven Eight Nine Ten".split()
+NUMBERS = (
+    "One", "Two", "Three", "Four", "Five", "Six", "Seven", "Eight", "Nine", "Ten",
+)
 
 
 def _text(c: Column) -> Column:

@@ -16,17 +16,23 @@ AGES = {
 }
 #: Words for how two persons are related.
 RELATIONS = (
-    "husband wife spouse father mother brother sister son daughter uncle aunt cousin nephew niece grandfather grandmother grandson granddaughter in-law in-laws father-in-law mother-in-law brother-in-law sister-in-law son-in-law daughter-in-law "
-    "stepfather stepmother stepson stepdaughter step-father step-mother guardian relative neighbour neighbor boyfriend girlfriend fiance fiancee fiancé fiancée partner"
-).split()
+    "husband", "wife", "spouse", "father", "mother", "brother", "sister", "son", "daughter", "uncle", "aunt", "cousin", "nephew", "niece", "grandfather", "grandmother", "grandson", "granddaughter",
+    "in-law", "in-laws", "father-in-law", "mother-in-law", "brother-in-law", "sister-in-law", "son-in-law", "daughter-in-law", "stepfather", "stepmother", "stepson", "stepdaughter", "step-father",
+    "step-mother", "guardian", "relative", "neighbour", "neighbor", "boyfriend", "girlfriend", "fiance", "fiancee", "fiancé", "fiancée", "partner",
+)
 #: Occupations.
 OCCUPATIONS = (
-    "cabin crew member, cabin crew, crew member, air hostess, flight attendant, stewardess, nurse, doctor, teacher, tutor, lecturer, professor, student, scholar, intern, software engineer, software professional, it professional, it employee, techie, "
-    "bpo employee, call centre employee, call center employee, engineer, developer, programmer, architect, receptionist, secretary, accountant, cashier, tailor, beautician, hairdresser, singer, dancer, actress, actor, journalist, reporter, news anchor, "
-    "housemaid, housekeeper, domestic worker, domestic help, labourer, laborer, vendor, hawker, shopkeeper, waitress, bartender, homemaker, housewife, anganwadi worker, asha worker, sex worker, sales girl, salesgirl, saleswoman, maid"
-).split(", ")
+    "cabin crew member", "cabin crew", "crew member", "air hostess", "flight attendant", "stewardess", "nurse", "doctor", "teacher", "tutor", "lecturer", "professor", "student", "scholar", "intern",
+    "software engineer", "software professional", "it professional", "it employee", "techie", "bpo employee", "call centre employee", "call center employee", "engineer", "developer", "programmer",
+    "architect", "receptionist", "secretary", "accountant", "cashier", "tailor", "beautician", "hairdresser", "singer", "dancer", "actress", "actor", "journalist", "reporter", "news anchor",
+    "housemaid", "housekeeper", "domestic worker", "domestic help", "labourer", "laborer", "vendor", "hawker", "shopkeeper", "waitress", "bartender", "homemaker", "housewife", "anganwadi worker",
+    "asha worker", "sex worker", "sales girl", "salesgirl", "saleswoman", "maid",
+)
 #: Institutions that may follow an occupation, and verbs and nouns that tell whose it is.
-INSTITUTIONS = "school college university institute academy hospital hostel factory mill company firm office clinic salon parlour showroom mall hotel restaurant airlines?".split()
+INSTITUTIONS = (
+    "school", "college", "university", "institute", "academy", "hospital", "hostel", "factory", "mill", "company", "firm", "office", "clinic", "salon", "parlour", "showroom", "mall", "hotel",
+    "restaurant", "airlines?",
+)
 SUFFERED = r"\b(?:rape[ds]?|gang[\s-]?rape[ds]?|assault(?:ed|ing)?|molest(?:ed|ing)?|attack(?:ed|ing)?|abus(?:ed|ing)|violat(?:ed|ing)|sodomi[sz](?:ed|ing))\b"
 CHARGED = r"\b(?:arrested|booked|convicted|held|detained|apprehended|nabbed|remanded|jailed|imprisoned|sentenced|charged|chargesheeted|absconding)\b"
 ACCUSED = r"\b(?:accused|convict|convicts|offender|perpetrator|rapist|molester|assailant|attacker|abuser|defendant|appellant|culprit|suspect)\b"

@@ -41,8 +41,9 @@ def top_pending(cases: DataFrame, run_date: str, k: int = 10) -> DataFrame:
 
 
 def severity_summary(cases: DataFrame) -> DataFrame:
-    rows = cases.select(codes.severity(F.col("sections")).alias("label"), codes.severity(F.col("sections"), "aggravated").alias("aggravated"))
-    return rows.where("label is not null").groupBy("label").agg(F.count("*").alias("n"), F.count_if("aggravated").alias("aggravated"))
+    """(label, n, aggravated): cases by the rule that their sections match; cases that match none don't count."""
+    rows = cases.select(codes.severity_rule(F.col("sections")).alias("rule"))
+    return rows.where("rule is not null").groupBy("rule").agg(F.count("*").alias("n")).select("rule.label", "n", F.when(F.col("rule.aggravated"), F.col("n")).otherwise(0).alias("aggravated"))
 
 
 def coverage(cases: DataFrame, states: list[str]) -> DataFrame:

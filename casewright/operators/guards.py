@@ -13,9 +13,10 @@ from casewright.functions.persons import AGES, OCCUPATIONS, occupation_spans
 
 #: Names of fields that no record may have.
 FORBIDDEN = (
-    "victim victim_name victim_age victim_address survivor survivor_name complainant_name accused_victim_relation address home_address family family_members father_name mother_name guardian guardian_name relative school school_name college workplace employer "
-    "employer_name photo photograph image image_url phone mobile contact contact_number email aadhaar aadhar pan dob date_of_birth birth_date latitude longitude gps geo coordinates"
-).split()
+    "victim", "victim_name", "victim_age", "victim_address", "survivor", "survivor_name", "complainant_name", "accused_victim_relation", "address", "home_address", "family", "family_members",
+    "father_name", "mother_name", "guardian", "guardian_name", "relative", "school", "school_name", "college", "workplace", "employer", "employer_name", "photo", "photograph", "image", "image_url",
+    "phone", "mobile", "contact", "contact_number", "email", "aadhaar", "aadhar", "pan", "dob", "date_of_birth", "birth_date", "latitude", "longitude", "gps", "geo", "coordinates",
+)
 #: Parts of a name that forbid it too.
 FORBIDDEN_PARTS = ("victim", "survivor")
 #: Fields of free text.

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from casewright.functions import dates
+from casewright.operators.ordering import serials
 
 
 def mint(cases: DataFrame, prior: DataFrame, run_date: str, prefix: str = "CW") -> DataFrame:
@@ -20,7 +21,7 @@ def mint(cases: DataFrame, prior: DataFrame, run_date: str, prefix: str = "CW")
     rows = rows.withColumn("first", F.min("ord").over(own))
     minting = rows.where((F.col("ord") == F.col("first")) & F.col("known").isNull())
     top = prior.groupBy("year", "state").agg(F.max("serial").alias("top"))
-    made = minting.join(top, ["year", "state"], "left").withColumn("serial", F.coalesce("top", F.lit(0)) + F.row_number().over(Window.partitionBy("year", "state").orderBy("ord")))
+    made = serials(minting, "ord").join(top, ["year", "state"], "left").withColumn("serial", F.coalesce("top", F.lit(0)) + F.col("serial"))
     made = made.select(F.col("first").alias("f"), F.concat_ws("-", F.lit(prefix), "year", "state", F.lpad(F.col("serial").cast("string"), 6, "0")).alias("new"))
     return rows.join(made, F.col("first") == F.col("f"), "left").select("ord", F.coalesce("known", "new").alias("id"), (F.col("known").isNull() & (F.col("ord") == F.col("first"))).alias("minted"))
 

@@ -130,15 +130,36 @@ def greedy(records: list[dict], near: int = 3, similar: float = 85.0) -> tuple[l
     return clusters, doubtful
 
 
+def match_blocks(base: DataFrame, near: int = 3) -> DataFrame:
+    """(node, key) of (node, anchors, district, day, sections, court): what ``strength`` could match shares a key.
+
+    Beside the anchors these are: district, section and a band of days, for records with a day; district and band
+    alone where a record of that district and band has no section; district and section alone where a record of them
+    has no day. Days at most ``near`` apart share one of two neighbouring bands.
+    """
+    base = base.select("node", "anchors", F.lower(F.trim("district")).alias("p"), F.floor(F.unix_date("day") / (near + 1)).alias("b"), F.array_distinct("sections").alias("s"), "court")
+    exact = base.select("node", F.explode("anchors").alias("key"))
+    placed = base.where("p <> ''")
+    dated = placed.where("b is not null").select("node", "p", "s", F.explode(F.array(F.col("b"), F.col("b") + 1)).alias("b"))
+    name = lambda *c: F.concat_ws("\x1f", *c)
+    by_section = dated.withColumn("s1", F.explode("s")).select("node", name(F.lit("day"), "p", F.col("b").cast("string"), "s1").alias("key"))
+    bare = dated.where("size(s) = 0").select("p", "b").distinct()
+    by_band = dated.join(bare, ["p", "b"]).select("node", name(F.lit("any"), "p", F.col("b").cast("string")).alias("key"))
+    courted = placed.where("court <> ''").withColumn("s1", F.explode("s")).select("node", "p", "b", "s1")
+    undated = courted.where("b is null").select("p", "s1").distinct()
+    by_court = courted.join(undated, ["p", "s1"]).select("node", name(F.lit("court"), "p", "s1").alias("key"))
+    return exact.union(by_section).union(by_band).union(by_court)
+
+
 def dedupe(cases: DataFrame) -> DataFrame:
     """(ord, cluster, outcome, status, confidence, n_sources, sections): a row for each merged or reviewed record.
 
-    Records that share an anchor or a district form components; the order-dependent clustering runs in each of them
-    by itself, which gives what one pass over all records gives. ``cases`` has the columns of the adapter, and
+    Records that could match form components (``match_blocks``); the order-dependent clustering runs in each of them by
+    itself, which gives what one pass over all records gives. ``cases`` has the columns of the adapter, and
     sections. cluster is the first record's ord.
     """
     keyed = cases.withColumns({"anchors": anchor_keys(F.col("cnr"), F.lit(""), F.lit(""), F.col("incident_reported_date")), "day": dates.strict_day(F.col("incident_reported_date"))})
-    edges = keyed.select(F.col("ord").alias("node"), F.explode(F.concat("anchors", F.when(F.trim("district") != "", F.array(F.concat(F.lit("dist:"), F.lower(F.trim("district"))))).otherwise(F.array().cast("array<string>")))).alias("key"))
+    edges = match_blocks(keyed.select(F.col("ord").alias("node"), "anchors", "district", "day", "sections", "court"))
     rows = keyed.join(components(edges), F.col("ord") == F.col("node"), "left").withColumn("component", F.coalesce("component", "ord"))
     schema = "ord long, cluster long, outcome string, status string, confidence double, n_sources int, sections string"
 

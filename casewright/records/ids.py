@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from casewright.functions import codes, dates
+from casewright.operators.ordering import serials
 from casewright.operators.resolve import components
 from casewright.records import gates
 from casewright.records.resolve import identity_keys
@@ -81,19 +82,6 @@ def minted(rows: DataFrame, prior: DataFrame, run_date: str, marks: DataFrame |
     return out.select(F.col("o").alias(order), F.coalesce(F.when(F.col("_has"), F.col("id")), "owner", "new").alias("id"), F.coalesce(~F.col("_has") & F.col("owner").isNull() & (F.col("o") == F.col("lead")), F.lit(False)).alias("minted"))
 
 
-def serials(rows: DataFrame, order: str, band: int = 1 << 16) -> DataFrame:
-    """``rows`` (order, year, state) with serial: 1, 2, ... within each year and state, by the whole number ``order``.
-
-    Rows are counted in bands of ``order`` first, so that a slot with most of the rows fills many tasks; only a row for
-    each slot and band meets in a window.
-    """
-    banded = rows.withColumn("_band", F.floor(F.col(order) / band))
-    sums = banded.groupBy("year", "state", "_band").agg(F.count("*").alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.partitionBy("year", "state").orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    own = F.row_number().over(Window.partitionBy("year", "state", "_band").orderBy(order))
-    return banded.join(sums.select("year", "state", "_band", before.alias("_start")), ["year", "state", "_band"]).withColumn("serial", (F.col("_start") + own).cast("int")).drop("_band", "_start")
-
-
 def stamped(rows: DataFrame, prior: DataFrame, run_date: str) -> DataFrame:
     """``rows`` (with their ids) with first_published, last_status_change, status_history, traced_to_court,
     days_since_reported, and change: new, material or rechecked; traced says whether a court was first seen in this run.

@@ -10,7 +10,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
 from casewright.functions import codes, dates
-from casewright.operators.resolve import STATUS_RANK, components, greedy
+from casewright.operators.resolve import STATUS_RANK, components, greedy, match_blocks
 from casewright.records import gates
 from casewright.records.schema import NAMES, RECORD, listed
 
@@ -130,26 +130,8 @@ def _batch(rows: list[dict], schema: StructType) -> pa.RecordBatch:
 
 
 def block_keys(rows: DataFrame, order: str = "ord") -> DataFrame:
-    """(node, key): records that could match share a key, directly or through others.
-
-    Beside the anchors these are: district, section and a band of days, for records with a day; district and band
-    alone where a record of that district and band has no section; district and section alone where a record of them
-    has no day. Days within ``NEAR`` share one of two neighbouring bands.
-    """
-    day = dates.strict_day(F.col("incident_reported_date"))
-    base = rows.select(F.col(order).alias("node"), anchor_keys().alias("anchors"), F.lower(F.trim("district")).alias("p"), F.floor(F.unix_date(day) / (NEAR + 1)).alias("b"), F.array_distinct(listed("offence_sections")).alias("s"), F.col("court.name").alias("court"))
-    exact = base.select("node", F.explode("anchors").alias("key"))
-    placed = base.where("p <> ''")
-    band = F.explode(F.array(F.col("b"), F.col("b") + 1))
-    dated = placed.where("b is not null").select("node", "p", "s", band.alias("b"))
-    name = lambda *c: F.concat_ws("\x1f", *c)
-    by_section = dated.withColumn("s1", F.explode("s")).select("node", name(F.lit("day"), "p", F.col("b").cast("string"), "s1").alias("key"))
-    bare = dated.where("size(s) = 0").select("p", "b").distinct()
-    by_band = dated.join(bare, ["p", "b"]).select("node", name(F.lit("any"), "p", F.col("b").cast("string")).alias("key"))
-    courted = placed.where("court <> ''").withColumn("s1", F.explode("s")).select("node", "p", "b", "s1")
-    undated = courted.where("b is null").select("p", "s1").distinct()
-    by_court = courted.join(undated, ["p", "s1"]).select("node", name(F.lit("court"), "p", "s1").alias("key"))
-    return exact.union(by_section).union(by_band).union(by_court)
+    """(node, key): records that could match share a key, directly or through others (``operators.resolve.match_blocks``)."""
+    return match_blocks(rows.select(F.col(order).alias("node"), anchor_keys().alias("anchors"), "district", dates.strict_day(F.col("incident_reported_date")).alias("day"), listed("offence_sections").alias("sections"), F.col("court.name").alias("court")), NEAR)
 
 
 def dedupe(rows: DataFrame, order: str = "ord") -> tuple[DataFrame, DataFrame]:
