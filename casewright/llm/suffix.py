@@ -5,7 +5,9 @@ of equals. Equal strings have equal anchors at equal places, so dealing texts ou
 equal together. Neighbouring strings with one anchor form a run. Occurrences of one and the same run are told by
 its hash; where an anchor has different runs, one of each is written into a text whose suffixes are sorted to a
 bounded depth. Starting from the intervals of short strings, breadth-first backward extension over the transform
-fixes common prefix values in increasing order; those still open at ``length`` join strings that are equal.
+fixes common prefix values in increasing order; those still open at ``length`` join strings that are equal. An anchor
+with very many different runs, as a passage has that stands in many contexts, is not gathered: its strings are dealt out
+by their hashes instead.
 """
 
 from __future__ import annotations
@@ -26,21 +28,28 @@ BLOCK = 1 << 20
 #: Bits of the largest filter that is broadcast (4 MB). With more runs to fetch, texts are joined to them instead.
 FILTER_BITS = 1 << 25
 PACK = 1 << 10
+#: Different runs of one anchor that are compared in one transform; the strings of an anchor with more are dealt out one
+#: by one, so that no task holds them all. At most so many anchors are treated so, those with most runs.
+HOT, MOST_HOT = 1 << 14, 1 << 17
 _LOW = np.uint64((1 << 24) - 1)
 _hashes = Hashes(6)
 
 
-def runs(raw: np.ndarray, at: np.ndarray, length: int):
-    """Yields, piece by piece, the runs of the texts raw[at[i] : at[i + 1]]: anchor, run hash, text, start, strings."""
+def runs(raw: np.ndarray, at: np.ndarray, length: int, hot: np.ndarray | None = None):
+    """Yields, piece by piece, the runs of the texts raw[at[i] : at[i + 1]]: anchor, run hash, text, start, strings.
+
+    With ``hot``, ascending anchors, these are instead the strings of the runs that have such an anchor, each a run of
+    one string that is its own anchor.
+    """
     for i, j in slices(at, PIECE):
         for s in range(int(at[i]), max(int(at[j]), int(at[i]) + 1), PIECE) if j == i + 1 else [int(at[i])]:
             e = min(int(at[j]), s + PIECE + length - 1) if j == i + 1 else int(at[j])
             if e - s >= length:
                 edge = np.clip(at[i : j + 1], s, e) - s
-                yield from _piece(raw[s:e], edge, i, s - at[i:j], length)
+                yield from _piece(raw[s:e], edge, i, s - at[i:j], length, hot)
 
 
-def _piece(x: np.ndarray, edge: np.ndarray, first: int, shift: np.ndarray, length: int):
+def _piece(x: np.ndarray, edge: np.ndarray, first: int, shift: np.ndarray, length: int, hot: np.ndarray | None):
     n, wide = len(x), length - GRAM + 1
     sums = _hashes.sums(x)
     place = np.arange(n - GRAM + 1)
@@ -66,14 +75,25 @@ def _piece(x: np.ndarray, edge: np.ndarray, first: int, shift: np.ndarray, lengt
     stop = np.flatnonzero(valid & np.append(new[1:] | ~valid[1:], True)) + 1
     count, where = stop - start, anchor[start]
     text = np.searchsorted(edge, start, side="right") - 1
+    if hot is not None:
+        own = gram[where].view(np.int64)
+        some = np.flatnonzero(hot[np.minimum(np.searchsorted(hot, own), len(hot) - 1)] == own)
+        if len(some):
+            size = count[some]
+            at = np.repeat(start[some], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            key, whose = _hashes.of(sums, at, at + length).view(np.int64), np.repeat(text[some], size)
+            yield key, key, whose + first, at + shift[whose], np.ones(len(at), np.int64)
+        return
     run = _hashes.of(sums, start, start + count + length - 1)
     run = mix(run + (where - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + count.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
     yield gram[where].view(np.int64), run.view(np.int64), text + first, start + shift[text], count
 
 
-def _anchored(docs: DataFrame, length: int) -> DataFrame:
+def _anchored(docs: DataFrame, length: int, hot=None) -> DataFrame:
     """(anchor, run, doc, place, again): place packs where the run begins and how many strings it has.
 
+    With ``hot``, a broadcast of ascending anchors, of the strings of such anchors' runs only.
+
     again marks a run that the same batch has earlier: it is known to repeat, needs no other occurrence beside it
     and gets an anchor of its own, so that copies and common passages don't all meet in one task.
     """
@@ -82,7 +102,7 @@ def _anchored(docs: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             raw, at = utf8(batch.column(1))
             ids = batch.column(0).to_numpy()
-            got = list(runs(raw, at, length))
+            got = list(runs(raw, at, length, None if hot is None else hot.value))
             if not got:
                 continue
             anchor, run, text, start, count = (np.concatenate(x) for x in zip(*got, strict=True))
@@ -361,10 +381,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError(f"length must lie between {GRAM} and {PACK}")
     whole = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"), *[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(carry)])
     own = whole.select("id", "t")
-    told = durable(_told(_anchored(own, length).repartition("anchor").sortWithinPartitions("anchor", "run", "doc", "place")))
-    fetched = _fetched(own, told.where("kind = 1"), length).repartition("anchor").sortWithinPartitions("anchor")
+    dealt = lambda rows: _told(rows.repartition("anchor").sortWithinPartitions("anchor", "run", "doc", "place"))
+    told = durable(dealt(_anchored(own, length)))
+    repeats, wanted = told.where("kind = 0"), told.where("kind = 1")
+    hot = wanted.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > HOT).orderBy(F.desc("n"), "anchor").limit(MOST_HOT).select("anchor")
+    if anchors := sorted(r["anchor"] for r in hot.collect()):
+        sent = docs.sparkSession.sparkContext.broadcast(np.array(anchors, np.int64))
+        repeats = repeats.union(dealt(_anchored(own, length, sent)).where("kind = 0"))
+        wanted = wanted.join(F.broadcast(docs.sparkSession.createDataFrame([(a,) for a in anchors], "anchor long")), "anchor", "left_anti").select(told.columns)
+    fetched = _fetched(own, wanted, length).repartition("anchor").sortWithinPartitions("anchor")
     begin = F.expr(f"place div {PACK}")
-    spans = told.where("kind = 0").select("doc", begin.alias("begin"), (begin + F.expr(f"place % {PACK}") + length - 1).alias("end")).union(_expanded(fetched, length))
+    spans = repeats.select("doc", begin.alias("begin"), (begin + F.expr(f"place % {PACK}") + length - 1).alias("end")).union(_expanded(fetched, length))
     lists = spans.groupBy("doc").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
 
     def each(batches):

@@ -98,7 +98,8 @@ def repeats():
 def test_suffix(spark, repeats, monkeypatch):
     want = removed(repeats)
     rows = [*repeats, (10, repeats[9][1]), (None, repeats[9][1])]
-    for bits, block, piece in ((1 << 25, 1 << 20, 1 << 20), (1, 1 << 10, 1 << 9)):  # the filter or the join; one block or many
+    for bits, block, piece, hot in ((1 << 25, 1 << 20, 1 << 20, 1 << 14), (1, 1 << 10, 1 << 9, 1 << 14), (1 << 25, 1 << 20, 1 << 20, 1)):  # the filter or the join; one block or many; hot anchors
+        monkeypatch.setattr(suffix, "HOT", hot)
         monkeypatch.setattr(suffix, "FILTER_BITS", bits)
         monkeypatch.setattr(suffix, "BLOCK", block)
         monkeypatch.setattr(suffix, "PIECE", piece)
