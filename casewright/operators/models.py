@@ -48,8 +48,9 @@ def ask(client, prompt: str, retries: int = 2, base: float = 1.0, longest: float
     raise AssertionError
 
 
-def answers(docs: DataFrame, make_clients: Callable[[], list], prompt: Column, stop_after: int = 5, **how) -> DataFrame:
-    """(url, outcome, answer, tokens, error) for each of ``docs``; outcome is answered or failed.
+def answers(docs: DataFrame, make_clients: Callable[[], list], prompt: Column, stop_after: int = 5, until: float | None = None, clock: Callable[[], float] = time.time, **how) -> DataFrame:
+    """(url, outcome, answer, tokens, error) for each of ``docs``; outcome is answered, failed or, after the time ``until``
+    (seconds of ``clock``), not_asked, so that a run ends in time and the rest is asked about in the next one.
 
     ``make_clients`` builds a task's clients, which are tried in order. A client that fails ``stop_after`` times on
     end is not asked again in its task. Without a client left, documents fail and can be asked about next time.
@@ -61,6 +62,9 @@ def answers(docs: DataFrame, make_clients: Callable[[], list], prompt: Column, s
             out = []
             for url, p in zip(frame["url"], frame["prompt"], strict=True):
                 row = (url, "failed", None, 0, "no client left")
+                if until is not None and clock() >= until:
+                    out.append((url, "not_asked", None, 0, "out of time"))
+                    continue
                 for entry in clients:
                     if entry[1] >= stop_after:
                         continue

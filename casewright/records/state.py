@@ -60,6 +60,52 @@ def load_spend(spark: SparkSession, path: str) -> DataFrame:
     return load_table(spark, path, "month string, usd double")
 
 
+def load_records(spark: SparkSession, path: str) -> DataFrame:
+    """(ord, *record) of the table of records at ``path``, a queue or the published ones, in a fixed order; empty where there is none."""
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RECORD)
+    return load_table(spark, path, f"ord long, {kinds}")
+
+
+def load_approved(spark: SparkSession, path: str) -> DataFrame:
+    """(url): the source URLs that a human has approved, as written; empty ones don't count."""
+    return load_table(spark, path, "url string").select(F.trim("url").alias("url")).where("url <> ''").distinct()
+
+
+def load_corrections(spark: SparkSession, path: str) -> DataFrame:
+    """(record_id, quarantine, overrides) from the JSON files under ``path``; a file that is none, or names no record, is
+    left out, and of files for one record the last by name counts."""
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("n"), F.col("value").alias("v"))
+    told = files.select("n", F.from_json("v", "record_id string, quarantine boolean, overrides string").alias("c")).where("c.record_id <> ''")
+    return told.groupBy("c.record_id").agg(F.max(F.struct("n", "c"))["c"].alias("c")).select("record_id", "c.quarantine", "c.overrides")
+
+
+def source_text(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """``rows`` with source_text: the text of the first of a record's sources that ``docs`` (url, text) has one of, else empty."""
+    keyed = rows.withColumn("_n", F.monotonically_increasing_id())
+    cited = keyed.select("_n", F.posexplode(F.transform(listed("sources"), lambda s: s["url"])).alias("place", "url"))
+    known = docs.where("text <> ''").groupBy("url").agg(F.min("text").alias("text"))
+    first = cited.join(known, "url").groupBy("_n").agg(F.min(F.struct("place", "text"))["text"].alias("_t"))
+    return keyed.join(first, "_n", "left").select(*rows.columns, F.coalesce("_t", F.lit("")).alias("source_text"))
+
+
+def with_verdicts(rows: DataFrame, verdicts: DataFrame, key: str = "ord") -> DataFrame:
+    """``rows`` (key, *record) with verified, verification_note, the second source that a verifier found, and incomplete.
+
+    ``verdicts``: (key, verdict) as ``operators.models.verdict`` gives it. A record without a parsed verdict is unverified
+    and incomplete: it is held, not declined. A second source is added only to a verified record that hasn't its URL; it
+    is dated by first publication, else by the first source that has a date.
+    """
+    joined = rows.join(verdicts.select(key, F.col("verdict").alias("_v")), key, "left")
+    parsed = F.coalesce("_v.parsed", F.lit(False))
+    yes = parsed & F.coalesce("_v.verified", F.lit(False))
+    dated = F.get(F.filter(F.transform(listed("sources"), lambda s: F.trim(s["retrieved"])), lambda d: d != ""), F.lit(0))
+    kind = RECORD["sources"].dataType.elementType
+    second = F.struct(F.trim("_v.second_url").alias("url"), F.col("_v.second_publisher").alias("publisher"), F.coalesce(F.nullif("first_published", F.lit("")), dated, F.lit("")).alias("retrieved"), F.lit("news_article").alias("source_type"), F.lit(None).cast("boolean").alias("url_carries_identifying_slug"), F.lit(None).cast("string").alias("archive_url")).cast(kind)
+    new = yes & F.coalesce(F.trim("_v.second_url") != "", F.lit(False)) & ~F.coalesce(F.array_contains(F.transform(listed("sources"), lambda s: s["url"]), F.trim("_v.second_url")), F.lit(False))
+    note = F.when(parsed & (F.col("_v.note") != ""), F.col("_v.note")).otherwise(F.col("verification_note"))
+    return joined.withColumn("_sources", F.when(new, F.array_append(listed("sources"), second)).otherwise(F.col("sources"))).withColumns({"verified": yes, "verification_note": note, "incomplete": ~parsed}).drop("sources", "_v").withColumnRenamed("_sources", "sources").select(*rows.columns, "incomplete")
+
+
 def month_of(run_date: Column) -> Column:
     return F.substring(run_date, 1, 7)
 

@@ -129,3 +129,14 @@ def live_counter(date: Column, now: str) -> Column:
 def orphans(feed_rows: DataFrame, rows: DataFrame) -> DataFrame:
     """(id) of the feed that no published record has."""
     return feed_rows.select("id").distinct().join(rows.select("id"), "id", "left_anti")
+
+
+def missing_states(cards: DataFrame, states: list[str] = codes.STATES) -> DataFrame:
+    """(state) of the known states that no card is of."""
+    every = cards.sparkSession.createDataFrame([(s,) for s in states], "state string")
+    return every.join(cards.select("state").distinct(), "state", "left_anti")
+
+
+def court_first(docs: DataFrame, order: str = "ord") -> DataFrame:
+    """Documents in the order in which they are worked on: those of official publishers first, equal ones as they came."""
+    return docs.orderBy(F.when(codes.any_of(F.col("publisher"), codes.OFFICIAL), 0).otherwise(1), order)

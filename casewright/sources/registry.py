@@ -92,3 +92,16 @@ def requests(rows: DataFrame) -> DataFrame:
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
+
+
+def load_submissions(spark: SparkSession, path: str) -> DataFrame:
+    """(url, state, district, incident_date, issue_number) of the JSON file of readers' leads; empty where there is none.
+
+    A lead without an http(s) URL is left out.
+    """
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    schema = "url string, state string, district string, incident_date string, issue_number int"
+    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("multiLine", True).json(path).where(F.lower("url").rlike("^https?://"))

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from casewright.operators import models
 from casewright.operators import resolve as flat_resolve
 from casewright.plans import whole as plan
 from casewright.plans.daily import RunConfig
@@ -306,3 +307,28 @@ def test_settings():
     assert Settings.of({}, {"extraction": {"models": ["m", 3]}}).models == ("m",)
     assert estimate_usd(10**6, 10**6) == 2.8 and illustrative_usd(4000, 1) == estimate_usd(1400, 200)
     assert scope_label(frozenset({"KA", "DL"}), 30) == "DL,KA; last 30d" and scope_label(None, None) == "all states; no window"
+
+
+def test_loading_what_a_run_remembers(spark, tmp_path):
+    (tmp_path / "c").mkdir()
+    for name, text in {"a.json": '{"record_id": "r1", "quarantine": true}', "b.json": '{"record_id": "r1", "overrides": {"status": "CLOSED"}}', "c.json": "{", "d.json": '{"quarantine": true}'}.items():
+        (tmp_path / "c" / name).write_text(text)
+    got = state.load_corrections(spark, str(tmp_path / "c")).collect()
+    assert [tuple(r) for r in got] == [("r1", None, '{"status":"CLOSED"}')]
+    rows = frame(spark, [good(id="r1"), good(id="r2")])
+    fixed, out = state.apply_corrections(rows, state.load_corrections(spark, str(tmp_path / "c")))
+    assert out.count() == 0 and {r["id"]: (r["status"], r["corrected"]) for r in fixed.collect()} == {"r1": ("CLOSED", True), "r2": ("UNDER_TRIAL", None)}
+    rows.write.parquet(str(tmp_path / "queue"))
+    assert state.load_records(spark, str(tmp_path / "queue")).columns == ["ord", *NAMES] and state.load_records(spark, str(tmp_path / "none")).count() == 0
+    spark.createDataFrame([(" https://a.example/1 ",), ("",)], "url string").write.parquet(str(tmp_path / "approved"))
+    assert gates.approved(rows, state.load_approved(spark, str(tmp_path / "approved"))).where("_approved").count() == 2
+
+
+def test_answers_stop_in_time(spark):
+    class Client:
+        def generate(self, prompt):
+            return prompt.upper(), 1
+
+    docs = spark.createDataFrame([("u1", "p"), ("u2", "p")], "url string, p string")
+    assert {r["outcome"] for r in models.answers(docs, lambda: [Client()], F.col("p"), until=1.0, clock=lambda: 2.0).collect()} == {"not_asked"}
+    assert {r["answer"] for r in models.answers(docs, lambda: [Client()], F.col("p"), until=3.0, clock=lambda: 2.0).collect()} == {"P"}
