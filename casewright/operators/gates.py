@@ -29,7 +29,7 @@ def review_reason(least: float = 0.8) -> Column:
 
 
 def jurisdiction_reason() -> Column:
-    return F.when(F.coalesce(F.trim("state"), F.lit("")) == "", "no_jurisdiction").when(~codes.normalize_state(F.col("state")).isin(codes.STATES), "unknown_state")
+    return F.when(F.coalesce(F.trim("state"), F.lit("")) == "", "no_jurisdiction").when(~codes.normalize_state(F.col("state")).isin(*codes.STATES), "unknown_state")
 
 
 def schema_violations() -> Column:
