@@ -6,6 +6,8 @@ import re
 
 from pyspark.sql import Column, functions as F
 
+from casewright.functions.text import bound
+
 #: State codes in their official order.
 STATES = (
     "AP", "AR", "AS", "BR", "CT", "GA", "GJ", "HR", "HP", "JH", "KA", "KL", "MP", "MH", "MN", "ML", "MZ", "NL", "OD", "PB", "RJ", "SK", "TN", "TG", "TR", "UP", "UT", "WB", "DL", "JK", "LA", "PY", "CH",
@@ -116,11 +118,15 @@ def _needle(parts: list[str]) -> str:
 
 def severity_rule(sections: Column) -> Column:
     """struct(label, aggravated) of the first matching rule, null without one; the rules are gone through once."""
-    h, out = haystack(sections), None
-    for label, aggravated, parts in SEVERITY:
-        hit, value = h.rlike(_needle(parts)), F.struct(F.lit(label).alias("label"), F.lit(aggravated).alias("aggravated"))
-        out = F.when(hit, value) if out is None else out.when(hit, value)
-    return out
+
+    def first(h: Column) -> Column:
+        out = None
+        for label, aggravated, parts in SEVERITY:
+            hit, value = h.rlike(_needle(parts)), F.struct(F.lit(label).alias("label"), F.lit(aggravated).alias("aggravated"))
+            out = F.when(hit, value) if out is None else out.when(hit, value)
+        return out
+
+    return bound(haystack(sections), first)
 
 
 def severity(sections: Column, what: str = "label") -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from casewright.functions import codes
+from casewright.functions.text import bound
 
 #: What a category is called.
 CATEGORIES = {"rape": "Rape", "pocso": "Child sexual offence", "sexual_assault": "Sexual assault", "acid_attack": "Acid attack", "harassment": "Sexual harassment", "other": "Sexual offence"}
@@ -46,7 +47,7 @@ def category_label(category: Column) -> Column:
 def offence_phrase(sections: Column, category: Column) -> Column:
     """The offence by its charges, else by its category; it always says that a minor is involved."""
     phrase = F.coalesce(codes.severity(sections), category_label(category))
-    return F.when(F.lower(phrase).rlike("child|minor"), phrase).otherwise(F.concat(phrase, F.lit(" involving a minor")))
+    return bound(phrase, lambda p: F.when(F.lower(p).rlike("child|minor"), p).otherwise(F.concat(p, F.lit(" involving a minor"))))
 
 
 def plain_title(category: Column, district: Column, state: Column, date: Column) -> Column:

@@ -6,6 +6,8 @@ import re
 
 from pyspark.sql import Column, functions as F
 
+from casewright.functions.text import bound
+
 #: The Unicode block of each script.
 SCRIPTS = {
     "devanagari": ("ऀ", "ॿ"), "bengali": ("ঀ", "৿"), "gurmukhi": ("਀", "੿"), "gujarati": ("઀", "૿"), "oriya": ("଀", "୿"),
@@ -48,7 +50,7 @@ _RUN = "[" + "".join(f"{a}-{b}" for a, b in SCRIPTS.values()) + "]+"
 
 def whole(terms) -> str:
     """A pattern for any of ``terms`` as whole words, longer ones first; case doesn't matter."""
-    return r"(?iu)(?<![\p{L}\p{N}_])(?:" + "|".join(re.escape(t) for t in sorted(terms, key=len, reverse=True)) + r")(?![\p{L}\p{N}_])"
+    return r"(?i)(?<![\p{L}\p{N}_])(?:" + "|".join(re.escape(t) for t in sorted(terms, key=len, reverse=True)) + r")(?![\p{L}\p{N}_])"
 
 
 def age_pattern(language: str) -> str:
@@ -66,7 +68,14 @@ def scripts(text: Column) -> Column:
 
 
 def native_hits(text: Column) -> Column:
-    """``native_age:language`` and ``native_script:script`` for what the text has, in fixed order; none for null."""
+    """``native_age:language`` and ``native_script:script`` for what the text has, in fixed order; none for null.
+
+    Every age in a native script has characters of one, so a text without any needs no closer look.
+    """
+    return bound(text, lambda t: F.when(F.coalesce(t.rlike(_RUN), F.lit(False)), _native(t)).otherwise(F.array().cast("array<string>")))
+
+
+def _native(text: Column) -> Column:
     return _named({f"native_age:{n}": text.rlike(age_pattern(n)) for n in AGE_WORDS} | {f"native_script:{n}": text.rlike(f"[{a}-{b}]") for n, (a, b) in SCRIPTS.items()})
 
 
@@ -83,9 +92,14 @@ def hits(text: Column, languages: tuple[str, ...] = ()) -> Column:
 
 def scrub_native(text: Column) -> Column:
     """The text with a mark for each age in a native script and for each run of native characters."""
-    for n in AGE_WORDS:
-        text = F.regexp_replace(text, age_pattern(n), MARK)
-    return F.regexp_replace(text, _RUN, MARK)
+
+    def each(t: Column) -> Column:
+        out = t
+        for n in AGE_WORDS:
+            out = F.regexp_replace(out, age_pattern(n), MARK)
+        return F.when(t.rlike(_RUN), F.regexp_replace(out, _RUN, MARK)).otherwise(t)
+
+    return bound(text, each)
 
 
 def scrub(text: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 #: Personal-data patterns.
@@ -22,14 +24,31 @@ def strip_html(html: Column, most: int = 20_000) -> Column:
     return F.substring(F.trim(F.regexp_replace(t, r"\s+", " ")), 1, most)
 
 
+#: All personal data has a digit or this sign; a text without either needs no closer look.
+_MARKS = "[0-9@]"
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of ``value``, which is computed once however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def redact(text: Column) -> Column:
-    for pattern in PII.values():
-        text = F.regexp_replace(text, pattern, "[redacted]")
-    return text
+    """The text with a mark for each piece of personal data."""
+
+    def each(t: Column) -> Column:
+        out = t
+        for pattern in PII.values():
+            out = F.regexp_replace(out, pattern, "[redacted]")
+        return F.when(t.rlike(_MARKS), out).otherwise(t)
+
+    return bound(text, each)
 
 
 def pii_hits(text: Column) -> Column:
-    return F.array_compact(F.array(*[F.when(text.rlike(p), F.lit(n)) for n, p in PII.items()]))
+    """The names of the kinds of personal data in the text, in fixed order."""
+    none = F.array().cast("array<string>")
+    return bound(text, lambda t: F.when(t.rlike(_MARKS), F.array_compact(F.array(*[F.when(t.rlike(p), F.lit(n)) for n, p in PII.items()]))).otherwise(none))
 
 
 def native_script(text: Column) -> Column:
