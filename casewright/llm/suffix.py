@@ -30,7 +30,7 @@ FILTER_BITS = 1 << 25
 PACK = 1 << 10
 #: Different runs of one anchor that are compared in one transform; the strings of an anchor with more are dealt out one
 #: by one, so that no task holds them all. At most so many anchors are treated so, those with most runs.
-HOT, MOST_HOT = 1 << 14, 1 << 17
+HOT, MOST_HOT = 1 << 12, 1 << 17
 _LOW = np.uint64((1 << 24) - 1)
 _hashes = Hashes(6)
 
