@@ -473,12 +473,10 @@ _encoders: dict[str, Encoder] = {}
 def frequent_words(docs: DataFrame, text_col: str, special: dict[bytes, int], size: int) -> list[bytes]:
     """The ``size`` words that occur most often in all texts; every occurrence counts, however thinly it is spread.
 
-    Words of more than LONG bytes are left out: they are merged one by one whenever they come.
+    Words that occur once, and words of more than LONG bytes, are left out: they are merged one by one when they come.
     """
 
     def each(batches):
-        count: dict[bytes, int] = {}
-        flush = lambda: pa.RecordBatch.from_arrays([pa.array(list(count), pa.binary()), pa.array(list(count.values()), pa.int64())], names=["w", "c"])
         for batch in batches:
             raw, at = utf8(batch.column(0))
             for i, j in slices(at, CHUNK):
@@ -486,17 +484,12 @@ def frequent_words(docs: DataFrame, text_col: str, special: dict[bytes, int], si
                 begin, end, given = split(part, at[i : j + 1] - at[i], special)
                 own, _, n = distinct_words(part, begin, end)
                 keep = (given[own] < 0) & (end[own] - begin[own] <= LONG)
-                own, blob = own[keep], part.tobytes()
-                for a, b, c in zip(begin[own].tolist(), end[own].tolist(), n[keep].tolist(), strict=True):
-                    word = blob[a:b]
-                    count[word] = count.get(word, 0) + c
-            if len(count) > 400_000:
-                yield flush()
-                count.clear()
-        yield flush()
-
-    rows = docs.select(F.col(text_col).alias("t")).mapInArrow(each, "w binary, c long").groupBy("w").agg(F.sum("c").alias("c"))
-    return [bytes(r["w"]) for r in rows.orderBy(F.desc("c"), "w").limit(size).collect()]
+                # words follow each other without a gap, so the text itself holds them all as one Arrow array
+                words = pa.Array.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(np.append(begin, len(part)).astype(np.int64).tobytes()), pa.py_buffer(part.tobytes())])
+                yield pa.RecordBatch.from_arrays([words.take(pa.array(own[keep])).cast(pa.binary()), pa.array(n[keep], pa.int64())], names=["w", "c"])
+
+    rows = docs.select(F.col(text_col).alias("t")).mapInArrow(each, "w binary, c long").groupBy("w").agg(F.sum("c").alias("c")).where("c > 1")
+    return rows.orderBy(F.desc("c"), "w").limit(size).select("w").toArrow().column(0).to_pylist()
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", lexicon_size: int = 200_000, ids: bool = False) -> DataFrame:
