@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from casewright.functions import codes, dates
+from casewright.operators.durability import durable
 from casewright.operators.ordering import serials
 from casewright.operators.resolve import components
 from casewright.records import gates
@@ -35,13 +36,13 @@ def minted(rows: DataFrame, prior: DataFrame, run_date: str, marks: DataFrame |
     Serials start after the greatest of ``prior``, ``rows``, ``marks`` (year, state, serial) and ``reserve`` (id), so
     that none is ever given twice. Records with equal keys are one in all this, so that a key that many share is cheap.
     """
-    own = rows.select(F.col(order).alias("o"), "id", "state", dates.year_of(F.coalesce("incident_reported_date", F.lit("")), run_date).alias("year"), identity_keys().alias("keys"))
+    own = durable(rows.select(F.col(order).alias("o"), "id", "state", dates.year_of(F.coalesce("incident_reported_date", F.lit("")), run_date).alias("year"), identity_keys().alias("keys")))
     has = F.coalesce(F.col("id").rlike(ID), F.lit(False))
     owners = prior.where(F.col("id").rlike(ID)).select("id", identity_keys().alias("keys"), F.lit(0).alias("rank"), F.monotonically_increasing_id().alias("o")).union(own.where(has).select("id", "keys", F.lit(1), "o"))
     known = owners.select(F.explode("keys").alias("key"), "rank", "o", "id").groupBy("key").agg(F.min(F.struct("rank", "o", "id"))["id"].alias("owner"))
     sets = own.where(~has).groupBy("keys").agg(F.min("o").alias("o"))
     found = sets.select("keys", F.posexplode("keys").alias("place", "key")).join(known, "key").groupBy("keys").agg(F.sort_array(F.collect_list(F.struct("place", "owner"))).alias("found"))
-    sets = sets.join(found, "keys", "left").withColumn("owner", F.when(F.get("found", F.lit(0))["place"] == 0, F.get("found", F.lit(0))["owner"]))
+    sets = durable(sets.join(found, "keys", "left")).withColumn("owner", F.when(F.get("found", F.lit(0))["place"] == 0, F.get("found", F.lit(0))["owner"]))
     # sets whose first key has an owner follow it and own nothing; the others may follow one that mints before them
     open_ = sets.where("owner is null").select("o", "keys", "found")
     groups = components(open_.select(F.col("o").alias("node"), F.explode("keys").alias("key")))

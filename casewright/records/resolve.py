@@ -10,6 +10,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
 from casewright.functions import codes, dates
+from casewright.operators.durability import durable
 from casewright.operators.resolve import STATUS_RANK, components, greedy, match_blocks
 from casewright.records import gates
 from casewright.records.schema import NAMES, RECORD, listed
@@ -142,7 +143,7 @@ def dedupe(rows: DataFrame, order: str = "ord") -> tuple[DataFrame, DataFrame]:
     alone is ambiguous. Only records of one connected set of ``block_keys`` can match, so each set is gone through by
     itself, which gives what one pass over all records gives. Each cluster is folded from its first record on.
     """
-    marked = rows.withColumn("reason", gates.review_reason())
+    marked = durable(rows.withColumn("reason", gates.review_reason()))  # read several times below
     kept, held = marked.where("reason is null").drop("reason"), marked.where("reason is not null")
     blocks = components(block_keys(kept, order))
     slim = kept.select(F.col(order).alias("o"), anchor_keys().alias("anchors"), "district", dates.strict_day(F.col("incident_reported_date")).alias("day"), listed("offence_sections").alias("sections"), F.col("court.name").alias("court"))
