@@ -1,20 +1,20 @@
 """Embedding near-duplicates by collision counting over many one-dimensional projections.
 
 Two unit vectors whose cosine is at least the threshold lie at most d = sqrt(2 - 2 cosine) apart, so on a random
-Gaussian direction they differ by no more than WINDOW * d with a known probability. For each vector a window around
-its projection is laid on every direction; a pair collides where one lies in the other's window. Pairs that collide
-on at least the number of directions that a pair at the very threshold reaches with probability 1 - MISS are
-verified exactly. Vectors are sorted by one projection of unit length and cut into blocks there; as unit vectors
-that near can't differ by more than d on it, what lies farther apart in that order is never compared.
-
-On the other directions no order is kept: where a window holds a large share of all vectors, as it does at any useful
-threshold, walking through sorted windows touches each pair many times, so windows are counted for a tile of pairs
-at once, a byte for each projection.
+Gaussian direction they differ by no more than WINDOW * d with a known probability. The vectors of a block are sorted
+by each of many projections; around a query's projection lies a window, which is a stretch of that order. A pair
+collides on a direction where one lies in the other's window. Pairs that collide on at least the number of directions
+that a pair at the very threshold reaches with probability 1 - MISS are verified exactly.
+
+Windows are counted as sets of bits: for each order, a set for each prefix of it, so that a window is the difference of
+two of them, and the windows of one query on all directions are added up bit by bit, 64 vectors in one word. All vectors
+are sorted by one projection of unit length and cut into blocks there; as unit vectors that near can't differ by more
+than d on it, what lies farther apart in that order is never compared.
 """
 
 from __future__ import annotations
 
-from math import ceil, comb, erf, sqrt
+from math import comb, erf, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +28,12 @@ from casewright.llm.vectors import classes, dimension, lengths, matrix
 WINDOW = 2.0
 #: All directions, and those that are counted for every pair; the others are counted for pairs that these leave.
 DIRECTIONS, FIRST = 64, 32
-#: Steps of a byte for one unit of a projection; bytes wrap around, which can add collisions but loses none.
-STEPS = 25.0
 #: How likely a pair at the threshold may be passed over.
 MISS = 1e-6
 #: Vectors in a block; a task holds two blocks.
 BLOCK = 4096
-TILE = 64
+#: Queries whose windows are added up at a time.
+TILE = 256
 
 
 def least_count(directions: int = DIRECTIONS, window: float = WINDOW, miss: float = MISS / 2) -> int:
@@ -47,6 +46,26 @@ def least_count(directions: int = DIRECTIONS, window: float = WINDOW, miss: floa
     return directions
 
 
+def prefixes(order: np.ndarray) -> np.ndarray:
+    """Row r is the set of the first r members of ``order``, a bit for each place; n + 1 rows."""
+    n = len(order)
+    out = np.zeros((n + 1, -(-n // 64)), np.uint64)
+    out[np.arange(1, n + 1), order >> 6] = np.uint64(1) << (order & 63).astype(np.uint64)
+    return np.bitwise_or.accumulate(out, axis=0, out=out)
+
+
+def at_least(planes: list[np.ndarray], least: int) -> np.ndarray:
+    """The set of places whose count is ``least`` or more; plane p holds the counts' bits of worth 2**p."""
+    more, equal = np.zeros_like(planes[0]), np.full_like(planes[0], ~np.uint64(0))
+    for p in range(len(planes) - 1, -1, -1):
+        if least >> p & 1:
+            equal &= planes[p]
+        else:
+            more |= equal & planes[p]
+            equal &= ~planes[p]
+    return more | equal
+
+
 def colliding(x: np.ndarray, y: np.ndarray, half: float, x_sorted: np.ndarray, y_sorted: np.ndarray, far: float):
     """Pairs (i, j) of rows of the projections x and y with as many collisions as a pair at the threshold has.
 
@@ -54,25 +73,37 @@ def colliding(x: np.ndarray, y: np.ndarray, half: float, x_sorted: np.ndarray, y
     the stretch of y that lies no farther off than ``far``.
     """
     first, least = least_count(FIRST), least_count()
-    steps = lambda p: np.ascontiguousarray(np.floor(p * STEPS).astype(np.int64).astype(np.uint8).T)
-    reach = ceil(half * STEPS) + 1
-    own, other, width = steps(x) + np.uint8(reach), steps(y), np.uint8(min(255, 2 * reach))
     left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    if not len(x) or not len(y):
+        return left[0], right[0]
+    order = [np.argsort(y[:, k]) for k in range(DIRECTIONS)]
+    place = [np.argsort(o) for o in order]
+    sorted_ = [y[order[k], k] for k in range(DIRECTIONS)]
+    low = [np.searchsorted(sorted_[k], x[:, k] - half - 1e-9) for k in range(DIRECTIONS)]
+    high = [np.searchsorted(sorted_[k], x[:, k] + half + 1e-9, side="right") for k in range(DIRECTIONS)]
+    sets = [prefixes(order[k]) for k in range(FIRST)]
     for i in range(0, len(x), TILE):
         j = min(i + TILE, len(x))
         a, b = np.searchsorted(y_sorted, x_sorted[i] - far - 1e-9), np.searchsorted(y_sorted, x_sorted[j - 1] + far + 1e-9, side="right")
         if a >= b:
             continue
-        count, gap, hit = np.zeros((j - i, b - a), np.uint8), np.empty((j - i, b - a), np.uint8), np.empty((j - i, b - a), bool)
+        words = slice(int(a) // 64, -(-int(b) // 64))
+        planes = [np.zeros((j - i, words.stop - words.start), np.uint64) for _ in range(FIRST.bit_length())]
         for k in range(FIRST):
-            np.subtract(own[k, i:j, None], other[k, None, a:b], out=gap)
-            np.less_equal(gap, width, out=hit)
-            np.add(count, hit.view(np.uint8), out=count)
-        p, q = np.nonzero(count >= first)
-        total = count[p, q].astype(np.int64)
-        p, q = p + i, q + a
+            carry = sets[k][high[k][i:j], words] & ~sets[k][low[k][i:j], words]
+            for p in range((k + 1).bit_length()):
+                planes[p], carry = planes[p] ^ carry, planes[p] & carry
+        p, q = np.nonzero(np.unpackbits(at_least(planes, first).view(np.uint8), axis=1, bitorder="little"))
+        total = sum((planes[k][p, q >> 6] >> (q & 63).astype(np.uint64) & np.uint64(1)).astype(np.int64) << k for k in range(len(planes)))
+        q += words.start * 64
+        keep = (q >= a) & (q < b)
+        p, q, total = p[keep] + i, q[keep], total[keep]
         for k in range(FIRST, DIRECTIONS):
-            total += own[k, p] - other[k, q] <= width
+            at = place[k][q]
+            total += (at >= low[k][p]) & (at < high[k][p])
+            if k % 8 == 7:  # what can't reach the count any more leaves
+                keep = total + (DIRECTIONS - 1 - k) >= least
+                p, q, total = p[keep], q[keep], total[keep]
         keep = total >= least
         left.append(p[keep])
         right.append(q[keep])
