@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from casewright.functions import codes, minors
 from casewright.operators import aggregates, gates, identity
+from casewright.operators.durability import durable
 
 _YES = ("1", "true", "yes")
 
@@ -81,7 +82,7 @@ def daily(cases: DataFrame, prior: DataFrame, config: RunConfig, approved: DataF
     ``prior``: (cnr, id, year, state, serial) of all ids ever given. A refresh publishes only cases whose court number
     has an id already.
     """
-    rows = routed(cases, config, approved)
+    rows = durable(routed(cases, config, approved))  # each table below is read from it
     of = lambda route: rows.where(F.col("route") == route)
     published = of("published")
     if config.refresh:
