@@ -86,13 +86,16 @@ _PHRASE = re.compile(
 )
 
 
+_OCCUPIED = re.compile("|".join(map(re.escape, OCCUPATIONS)), re.I)
+
+
 @F.pandas_udf(StringType())
 def without_occupations(texts: pd.Series) -> pd.Series:
     """The texts with a mark for each victim's occupation; null stays null."""
 
     def one(text):
-        if text is None:
-            return None
+        if text is None or not _OCCUPIED.search(text):
+            return text
         parts, at = [], 0
         for begin, end in occupation_spans(text):
             parts += [text[at:begin], OCCUPATION_MARK]
