@@ -77,3 +77,8 @@ def illustrative_usd(characters: int, documents: int) -> float:
 def scope_label(states: frozenset[str] | None, lookback: int | None) -> str:
     where = ",".join(sorted(states)) if states else "all states"
     return f"{where}; {f'last {lookback}d' if lookback is not None else 'no window'}"
+
+
+def token_cap(usd: float, rate: float = EXTRACT_RATES[1]) -> int:
+    """The tokens that a budget buys at the rate of what is written, the dearer one, so that it is never passed."""
+    return int(usd / rate * 1e6)

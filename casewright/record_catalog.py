@@ -8,7 +8,7 @@ from casewright.catalog import _AGGRAVATED, _LABEL, _QUALIFIES, _TIER, _TYPE, qu
 from casewright.functions import codes, dates, multilingual, persons, relevance, text
 from casewright.operators import aggregates, models
 from casewright.operators.ordering import placed
-from casewright.records import gates, health, ids, resolve, sanitize, state, validate, views
+from casewright.records import gates, health, ids, resolve, sanitize, sinks, state, validate, views
 from casewright.records.samples import FLAT_SQL, RUN_DATE, flat, records
 from casewright.records.schema import NAMES, listed, to_json
 from casewright.sources import payloads
@@ -474,3 +474,17 @@ def url_shaped(spark, sf_dir):
 def extraction_prompts(spark, sf_dir):
     prompt = payloads.extraction_prompt("{}", F.col("source"), F.concat(F.lit("u"), F.col("doc_id").cast("string")), F.col("text"))
     return load(spark, sf_dir, "documents").select("doc_id", F.length(prompt).cast("long").alias("n"), F.right(prompt, F.lit(30)).alias("tail"))
+
+
+_ACTIVE_SQL = "('FIR_FILED', 'CHARGESHEETED', 'UNDER_TRIAL', 'APPEAL_PENDING')"
+
+
+@query(R + f""", s as (select *, {_LABEL} as label, {_RDAYS} as days from r) select count(*) as total, (select string_agg(status || ':' || n, '|' order by status) from (select status, count(*) as n from s group by status)) as statuses,
+  (select string_agg(label || ':' || n, '|' order by label) from (select label, count(*) as n from s where label is not null group by label)) as severities, (select count(*) from s where label in ({_AGGRAVATED})) as aggravated_total,
+  (select string_agg(days || '', '|' order by days desc, ord) from (select days, ord from s where status in {_ACTIVE_SQL} and not minor_involved and (cnr is not null or station is not null) and days is not null order by days desc, ord limit 10)) as pending,
+  cast(least(120, (select count(*) from (select distinct state, district from s))) as int) as n_jurisdictions from s""")
+def record_summary(spark, sf_dir):
+    got = sinks.summary(whole(spark, sf_dir), RUN_DATE)
+    told = lambda name, key: F.array_join(F.transform(name, lambda x: F.concat(x[key], F.lit(":"), x["n"].cast("string"))), "|")
+    pending = F.array_join(F.transform("top_longest_pending", lambda x: x["days"].cast("string")), "|")
+    return got.select("total", told("status_counts", "status").alias("statuses"), told("severity_counts", "label").alias("severities"), "aggravated_total", pending.alias("pending"), F.size("jurisdictions").alias("n_jurisdictions"))

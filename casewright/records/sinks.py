@@ -6,10 +6,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from casewright.functions import dates
+from casewright.operators import aggregates
+from casewright.operators.durability import durable
 from casewright.operators.guards import scan_json
+from casewright.records.resolve import anchor_keys
 from casewright.records.sanitize import clean
-from casewright.records.schema import to_json
+from casewright.records.schema import NAMES, from_json, listed, to_json
 from casewright.records.validate import assert_ready
+from casewright.sources.shards import parted
 
 #: Fixed value: bytes that the summary may have, since a page loads it whole.
 SUMMARY_BYTES = 50 * 1024
@@ -82,3 +87,63 @@ def log_lines(lines: list[str], spark: SparkSession) -> list[str]:
     """Lines of a log without personal data, in order; logs never carry it either."""
     rows = spark.createDataFrame(list(enumerate(lines)), "k int, line string")
     return [r["line"] for r in rows.select("k", clean(F.col("line")).alias("line")).orderBy("k").collect()]
+
+
+def summary(rows: DataFrame, run_date: str, scale: DataFrame | None = None) -> DataFrame:
+    """One row: what the landing page loads of the published ``rows`` (ord, *record); its lists are bounded.
+
+    total, status_counts, state_counts, severity_counts, aggravated_total, monthly_trend, top_longest_pending,
+    jurisdictions and, if ``scale`` (day, n, week, total) is given, its days. Pendency needs an anchor to ask again with.
+    """
+    anchor = F.when(F.size(anchor_keys()) > 0, F.lit("anchored"))
+    flat = durable(rows.select("ord", "id", "state", "district", "status", F.coalesce("minor_involved", F.lit(False)).alias("minor_involved"), "incident_reported_date", listed("offence_sections").alias("sections"), anchor.alias("cnr")))
+    one = lambda df, name, *columns: df.agg(F.sort_array(F.collect_list(F.struct(*columns))).alias(name)).withColumn("_k", F.lit(0))
+    named = flat.select("ord", "id")
+    rule = aggregates.severity_summary(flat)
+    parts = [
+        one(aggregates.counts(flat, "status"), "status_counts", "status", "n"),
+        one(aggregates.counts(flat, "state"), "state_counts", "state", "n"),
+        one(rule, "severity_counts", "label", "n"),
+        rule.agg(F.coalesce(F.sum("aggravated"), F.lit(0)).alias("aggravated_total")).withColumn("_k", F.lit(0)),
+        one(aggregates.monthly_trend(flat, run_date), "monthly_trend", "month", "n"),
+        one(aggregates.top_pending(flat, run_date).join(named, "ord"), "top_longest_pending", (-F.col("days")).alias("rank"), "ord", "id", "state", "district", "days"),
+        one(aggregates.jurisdiction_scorecard(flat, run_date).drop("longest_ord"), "jurisdictions", (-F.col("total")).alias("rank"), "state", "district", "total", "under_trial", "under_trial_pct", "convictions", "acquittals", "pre_chargesheet", "median_pending", "longest_days"),
+    ]
+    if scale is not None:
+        parts.append(one(scale, "daily", "day", "n"))
+    out = flat.agg(F.count("*").alias("total")).withColumns({"_k": F.lit(0), "generated_at": F.lit(f"{run_date}T00:00:00Z")})
+    for part in parts:
+        out = out.join(part, "_k")
+    return out.drop("_k")
+
+
+def write_records(rows: DataFrame, path: str, run_date: str, most: int = 500 * 1024) -> DataFrame:
+    """Writes the records (ord, *record) as lines of JSON under ``path`` and gives the manifest (year, state, part, records, bytes).
+
+    Files hold one year and state, latest records first, equal dates in order, and at most ``most`` bytes or one record.
+    The gates come first: ids are unique, records valid and free of personal data. What was under ``path`` goes when the
+    new files are complete, so nothing stale stays.
+    """
+    assert_ready(rows)
+    assert_no_pii(rows)
+    lines = rows.select("ord", "incident_reported_date", to_json().alias("value"), dates.year_of(F.coalesce("incident_reported_date", F.lit("")), run_date).alias("_year"), F.coalesce("state", F.lit("UNKNOWN")).alias("_state")).withColumn("_size", F.octet_length("value") + 1)
+    dealt = durable(parted(lines, ["_year", "_state", F.desc("incident_reported_date"), "ord"], most))
+    staged = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
+    dealt.sortWithinPartitions("_year", "_state", "_part", F.desc("incident_reported_date"), "ord").select("_year", "_state", "_part", "value").write.partitionBy("_year", "_state", "_part").text(staged)
+    fs, old = _fs(rows.sparkSession, path)
+    fs.delete(old, True)
+    if not fs.rename(_fs(rows.sparkSession, staged)[1], old):
+        raise OSError(f"{staged} could not be renamed")
+    return dealt.groupBy(F.col("_year").alias("year"), F.col("_state").alias("state"), F.col("_part").alias("part")).agg(F.count("*").alias("records"), F.sum("_size").cast("long").alias("bytes"))
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """(record..) of all files under ``path``; a line that is no record is an error, never a gap."""
+    got = spark.read.text(path + "/*/*/*").select(from_json(F.col("value")).alias("r"), "value")
+    broken = F.raise_error(F.concat(F.lit("no record: "), F.substring("value", 1, 80)))
+    return got.select(F.when(F.col("r.id").isNull(), broken.cast("string")).otherwise(F.col("r.id")).alias("_id"), "r").select(F.col("_id").alias("id"), *[F.col(f"r.{n}").alias(n) for n in NAMES[1:]])
+
+
+def env_lines(counts: dict[str, object]) -> list[str]:
+    """Counters as NAME=value lines that a shell can read: names in capitals, values without anything a shell would run."""
+    return [f"{''.join(c if c.isalnum() else '_' for c in name).upper()}={''.join(c for c in str(value) if c.isalnum() or c in '._-')}" for name, value in counts.items()]

@@ -10,16 +10,12 @@ from pyspark.sql.types import LongType, StructType
 from casewright.functions import dates
 
 
-def write_shards(cases: DataFrame, path: str, run_date: str, most: int = 500 * 1024) -> None:
-    """Replaces the files under ``path``, latest cases first within a file of at most ``most`` bytes (or one case).
+def parted(rows: DataFrame, key: list, most: int) -> DataFrame:
+    """``rows`` (with _year, _state and _size) in ranges of ``key``, with _part: the number of the file that a row goes to.
 
-    Rows are dealt out by ranges of year, state and date, so a state with most of the cases fills many tasks; each
-    task streams through its rows and begins a new file where one is full.
+    A file holds rows of one year and state, in order, with at most ``most`` bytes or one row. Rows are dealt out by ranges,
+    so a state with most of the rows fills many tasks; each task streams through its rows.
     """
-    names = cases.columns
-    size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in names]))) + 1
-    rows = cases.withColumns({"_year": dates.year_of(F.col("incident_reported_date"), run_date), "_state": F.coalesce("state", F.lit("UNKNOWN")), "_size": size})
-    key = ["_year", "_state", F.desc("incident_reported_date"), "ord"]
     rows = rows.repartitionByRange(*key).sortWithinPartitions(*key)
 
     def each(batches):
@@ -32,10 +28,18 @@ def write_shards(cases: DataFrame, path: str, run_date: str, most: int = 500 * 1
                     part, slot, full = part + 1, (year, state), 0
                 full += n
                 parts.append(part)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(parts, pa.int64())], names=[*batch.schema.names[:-1], "_part"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(parts, pa.int64())], names=[*batch.schema.names, "_part"])
+
+    return rows.mapInArrow(each, StructType([*rows.schema.fields]).add("_part", LongType()))
 
-    schema = StructType([*rows.schema.fields[:-1]]).add("_part", LongType())
-    rows.mapInArrow(each, schema).write.mode("overwrite").partitionBy("_year", "_state", "_part").json(path)
+
+def write_shards(cases: DataFrame, path: str, run_date: str, most: int = 500 * 1024) -> None:
+    """Replaces the files under ``path``, latest cases first within a file of at most ``most`` bytes (or one case)."""
+    names = cases.columns
+    size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in names]))) + 1
+    rows = cases.withColumns({"_year": dates.year_of(F.col("incident_reported_date"), run_date), "_state": F.coalesce("state", F.lit("UNKNOWN")), "_size": size})
+    dealt = parted(rows, ["_year", "_state", F.desc("incident_reported_date"), "ord"], most).drop("_size")
+    dealt.write.mode("overwrite").partitionBy("_year", "_state", "_part").json(path)
 
 
 def read_shards(spark: SparkSession, path: str, schema) -> DataFrame:

@@ -11,7 +11,7 @@ from casewright.operators import models
 from casewright.operators import resolve as flat_resolve
 from casewright.plans import whole as plan
 from casewright.plans.daily import RunConfig
-from casewright.plans.settings import Settings, estimate_usd, illustrative_usd, scope_label
+from casewright.plans.settings import Settings, estimate_usd, illustrative_usd, scope_label, token_cap
 from casewright.record_catalog import whole
 from casewright.records import gates, health, ids, resolve, sanitize, schema, sinks, state, validate, views
 from casewright.records.schema import NAMES, RECORD
@@ -332,3 +332,26 @@ def test_answers_stop_in_time(spark):
     docs = spark.createDataFrame([("u1", "p"), ("u2", "p")], "url string, p string")
     assert {r["outcome"] for r in models.answers(docs, lambda: [Client()], F.col("p"), until=1.0, clock=lambda: 2.0).collect()} == {"not_asked"}
     assert {r["answer"] for r in models.answers(docs, lambda: [Client()], F.col("p"), until=3.0, clock=lambda: 2.0).collect()} == {"P"}
+
+
+def test_records_are_written_as_shards(spark, tmp_path):
+    rows = [good(id=f"CW-2001-KA-{k:06d}", first_published=DAY, cnr="c" if k % 2 else None) | {"incident_reported_date": f"200{k % 2}-03-0{k % 9 + 1}", "state": ("KA", "DL")[k % 3 == 0]} for k in range(1, 41)]
+    rows[0]["accused"] = [{"label": "A", "name_public_court_record": None, "status": "FIR_FILED"}]
+    df, path = frame(spark, rows), str(tmp_path / "tree")
+    for most in (2000, 1 << 20):
+        manifest = sinks.write_records(df, path, DAY, most).collect()
+        assert sum(r["records"] for r in manifest) == 40 and {(r["year"], r["state"]) for r in manifest} == {(y, s) for y in ("2000", "2001") for s in ("KA", "DL")}
+        assert all(r["bytes"] <= most or r["records"] == 1 for r in manifest) and (most > 2000 or len(manifest) > 4)
+        back = sinks.read_records(spark, path)
+        assert back.columns == NAMES and back.count() == 40 and back.exceptAll(df.select(NAMES)).count() == 0
+    text = spark.read.text(path + "/*/*/*").where("value like '%CW-2001-KA-000001%'").first()["value"]
+    assert '"name_public_court_record":null' in text
+    s = sinks.summary(df, DAY, health.scale(spark.createDataFrame([], "day string, n long"), 3, 40, DAY)).first()
+    assert s["total"] == 40 and s["status_counts"] == [("UNDER_TRIAL", 40)] and s["state_counts"][0]["n"] == 13 and len(s["monthly_trend"]) == 24 and len(s["daily"]) == 120
+    pending = s["top_longest_pending"]
+    assert len(pending) == 10 and pending[0]["days"] >= pending[-1]["days"] and s["jurisdictions"][0]["total"] >= s["jurisdictions"][-1]["total"]
+    (tmp_path / "bad" / "a" / "b" / "c").mkdir(parents=True)
+    (tmp_path / "bad" / "a" / "b" / "c" / "x.txt").write_text("{broken\n")
+    with pytest.raises(Exception, match="no record"):
+        sinks.read_records(spark, str(tmp_path / "bad")).collect()
+    assert sinks.env_lines({"new": 3, "cost usd": "1.5; rm x"}) == ["NEW=3", "COST_USD=1.5rmx"] and token_cap(2.5) == 1_000_000
