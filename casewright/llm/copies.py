@@ -5,10 +5,11 @@ pigeonhole) are candidates. At a similarity of 0.8 two fingerprints differ in 9
 pigeonhole can probe at any size, so classes that share a band of ROWS minima are candidates too: a pair at 0.8 shares no
 band with probability (1 - 0.8**6)**40, or 5 in a million.
 
-Each bucket first adds a star: all its classes are compared with its first one, which joins a group of copies with about
-one comparison a text. Where a connected set of candidates falls into several groups, the texts outside its largest group
-are then compared with all that share a band with them and lie in another group. So every two candidates of different
-groups have been compared; no set is ever gathered, and each link that comes out is exact.
+Each bucket adds a star of candidates, never all its pairs. A connected set of at most GATHERED candidates goes to one
+task, where a search from text to text drops each text it reaches, so a group of copies costs about one comparison a
+text. A larger set is never gathered: the leaves of its stars are compared with their centers in a stream, which joins
+most of a group of copies; then the texts outside its largest group are compared with all that share a band with them
+and lie in another group. Either way two candidates in different groups have been compared, and each link is exact.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ ROWS, BANDS = 6, 40
 _RNG = np.random.default_rng(12)
 _FACTORS = _RNG.integers(0, 2**31, ROWS * BANDS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _SALTS = _RNG.integers(0, 2**63, (ROWS + 1, BANDS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Candidates of a connected set that one task takes at most.
+GATHERED = 10_000
 #: Leaves that one task compares with a center.
 LEAVES = 4096
 #: Shingles that are hashed by all factors at once.
@@ -52,6 +55,43 @@ def bands(s: np.ndarray) -> np.ndarray:
     return mix((least.reshape(ROWS, BANDS) * _SALTS[:ROWS]).sum(axis=0, dtype=np.uint64) + _SALTS[ROWS]).view(np.int64)
 
 
+def alike(sets: list[np.ndarray], parts: tuple[int, int] = (4, 5)) -> list[tuple[int, int]]:
+    """Pairs (i, j) of a spanning forest of the sets whose Jaccard similarity is ``parts`` (a fraction) or more."""
+    size = np.array([len(s) for s in sets], np.int64)
+    order = np.argsort(size, kind="stable")
+    _, flat = np.unique(np.concatenate([sets[k] for k in order]), return_inverse=True)
+    size, vocabulary = size[order], int(flat.max()) + 1 if len(flat) else 0
+    at = np.concatenate(([0], np.cumsum(size)))
+    marked, out, (num, den) = np.zeros(vocabulary, bool), [], parts
+    left, left_flat, left_at = np.arange(len(size)), flat, at  # what no search has reached, by size
+
+    while len(left):
+        queue = [left[0]]
+        left, left_flat, left_at = left[1:], left_flat[left_at[1] :], left_at[1:] - left_at[1]
+        while queue and len(left):
+            p = queue.pop()
+            own = flat[at[p] : at[p + 1]]
+            low, high = np.searchsorted(size[left] * den, size[p] * num), np.searchsorted(size[left] * num, size[p] * den, side="right")
+            if low >= high:
+                continue
+            marked[own] = True
+            part = left_flat[left_at[low] : left_at[high]]
+            both = np.add.reduceat(marked[part], left_at[low:high] - left_at[low], dtype=np.int64)
+            marked[own] = False
+            hit = both * den >= num * (size[p] + size[left[low:high]] - both)
+            if not hit.any():
+                continue
+            reached = left[low:high][hit]
+            out += [(int(order[p]), int(order[q])) for q in reached]
+            queue += reached.tolist()
+            stay = np.ones(len(left), bool)
+            stay[low:high] = ~hit
+            left_flat = left_flat[np.repeat(stay, np.diff(left_at))]
+            left = left[stay]
+            left_at = np.concatenate(([0], np.cumsum(size[left])))
+    return out
+
+
 def similar(x: np.ndarray, y: np.ndarray, num: int = 4, den: int = 5) -> bool:
     """Whether the Jaccard similarity of two ascending sets is ``num`` / ``den`` or more; an empty set is like none."""
     if not len(x) or not len(y) or min(len(x), len(y)) * den < max(len(x), len(y)) * num:
@@ -86,6 +126,21 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return met.mapInArrow(each, "a long, b long")
 
 
+def starred(pairs: DataFrame, dealt: DataFrame, sets: DataFrame, whole: DataFrame) -> DataFrame:
+    """(a, b): links that join the nodes of ``whole`` (node, component) as far as any two of them that share a band do.
+
+    ``pairs`` (center, leaf) are the stars and ``dealt`` (node, band) the bands of these nodes.
+    """
+    found = durable(verified(pairs, sets))
+    groups = durable(whole.withColumnRenamed("component", "of").join(components(found), "node", "left").select("node", "of", F.coalesce("component", "node").alias("own")))
+    largest = groups.groupBy("of", "own").agg(F.count("*").alias("n")).groupBy("of").agg(F.max(F.struct("n", "own"))["own"].alias("most"))
+    outside = groups.join(largest, "of").where("own <> most").select(F.col("node").alias("center"), F.col("own").alias("c_own"))
+    asked = outside.join(dealt.withColumnRenamed("node", "center"), "center")
+    mates = dealt.join(groups.select("node", "own"), "node").withColumnRenamed("node", "leaf")
+    more = asked.join(mates, "band").where("own <> c_own").select("center", "leaf").distinct()
+    return found.union(durable(verified(durable(more.join(pairs, ["center", "leaf"], "left_anti")), sets)))
+
+
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 4) -> DataFrame:
     """(id, key, component) for every row of ``docs`` with an id: key stands for the row's words, and component for
     all texts that links of a 5-word Jaccard similarity of 0.8 or more join. A text of fewer words is one shingle; texts
@@ -111,6 +166,12 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 keys, sets = [xxhash.xxh3_128_digest(b" ".join(x)) for x in w], [shingles(x).tobytes() for x in w]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(sets, pa.binary())], names=["id", "key", "s"])
 
+    def compared(table):
+        node, first = np.unique(table.column("node").to_numpy(), return_index=True)
+        own = table.column("s").take(pa.array(first)).to_pylist()
+        links_ = np.array(alike([np.frombuffer(s, np.uint64) for s in own]), np.int64).reshape(-1, 2)
+        return pa.table([pa.array(node[links_[:, 0]]), pa.array(node[links_[:, 1]])], names=["a", "b"])
+
     prints = durable(given.mapInArrow(printed, "id long, key binary, fp long, bands array<long>"))
     classes = durable(prints.groupBy("key").agg(F.min("id").alias("id"), F.first("fp").alias("fp"), F.first("bands").alias("bands")).withColumn("node", F.monotonically_increasing_id()))
     same = durable(classes.groupBy("fp").agg(F.min("node").alias("id")))
@@ -120,20 +181,18 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     stars = near.union(dealt.withColumnRenamed("node", "a").join(shared, "band").where("a <> b").select("a", "b"))
     pairs = durable(stars.select(F.least("a", "b").alias("center"), F.greatest("a", "b").alias("leaf")).distinct())
     whole = components(pairs, "center", "leaf")
-    wanted = durable(classes.join(whole, "node").select("node", "id", "key"))
-    texts = given.join(wanted.select("id").distinct(), "id", "left_semi").mapInArrow(full, "id long, key binary, s binary")
-    sets = durable(texts.join(wanted, ["id", "key"]).select("node", "s").dropDuplicates(["node"]))
-    found = durable(verified(pairs, sets))
-    groups = durable(whole.withColumnRenamed("component", "of").join(components(found), "node", "left").select("node", "of", F.coalesce("component", "node").alias("own")))
-    largest = groups.groupBy("of", "own").agg(F.count("*").alias("n")).groupBy("of").agg(F.max(F.struct("n", "own"))["own"].alias("most"), F.count("*").alias("parts")).where("parts > 1")
-    outside = durable(groups.join(largest, "of").where("own <> most").select(F.col("node").alias("center"), F.col("own").alias("c_own")))
-    if not outside.isEmpty():
-        asked = outside.join(dealt.withColumnRenamed("node", "center"), "center")
-        mates = dealt.join(groups.select("node", "own"), "node").withColumnRenamed("node", "leaf")
-        more = asked.join(mates, "band").where("own <> c_own").select("center", "leaf").distinct()
-        late = verified(durable(more.join(pairs, ["center", "leaf"], "left_anti")), sets)
-        of = lambda name: groups.select(F.col("node").alias(name), F.col("own").alias(f"own_{name}"))
-        joined = components(late.join(of("a"), "a").join(of("b"), "b").select("own_a", "own_b"), "own_a", "own_b")
-        groups = groups.join(joined.select(F.col("node").alias("own"), "component"), "own", "left").select("node", F.coalesce("component", "own").alias("own"))
-    named = classes.select("key", "node").join(groups.select("node", "own"), "node", "left").select("key", F.coalesce("own", "node").alias("component"))
+    wanted = durable(classes.join(whole, "node").select("node", "id", "key", "component"))
+    large = wanted.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") > GATHERED).select("component")
+    large = durable(large)
+
+    def sets(rows: DataFrame) -> DataFrame:
+        texts = given.join(rows.select("id").distinct(), "id", "left_semi").mapInArrow(full, "id long, key binary, s binary")
+        return texts.join(rows, ["id", "key"]).select("component", "node", "s")
+
+    found = sets(wanted.join(large, "component", "left_anti")).groupBy("component").applyInArrow(compared, "a long, b long")
+    if not large.isEmpty():
+        own = durable(wanted.join(large, "component", "left_semi").select("node", "id", "key", "component"))
+        mine = own.select("node")
+        found = found.union(starred(pairs.join(mine, F.col("center") == F.col("node"), "left_semi"), dealt.join(mine, "node", "left_semi"), durable(sets(own).select("node", "s").dropDuplicates(["node"])), own.select("node", "component").distinct()))
+    named = classes.select("key", "node").join(components(found), "node", "left").select("key", F.coalesce("component", "node").alias("component"))
     return prints.select("id", "key").join(named, "key").select("id", "key", "component")

@@ -505,8 +505,11 @@ def test_near_copies_by_jaccard(spark, monkeypatch):
     for _ in rows:
         for i, j in links:
             label[i] = label[j] = min(label[i], label[j])
-    got = {r["doc_id"] for r in corpus_pipeline.one_of_each(spark, docs(spark, rows), "").collect()}
-    assert got == set(label)
+    for gathered, leaves in ((copies.GATHERED, copies.LEAVES), (2, 3)):  # sets gathered in a task, or compared in streams
+        monkeypatch.setattr(copies, "GATHERED", gathered)
+        monkeypatch.setattr(copies, "LEAVES", leaves)
+        got = {r["doc_id"] for r in corpus_pipeline.one_of_each(spark, docs(spark, rows), "").collect()}
+        assert got == set(label)
 
 
 @pytest.mark.parametrize(("n", "longer"), [(15, 1), (1500, 1000)])
