@@ -26,8 +26,8 @@ def to_process(docs: DataFrame, ledger: DataFrame, attempts: int = ATTEMPTS) ->
 
 
 def pending(docs: DataFrame, ledger: DataFrame) -> DataFrame:
-    """``docs`` with _pending: whether the document's record was written but has not been seen on the site."""
-    known = ledger.where("outcome = 'staged_pending'").select(F.col("url_hash").alias("_h"), F.lit(True).alias("_pending"))
+    """``docs`` with _pending: whether the document's record was written but has not been seen on the site. A URL may have several entries."""
+    known = ledger.where("outcome = 'staged_pending'").select(F.col("url_hash").alias("_h")).distinct().withColumn("_pending", F.lit(True))
     return docs.withColumn("_h", url_hash(F.col("url"))).join(known, "_h", "left").withColumn("_pending", F.coalesce("_pending", F.lit(False))).select(*docs.columns, "_pending")
 
 

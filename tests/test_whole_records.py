@@ -355,3 +355,9 @@ def test_records_are_written_as_shards(spark, tmp_path):
     with pytest.raises(Exception, match="no record"):
         sinks.read_records(spark, str(tmp_path / "bad")).collect()
     assert sinks.env_lines({"new": 3, "cost usd": "1.5; rm x"}) == ["NEW=3", "COST_USD=1.5rmx"] and token_cap(2.5) == 1_000_000
+
+
+def test_pending_gives_one_row_for_a_url_with_several_entries(spark):
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, None)], "n int, url string")
+    ledger = spark.createDataFrame([(u, "staged_pending", 0, DAY, DAY) for u in ("a", "a", "a")], state.LEDGER).withColumn("url_hash", state.url_hash(F.col("url_hash")))
+    assert sorted(map(tuple, state.pending(docs, ledger).select("n", "_pending").collect())) == [(1, True), (2, False), (3, True), (4, False)]
