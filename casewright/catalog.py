@@ -521,7 +521,7 @@ def fetch_caps(spark, sf_dir):
   and abs(date_diff('day', a.rday, b.rday)) <= 3 and list_has_any(a.sections, b.sections) and not coalesce(a.cnr = b.cnr, false)), e as (select a as x, b as y from pairs union select b, a from pairs),
   reach as (select x as node, x as r from e union select e.y, reach.r from reach join e on e.x = reach.node) select node as ord, min(r) as cluster from reach group by node""")
 def merge_review_clusters(spark, sf_dir):
-    return resolve.review_clusters(resolve.review_pairs(cases(spark, sf_dir)))
+    return resolve.review_clusters(cases(spark, sf_dir))
 
 
 @query(CTE + f"select s.state, count(c.ord) as n, case when count(c.ord) = 0 then 0.0::double else round(0.25::double + 0.75::double * count(c.ord) / max(count(c.ord)) over (), 3) end as intensity from (values {_ALL_STATES}) s(state) left join cases c on c.state = s.state group by s.state")

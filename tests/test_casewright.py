@@ -5,6 +5,8 @@ import random
 from decimal import Decimal
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__
@@ -138,3 +140,36 @@ def test_nulls_and_empty_tables(spark):
         assert empty.count() == 0
     assert aggregates.monthly_trend(nothing, RUN_DATE).agg(F.sum("n")).first()[0] == 0
     assert aggregates.coverage(nothing, codes.STATES).where("gap").count() == len(codes.STATES)
+
+
+def joined(pairs):
+    """The smallest member of what each node is joined to."""
+    top = {}
+
+    def of(x):
+        while top.setdefault(x, x) != x:
+            x = top[x]
+        return x
+
+    for a, b in pairs:
+        a, b = of(a), of(b)
+        top[max(a, b)] = min(a, b)
+    return {x: of(x) for x in top}
+
+
+def test_review_clusters_join_what_all_pairs_join(spark):
+    rng = random.Random(11)
+    day = lambda: (datetime.date(2001, 1, 1) + datetime.timedelta(rng.randrange(-60, 90))).isoformat()[: rng.choice([10, 10, 10, 7])]
+    rows = [(k, rng.choice(["KA", "KL"]), rng.choice(["D1", None]), rng.choice(["ADULT"] * 9 + [None]), day(), rng.choice(["c1", "c2", "c3", None]), rng.sample(["x", "y", "z", None], rng.randrange(4))) for k in range(400)]
+    cases = spark.createDataFrame(rows, "ord long, state string, district string, category string, incident_reported_date string, cnr string, sections array<string>")
+    want = joined(map(tuple, resolve.review_pairs(cases).collect()))
+    for band in (4, 32):
+        got = resolve.review_clusters(cases, band=band).collect()
+        assert len(got) == len(want) and {r["ord"]: r["cluster"] for r in got} == want
+
+
+def test_review_clusters_make_links_in_proportion_to_rows():
+    n = 3000  # of one day and section: four and a half million pairs
+    cnr = pa.chunked_array([pa.array([random.Random(k).choice(["a", "b", None]) for k in range(n)])])
+    a, b = resolve.neighbour_links(np.arange(n), np.zeros(n, dtype=int), cnr, pa.chunked_array([pa.array([["x"]] * n)]), 3)
+    assert len(a) <= 2 * n and set(resolve.least_reachable(n, a, b)) == {0}
