@@ -11,7 +11,7 @@ from pyspark.sql.types import StructField, StructType
 
 from casewright.functions import codes, dates
 from casewright.operators.durability import durable
-from casewright.operators.resolve import STATUS_RANK, components, greedy, match_blocks
+from casewright.operators.resolve import STATUS_RANK, components, placements
 from casewright.records import gates
 from casewright.records.schema import NAMES, RECORD, listed
 
@@ -44,7 +44,7 @@ def _higher(a: str | None, b: str | None) -> str | None:
 
 
 def _official(record: dict) -> bool:
-    return any(part in (s["publisher"] or "").lower() for s in record["sources"] or [] for part in codes.OFFICIAL)
+    return any(map(_of_court, record["sources"] or []))
 
 
 def merge_records(a: dict, b: dict) -> dict:
@@ -97,6 +97,127 @@ def merge_records(a: dict, b: dict) -> dict:
     return out
 
 
+class Joined:
+    """A list joined of records' lists, each key once: a leading record's entries go before what there is, others behind it."""
+
+    def __init__(self):
+        self.entries: dict = {}  # key: (place, entry)
+        self.low, self.high = 0, 0
+
+    def put(self, entries: dict, lead: bool) -> None:
+        if lead:
+            self.low -= len(entries)
+            self.entries.update({key: (self.low + k, entry) for k, (key, entry) in enumerate(entries.items())})
+        else:
+            for key, entry in entries.items():
+                if key not in self.entries:
+                    self.entries[key] = self.high, entry
+                    self.high += 1
+
+    def keys(self) -> list:
+        return sorted(self.entries, key=lambda key: self.entries[key][0])
+
+    def values(self) -> list:
+        return [entry for _, entry in sorted(self.entries.values(), key=lambda x: x[0])]
+
+
+class Fold:
+    """``merge_records`` of records that come one after the other, in time for each that depends on it alone.
+
+    ``merge_records`` goes through all that was merged before; here the lists are built in place.
+    """
+
+    def __init__(self, first: dict):
+        self.out, self.merged, self.courts = first, False, 0
+
+    def _start(self) -> None:
+        self.merged, r = True, self.out
+        self.sources, self.history, self.accused, self.sections = Joined(), Joined(), Joined(), Joined()
+        urls = [s["url"] or "" for s in r["sources"] or []]
+        self.sources.put(new := _sources(r), False)
+        self.courts = sum(map(_of_court, new.values()))
+        self.history.put(_points(r["status_history"], urls), False)
+        self.accused.put(_people(r["accused"]), False)
+        self.sections.put(dict.fromkeys(r["offence_sections"] or []), False)
+
+    def add(self, r: dict) -> None:
+        a, new, court = self.out, _sources(r), _official(r)
+        lead = court if court != (bool(self.courts) if self.merged else _official(a)) else (r["confidence"] or 0.0) > (a["confidence"] or 0.0)
+        if not self.merged:
+            self._start()
+        first, other = (r, a) if lead else (a, r)
+        raw = a["status_history"]
+        if raw and not self.history.entries:  # points of no source of theirs, which the sources since may have given one
+            had = self.sources.keys() if any(0 <= (e["source"] or 0) < len(self.sources.entries) for e in raw) else []
+            self.history.put(_points(raw, had), False)
+        for url, s in new.items():
+            had = self.sources.entries.get(url)
+            if had is None or lead:
+                self.courts += _of_court(s) - (had is not None and _of_court(had[1]))
+        self.sources.put(new, lead)
+        self.history.put(_points(r["status_history"], [s["url"] or "" for s in r["sources"] or []]), lead)
+        self.sections.put(dict.fromkeys(r["offence_sections"] or []), lead)
+        if lead:
+            people = _people(r["accused"])
+            self.accused.put({label: _person(x, self.accused.entries[label][1]) if label in self.accused.entries else x for label, x in people.items()}, True)
+        else:
+            for x in r["accused"] or []:
+                label = x["label"] or ""
+                if label in self.accused.entries:
+                    place, had = self.accused.entries[label]
+                    self.accused.entries[label] = place, _person(had, x)
+                else:
+                    self.accused.put({label: dict(x)}, False)
+        out = dict(first)
+        out["status"] = _higher(first["status"], other["status"])
+        out["confidence"] = max(first["confidence"] or 0.0, other["confidence"] or 0.0)
+        out["minor_involved"] = bool(first["minor_involved"] or other["minor_involved"])
+        if first["verified"] or other["verified"]:
+            out["verified"] = True
+            out["verification_note"] = first["verification_note"] or other["verification_note"] or out["verification_note"]
+        for name in FILLED:
+            out[name] = out[name] or other[name]
+        self.out = out
+
+    def record(self) -> dict:
+        if not self.merged:
+            return self.out
+        places = {url: k for k, url in enumerate(self.sources.keys())}
+        history = [{"status": status, "date": day, "source": places[url]} for status, day, url in self.history.keys()]
+        lists = {"offence_sections": self.sections.keys(), "status_history": history, "accused": self.accused.values()}
+        return self.out | {"sources": self.sources.values()} | {name: joined for name, joined in lists.items() if joined}
+
+
+def _of_court(source: dict) -> bool:
+    return any(part in (source["publisher"] or "").lower() for part in codes.OFFICIAL)
+
+
+def _sources(r: dict) -> dict:
+    """The record's sources by URL, each first one."""
+    out: dict = {}
+    for s in r["sources"] or []:
+        out.setdefault(s["url"] or "", s)
+    return out
+
+
+def _points(history: list | None, urls: list) -> dict:
+    """The points of a timeline whose source is there, as keys: status, date, URL."""
+    return {(e["status"], e["date"], urls[e["source"] or 0]): None for e in history or [] if 0 <= (e["source"] or 0) < len(urls)}
+
+
+def _person(had: dict, x: dict) -> dict:
+    return had | {"name_public_court_record": had["name_public_court_record"] or x["name_public_court_record"], "status": _higher(had["status"], x["status"])}
+
+
+def _people(accused: list | None) -> dict:
+    """The accused by label."""
+    out: dict = {}
+    for x in accused or []:
+        label = x["label"] or ""
+        out[label] = _person(out[label], x) if label in out else dict(x)
+    return out
+
+
 def folded(rows: DataFrame, group: str, order: str) -> DataFrame:
     """(group, order, members, *record): a record for each group, its members merged one after the other by ``order``.
 
@@ -105,20 +226,22 @@ def folded(rows: DataFrame, group: str, order: str) -> DataFrame:
     schema = StructType([rows.schema[group], rows.schema[order], StructField("members", rows.schema[order].dataType), *RECORD])
 
     def each(batches):
-        now, out, kept = None, None, []
+        head, fold, members, kept = None, None, 0, []
         for batch in batches:
             for r in batch.to_pylist():
-                if out is None or r[group] != now:
-                    if out is not None:
-                        kept.append(out)
-                    now, out = r[group], {**r, "members": 1}
+                record = {n: r[n] for n in NAMES}
+                if fold is None or r[group] != head[group]:
+                    if fold is not None:
+                        kept.append({**fold.record(), **head, "members": members})
+                    head, fold, members = {group: r[group], order: r[order]}, Fold(record), 1
                 else:
-                    out = {**out, **merge_records({n: out[n] for n in NAMES}, {n: r[n] for n in NAMES}), "members": out["members"] + 1}
+                    fold.add(record)
+                    members += 1
             if len(kept) >= 1024:
                 yield _batch(kept, schema)
                 kept = []
-        if out is not None:
-            kept.append(out)
+        if fold is not None:
+            kept.append({**fold.record(), **head, "members": members})
         if kept:
             yield _batch(kept, schema)
 
@@ -130,9 +253,9 @@ def _batch(rows: list[dict], schema: StructType) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist([{f.name: r[f.name] for f in schema} for r in rows], schema=kinds)
 
 
-def block_keys(rows: DataFrame, order: str = "ord") -> DataFrame:
-    """(node, key): records that could match share a key, directly or through others (``operators.resolve.match_blocks``)."""
-    return match_blocks(rows.select(F.col(order).alias("node"), anchor_keys().alias("anchors"), "district", dates.strict_day(F.col("incident_reported_date")).alias("day"), listed("offence_sections").alias("sections"), F.col("court.name").alias("court")), NEAR)
+def _told() -> list[Column]:
+    """What tells whether two records are one case."""
+    return [anchor_keys().alias("anchors"), "district", dates.strict_day(F.col("incident_reported_date")).alias("day"), listed("offence_sections").alias("sections"), F.col("court.name").alias("court")]
 
 
 def dedupe(rows: DataFrame, order: str = "ord") -> tuple[DataFrame, DataFrame]:
@@ -140,24 +263,11 @@ def dedupe(rows: DataFrame, order: str = "ord") -> tuple[DataFrame, DataFrame]:
 
     What tells an age or a person, cites no section in scope or has little confidence is reviewed and takes no part.
     The others go in their ``order``: a record joins the first cluster with an exact or strong match; a weak match
-    alone is ambiguous. Only records of one connected set of ``block_keys`` can match, so each set is gone through by
-    itself, which gives what one pass over all records gives. Each cluster is folded from its first record on.
+    alone is ambiguous (``operators.resolve.placements``). Each cluster is folded from its first record on.
     """
     marked = durable(rows.withColumn("reason", gates.review_reason()))  # read several times below
     kept, held = marked.where("reason is null").drop("reason"), marked.where("reason is not null")
-    blocks = components(block_keys(kept, order))
-    slim = kept.select(F.col(order).alias("o"), anchor_keys().alias("anchors"), "district", dates.strict_day(F.col("incident_reported_date")).alias("day"), listed("offence_sections").alias("sections"), F.col("court.name").alias("court"))
-    sets = slim.join(blocks, F.col("o") == F.col("node"), "left").withColumn("component", F.coalesce("component", "o")).drop("node")
-
-    def each(table: pa.Table) -> pa.Table:
-        records = sorted(table.to_pylist(), key=lambda r: r["o"])
-        for r in records:
-            r["anchors"], r["sections"] = set(r["anchors"]), set(r["sections"])
-        clusters, doubtful = greedy(records)
-        pairs = [(r["o"], c[0]["o"]) for c in clusters for r in c] + [(r["o"], None) for r in doubtful]
-        return pa.table([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["o", "cluster"])
-
-    told = sets.groupBy("component").applyInArrow(each, "o long, cluster long")
+    told = durable(placements(kept.select(F.col(order).alias("node"), *_told()), NEAR)).withColumnRenamed("node", "o")
     placed = kept.join(told, F.col(order) == F.col("o")).drop("o")
     ambiguous = placed.where("cluster is null").drop("cluster").withColumn("reason", F.lit("ambiguous_match"))
     return folded(placed.where("cluster is not null"), "cluster", order).drop("cluster"), held.unionByName(ambiguous)

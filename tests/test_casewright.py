@@ -190,3 +190,14 @@ def test_greedy_keeps_no_records():
     told = resolve.Greedy()
     assert {told.place(k, ["cnr:1"], "A", 11000 + k % 5, ["x"], "Court 1") for k in range(2000)} == {0}
     assert len(told.by_anchor) == 1 and len(told.members) == 5 and sum(len(cell[1]) for at in told.members.values() for cell in at.values()) == 5
+
+
+def test_block_sets_are_those_of_the_keys(spark):
+    rng = random.Random(8)
+    day = lambda: rng.choice([None, *[datetime.date(2001, 1, 1) + datetime.timedelta(rng.randrange(300)) for _ in range(9)]])
+    rows = [(k, rng.choice([[], [], [], [f"cnr:{rng.randrange(99)}"]]), rng.choice([*"ABCDEFG", None]), day(), rng.choice([[], *[rng.sample("uvwxyz", 1) for _ in range(9)]]), rng.choice([None, None, "Court 1"])) for k in range(150)]
+    made = spark.createDataFrame(rows, "node long, anchors array<string>, district string, day date, sections array<string>, court string")
+    want = {k: k for k in range(150)} | {r["node"]: r["component"] for r in resolve.components(resolve.match_blocks(made)).collect()}
+    got = {r["node"]: r["component"] for r in resolve.block_sets(made.withColumn("day", F.unix_date("day"))).collect()}
+    groups = lambda told: {frozenset(k for k in told if told[k] == c) for c in told.values()}
+    assert groups(got) == groups(want) and 3 < len(groups(want)) < 150

@@ -1,6 +1,7 @@
 """Whole records: merging, resolution, ids and runs against plain passes; sanitising, validation, state and sinks."""
 
 import random
+import time
 from datetime import date, timedelta
 
 import pytest
@@ -361,3 +362,29 @@ def test_pending_gives_one_row_for_a_url_with_several_entries(spark):
     docs = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, None)], "n int, url string")
     ledger = spark.createDataFrame([(u, "staged_pending", 0, DAY, DAY) for u in ("a", "a", "a")], state.LEDGER).withColumn("url_hash", state.url_hash(F.col("url_hash")))
     assert sorted(map(tuple, state.pending(docs, ledger).select("n", "_pending").collect())) == [(1, True), (2, False), (3, True), (4, False)]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_fold_equals_merging_one_after_the_other(seed):
+    rng = random.Random(seed)
+    people = lambda: rng.choice([None, [], [{"label": rng.choice(["A", "B", "", None]), "name_public_court_record": rng.choice([None, "", "N"]), "status": rng.choice(["FIR_FILED", "CONVICTED", None])} for _ in range(rng.randrange(4))]])
+    rows = random_records(seed, 30)
+    for r in rows:
+        r["sources"] = rng.choice([None, [], *[[source(rng.choice(["u1", "u2", "u3", "u4", "u5", None, ""]), rng.choice(["Daily", None, "High Court"])) for _ in range(rng.randrange(1, 4))] for _ in range(4)]])
+        r["status_history"] = rng.choice([None, [], [{"status": rng.choice(["FIR_FILED", "CLOSED"]), "date": rng.choice(["2001-01-01", None]), "source": rng.choice([None, -1, 0, 1, 2, 3, 5])} for _ in range(rng.randrange(1, 4))]])
+        r["confidence"], r["accused"] = rng.choice([None, 0.1, 0.5, 0.7, 0.9]), people()
+        r["verified"], r["verification_note"], r["summary"] = rng.choice([None, False, True]), rng.choice([None, "", "n1", "n2"]), rng.choice(["", None, "s"])
+    want, fold = rows[0], resolve.Fold(rows[0])
+    for k, r in enumerate(rows):
+        if k:
+            want = resolve.merge_records(want, r)
+            fold.add(r)
+        assert fold.record() == want, k
+
+
+def test_fold_takes_many_records_in_linear_time():
+    fold, n = resolve.Fold(good()), 20_000
+    began = time.process_time()
+    for k in range(n):
+        fold.add(good(sources=[source(f"https://a.example/{k}")]))
+    assert len(fold.record()["sources"]) == n and time.process_time() - began < 20
